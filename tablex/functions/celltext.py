@@ -2,86 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from tablex.functions.declared import declared, is_text, source_type
 from tablex.functions.names import quoted, unique_columns
-from tablex.functions.sourcetext import finite_or_word, source_text
-from tablex.functions.temporal import INFINITE_DAYS, INFINITE_MICROS
+from tablex.functions.sourcetext import source_text
+from tablex.functions.temporal import INFINITE_MICROS, as_integer, finite_or_word
 
+MICROS_OF_DAY = 86_400_000_000
 
-def without_trailing_zeros(text: Column) -> Column:
+
+def without_trailing_zeros(text: str) -> str:
     """`12.50` as `12.5`, `12.00` as `12`; a text without a point is left alone."""
-    trimmed = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
-    return F.when(text.contains("."), trimmed).otherwise(text)
+    return f"CASE WHEN contains({text}, '.') THEN rtrim('.', rtrim('0', {text})) ELSE {text} END"
 
 
-def scientific(text: Column) -> Column:
+def scientific(text: str) -> str:
     """The JVM's `1.5E-7` as `1.5e-07`."""
-    mantissa = without_trailing_zeros(F.substring_index(text, "E", 1))
-    power = F.substring_index(text, "E", -1).cast("int")
-    sign = F.when(power < 0, "e-").otherwise("e+")
-    digits = F.abs(power).cast("string")
-    padded = F.when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits)
-    return F.concat(mantissa, sign, padded)
+    mantissa = without_trailing_zeros(f"substring_index({text}, 'E', 1)")
+    power = f"CAST(substring_index({text}, 'E', -1) AS INT)"
+    sign = f"CASE WHEN {power} < 0 THEN 'e-' ELSE 'e+' END"
+    digits = f"CAST(abs({power}) AS STRING)"
+    return f"concat({mantissa}, {sign}, lpad({digits}, greatest(2, length({digits})), '0'))"
 
 
-def float_text(c: Column, numeric: bool) -> Column:
+def float_text(c: str, numeric: bool) -> str:
     """Plain digits from 1e-4 up to 1e21, an exponent beyond.
 
     The JVM switches to an exponent at 1e-3 and 1e7 already; those two bands go through a
     decimal of the same digits.
     """
-    text = c.cast("string")
-    size = F.abs(c)
-    infinity = "Infinity" if numeric else "+Inf"
+    text = f"CAST({c} AS STRING)"
+    plus, minus = ("Infinity", "-Infinity") if numeric else ("+Inf", "-Inf")
+    large = without_trailing_zeros(f"CAST(CAST({text} AS DECIMAL(38,16)) AS STRING)")
+    small = without_trailing_zeros(f"CAST(CAST({text} AS DECIMAL(38,30)) AS STRING)")
     return (
-        F.when(F.isnan(c), "NaN")
-        .when(c == float("inf"), infinity)
-        .when(c == float("-inf"), "-Infinity" if numeric else "-Inf")
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), without_trailing_zeros(text))
-        .when(
-            (size >= 1e7) & (size < 1e21),
-            without_trailing_zeros(text.cast("decimal(38,16)").cast("string")),
-        )
-        .when(
-            (size >= 1e-4) & (size < 1e-3),
-            without_trailing_zeros(text.cast("decimal(38,30)").cast("string")),
-        )
-        .otherwise(scientific(text))
+        f"CASE WHEN {c} = 0 OR abs({c}) >= 1e-3D AND abs({c}) < 1e7D"
+        f" THEN {without_trailing_zeros(text)}"
+        f" WHEN isnan({c}) THEN 'NaN'"
+        f" WHEN {c} = double('Infinity') THEN '{plus}'"
+        f" WHEN {c} = double('-Infinity') THEN '{minus}'"
+        f" WHEN abs({c}) >= 1e7D AND abs({c}) < 1e21D THEN {large}"
+        f" WHEN abs({c}) >= 1e-4D AND abs({c}) < 1e-3D THEN {small}"
+        f" ELSE {scientific(text)} END"
     )
 
 
-def moment_text(c: Column, fraction: bool) -> Column:
+def moment_text(c: str, dtype: T.DataType, fraction: bool) -> str:
     """ISO text in UTC; midnight prints as the date alone."""
-    moment = c.cast("timestamp")
-    seconds = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
+    micros = as_integer(c, dtype)
+    clock = "HH:mm:ss.SSSSSS" if fraction else "HH:mm:ss"
+    seconds = f"concat(date_format({c}, 'yyyy-MM-dd'), 'T', date_format({c}, '{clock}'))"
     if fraction:
-        micros = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        seconds = without_trailing_zeros(micros)
-    day = F.date_format(moment, "yyyy-MM-dd")
-    midnight = F.pmod(F.unix_micros(moment), F.lit(86_400_000_000)) == 0
-    text = F.when(midnight, day).otherwise(F.concat(seconds, F.lit("Z")))
-    return finite_or_word(c, F.unix_micros(moment), INFINITE_MICROS, text)
+        seconds = without_trailing_zeros(seconds)
+    text = (
+        f"CASE WHEN pmod({micros}, {MICROS_OF_DAY}L) = 0 THEN date_format({c}, 'yyyy-MM-dd')"
+        f" ELSE concat({seconds}, 'Z') END"
+    )
+    return finite_or_word(micros, INFINITE_MICROS, text)
 
 
-def cell(c: Column, field: T.StructField, fraction: bool) -> Column:
+def cell(c: str, field: T.StructField, fraction: bool) -> str:
     dtype = field.dataType
-    if is_text(dtype):
-        text = c
+    if isinstance(dtype, T.BooleanType):
+        text = f"CAST({c} AS STRING)"
     elif isinstance(dtype, (T.FloatType, T.DoubleType)):
         text = float_text(c, declared(source_type(field)).kind == "numeric")
     elif isinstance(dtype, T.DecimalType):
-        text = without_trailing_zeros(c.cast("string"))
-    elif isinstance(dtype, T.DateType):
-        text = finite_or_word(c, F.unix_date(c), INFINITE_DAYS, c.cast("string"))
+        text = without_trailing_zeros(f"CAST({c} AS STRING)")
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        text = moment_text(c, fraction)
-    elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        text = source_text(c, dtype)
+        text = moment_text(c, dtype, fraction)
     else:
-        text = c.cast("string")
-    return F.coalesce(text, F.lit(""))
+        text = c if is_text(dtype) else source_text(c, dtype)
+    return f"coalesce({text}, '')"
 
 
 def csv_text(df: DataFrame, fraction: bool = False) -> DataFrame:
@@ -90,6 +83,8 @@ def csv_text(df: DataFrame, fraction: bool = False) -> DataFrame:
     fraction    keep microseconds, which the default format drops
     """
     df = unique_columns(df)
-    return df.select(
-        *[cell(F.col(quoted(f.name)), f, fraction).alias(f.name) for f in df.schema]
-    )
+    cells = []
+    for field in df.schema:
+        name = quoted(field.name)
+        cells.append(f"{cell(name, field, fraction)} AS {name}")
+    return df.selectExpr(*cells)

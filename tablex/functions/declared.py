@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 SOURCE_TYPE = "source_type"  # StructField metadata key
 
@@ -179,16 +179,18 @@ def with_numeric_type(catalog: DataFrame, typmod: str = "atttypmod") -> DataFram
 
 def expected_kinds(types: DataFrame, decimal: bool = False) -> DataFrame:
     """Add `kind`, the label a reader should report, to rows holding a declared `type`."""
-    bare = F.trim(F.regexp_replace(F.lower("type"), r"\s*\([^)]*\)", ""))
-    arguments = F.regexp_extract("type", r"\(\s*(\d+)\s*(?:,\s*-?\d+\s*)?\)", 1)
-    scale = F.regexp_extract("type", r",\s*(-?\d+)\s*\)", 1)
-    precision = F.when(arguments != "", arguments.cast("int"))
-    digits = F.when(scale != "", scale.cast("int")).otherwise(0)
-    exact = (precision <= MAX_DECIMAL_PRECISION) & digits.between(0, precision)
-    kind = F.when(bare.isin("numeric", "decimal") & F.lit(decimal) & exact, "decimal")
-    for name, label in KIND_OF.items():
-        kind = kind.when(bare == name, READER_LABEL[label])
-    return types.withColumn("kind", kind.otherwise("string"))
+    bare = r"trim(regexp_replace(lower(type), r'\s*\([^)]*\)', ''))"
+    arguments = r"r'\(\s*(\d+)\s*(,\s*(-?\d+)\s*)?\)'"
+    precision = f"CAST(nullif(regexp_extract(type, {arguments}, 1), '') AS INT)"
+    scale = f"CAST(nullif(regexp_extract(type, {arguments}, 3), '') AS INT)"
+    exact = (
+        f"{decimal} AND {bare} IN ('numeric', 'decimal') AND {precision} <= {MAX_DECIMAL_PRECISION}"
+        f" AND coalesce({scale}, 0) BETWEEN 0 AND {precision}"
+    )
+    labels = "".join(f" WHEN {bare} = '{n}' THEN '{READER_LABEL[k]}'" for n, k in KIND_OF.items())
+    return types.selectExpr(
+        "*", f"CASE WHEN {exact} THEN 'decimal'{labels} ELSE 'string' END AS kind"
+    )
 
 
 def reader_label(dtype: T.DataType) -> str:
@@ -218,6 +220,10 @@ def is_text(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StringType, T.CharType, T.VarcharType))
 
 
-def tagged(column: Column, name: str, type_name: str) -> Column:
-    """Name a column and record its declared type."""
-    return column.alias(name, metadata={SOURCE_TYPE: type_name})
+def with_types(df: DataFrame, type_names: Iterable[str]) -> DataFrame:
+    """The same relation, with a declared type recorded on each column (names are distinct)."""
+    fields = [
+        T.StructField(field.name, field.dataType, field.nullable, {SOURCE_TYPE: type_name})
+        for field, type_name in zip(df.schema, type_names)
+    ]
+    return df.to(T.StructType(fields))

@@ -6,7 +6,9 @@ NULL equals NULL only; floats are compared bit by bit, except that every NaN is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from collections.abc import Iterable
+
+from pyspark.sql import types as T
 
 from tablex.functions.celltext import without_trailing_zeros
 from tablex.functions.names import quoted
@@ -14,57 +16,68 @@ from tablex.functions.temporal import INFINITE_MICROS, as_integer
 
 MOMENT = (T.TimestampType, T.TimestampNTZType)
 
+# Types whose text never holds a separator.
+PLAIN = (T.NumericType, T.BooleanType, T.DatetimeType, T.TimeType)
+
 
-def comparable(c: Column, dtype: T.DataType) -> Column:
+def comparable(c: str, dtype: T.DataType) -> str:
     """A value that equals another exactly when the two cells are the same."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return c.cast("string")
+        return f"CAST({c} AS STRING)"
     if isinstance(dtype, T.DecimalType):
-        return without_trailing_zeros(c.cast("string"))
+        return without_trailing_zeros(f"CAST({c} AS STRING)")
     if isinstance(dtype, T.IntegralType):
-        return c.cast("bigint")
+        return f"CAST({c} AS BIGINT)"
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(c)
+        return f"to_json({c})"
     return as_integer(c, dtype)
 
 
-def comparable_text(c: Column, dtype: T.DataType) -> Column:
-    return comparable(c, dtype).cast("string")
+def comparable_text(c: str, dtype: T.DataType) -> str:
+    return f"CAST({comparable(c, dtype)} AS STRING)"
 
 
-def near(want: Column, got: Column, tolerance_us: int) -> Column:
+def near(want: str, got: str, tolerance_us: int) -> str:
     """Whether two instants, in microseconds, are close; an infinite one stays infinite.
 
-    The infinite ones are ruled out first: their difference does not fit a bigint.
+    The infinite ones are ruled out first, and the difference taken as a decimal, since it need
+    not fit a bigint.
     """
-    finite = (F.abs(want) < INFINITE_MICROS) & (F.abs(got) < INFINITE_MICROS)
-    gap = F.when(finite, F.abs(want.cast("decimal(20,0)") - got.cast("decimal(20,0)")))
-    return F.when(finite, gap <= tolerance_us).otherwise(want == got)
+    return (
+        f"CASE WHEN abs({want}) < {INFINITE_MICROS}L AND abs({got}) < {INFINITE_MICROS}L"
+        f" THEN abs(CAST({want} AS DECIMAL(20,0)) - CAST({got} AS DECIMAL(20,0))) <= {tolerance_us}"
+        f" ELSE {want} = {got} END"
+    )
 
 
-def same(
-    want: Column, got: Column, dtype: T.DataType, tolerance_us: int = 0
-) -> Column:
-    """Boolean column (never NULL): are these two cells, both of `dtype`, the same?"""
+def same(want: str, got: str, dtype: T.DataType, tolerance_us: int = 0) -> str:
+    """SQL condition, never NULL: are these two cells, both of `dtype`, the same?"""
     a, b = comparable(want, dtype), comparable(got, dtype)
     if tolerance_us and isinstance(dtype, MOMENT):
-        return F.coalesce(near(a, b, tolerance_us), a.isNull() & b.isNull())
-    return a.eqNullSafe(b)
+        return f"coalesce({near(a, b, tolerance_us)}, {want} IS NULL AND {got} IS NULL)"
+    return f"({a} <=> {b})"
 
 
-def row_hash(df: DataFrame) -> list[Column]:
+def row_hash(fields: Iterable[T.StructField], h1: str, h2: str) -> list[str]:
     """128 bits of a row, as two bigints. A NULL flag per cell keeps NULL and '' apart."""
     cells = []
-    for field in df.schema:
-        c = F.col(quoted(field.name))
-        cells += [comparable(c, field.dataType), c.isNull()]
-    return [F.xxhash64(F.lit(seed), *cells) for seed in (1, 2)]
+    for field in fields:
+        name = quoted(field.name)
+        cells.append(f"{comparable(name, field.dataType)}, {name} IS NULL")
+    row = ", ".join(cells)
+    return [f"xxhash64(1, {row}) AS {h1}", f"xxhash64(2, {row}) AS {h2}"]
 
 
-def row_text(df: DataFrame) -> Column:
-    """The row as one text, columns by name; each cell carries its length, so no two differ alike."""
+def row_text(fields: Iterable[T.StructField]) -> str:
+    """The row as one text, columns by name, so that rows that differ never print alike.
+
+    A free text carries its length; numbers and moments cannot hold the separator. NULL prints
+    as nothing, which no value does.
+    """
     parts = []
-    for field in sorted(df.schema, key=lambda f: f.name):
-        text = comparable_text(F.col(quoted(field.name)), field.dataType)
-        parts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
-    return F.concat(*parts)
+    for field in sorted(fields, key=lambda f: f.name):
+        text = comparable_text(quoted(field.name), field.dataType)
+        if not isinstance(field.dataType, PLAIN):
+            text = f"concat(length({text}), ':', {text})"
+        parts.append(f"coalesce({text}, '')")
+    return f"concat_ws('|', {', '.join(parts)})"

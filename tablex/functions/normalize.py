@@ -5,13 +5,16 @@ Casts are ANSI casts: a value its column's type cannot hold fails the job.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
-from tablex.functions.declared import Declared, Types, declared_columns, is_text, tagged
+from tablex.functions.declared import Declared, Types, declared_columns, is_text, with_types
 from tablex.functions.names import quoted, unique_columns
 from tablex.functions.sourcetext import source_text
 from tablex.functions.temporal import infinite_date, infinite_timestamp
 
+# Fixed value: the ISO form of a date; years beyond 9999 have more digits.
+DATE_TEXT = "^[0-9]{4,}-[0-9]{2}-[0-9]{2}$"
+
 # Native input types a declared kind accepts besides text.
 NATIVE = {
     "bool": (T.BooleanType,),
@@ -27,81 +30,78 @@ NATIVE = {
 }
 
 
-def malformed(what: str, c: Column) -> Column:
-    return F.raise_error(F.concat(F.lit(f"not a {what}: "), c))
+def malformed(what: str, c: str) -> str:
+    return f"raise_error(concat('not a {what}: ', {c}))"
 
 
-def number_of(c: Column, to: str) -> Column:
+def number_of(c: str, to: str) -> str:
     """Text to a floating point number, without the `1.5d` suffixes the JVM also parses."""
-    ending = F.lower(F.right(c, F.lit(1)))
-    suffixed = (ending == "d") | ((ending == "f") & ~F.lower(c).endswith("inf"))
-    return F.when(suffixed, malformed("number", c)).otherwise(c.cast(to))
+    return (
+        f"CASE WHEN substr({c}, -1) IN ('d', 'D', 'f', 'F') THEN {malformed('number', c)}"
+        f" ELSE CAST({c} AS {to}) END"
+    )
 
 
-def date_of(c: Column) -> Column:
+def date_of(c: str) -> str:
     """Text to a date; a text that also carries a time of day is not a date."""
-    whole = (F.length(c) >= 10) & ~c.contains(" ") & ~c.contains("T")
     return (
-        F.when(c == "infinity", infinite_date(1))
-        .when(c == "-infinity", infinite_date(-1))
-        .when(~whole, malformed("date", c))
-        .otherwise(c.cast("date"))
+        f"CASE WHEN {c} RLIKE '{DATE_TEXT}' THEN CAST({c} AS DATE)"
+        f" WHEN {c} = 'infinity' THEN {infinite_date(1)}"
+        f" WHEN {c} = '-infinity' THEN {infinite_date(-1)}"
+        f" WHEN {c} IS NOT NULL THEN CAST({malformed('date', c)} AS DATE) END"
     )
 
 
-def timestamp_of(c: Column, to: str) -> Column:
+def timestamp_of(c: str, to: str) -> str:
     return (
-        F.when(c == "infinity", infinite_timestamp(1).cast(to))
-        .when(c == "-infinity", infinite_timestamp(-1).cast(to))
-        .otherwise(c.cast(to))
+        f"CASE {c} WHEN 'infinity' THEN {infinite_timestamp(1, to)}"
+        f" WHEN '-infinity' THEN {infinite_timestamp(-1, to)} ELSE CAST({c} AS {to}) END"
     )
 
 
-def cut_decimal(c: Column, kind: Declared) -> Column:
+def cut_decimal(c: str, scale: int, to: str) -> str:
     """Digits beyond the declared scale are dropped, toward zero."""
-    cut = F.when(c >= 0, F.floor(c, F.lit(kind.scale))).otherwise(F.ceil(c, F.lit(kind.scale)))
-    return cut.cast(kind.spark_type(decimal=True))
+    return f"CAST(CASE WHEN {c} >= 0 THEN floor({c}, {scale}) ELSE ceil({c}, {scale}) END AS {to})"
 
 
-def exact_numeric(c: Column, dtype: T.DataType, kind: Declared) -> Column:
+def exact_numeric(c: str, dtype: T.DataType, kind: Declared) -> str:
     """numeric(p,s) as decimal(p,s); a decimal holds no NaN or infinity, they become NULL."""
-    target = kind.spark_type(decimal=True)
+    to, scale = kind.spark_type(decimal=True).simpleString(), kind.scale
+    wide = cut_decimal(f"CAST({c} AS DECIMAL(38,18))", scale, to)
     if is_text(dtype):
-        point = F.instr(c, ".")
-        cut = F.when(point > 0, F.substring(c, F.lit(1), point + kind.scale)).otherwise(c)
-        scientific = F.lower(c).contains("e")
+        point = f"instr({c}, '.')"
+        cut = f"CASE WHEN {point} > 0 THEN substr({c}, 1, {point} + {scale}) ELSE {c} END"
         return (
-            F.when(c.isin("NaN", "Infinity", "-Infinity"), F.lit(None).cast(target))
-            .when(scientific, cut_decimal(c.cast("decimal(38,18)"), kind))
-            .otherwise(cut.cast(target))
+            f"CASE WHEN {c} IN ('NaN', 'Infinity', '-Infinity') THEN NULL"
+            f" WHEN contains(lower({c}), 'e') THEN {wide} ELSE CAST({cut} AS {to}) END"
         )
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        finite = ~F.isnan(c) & (F.abs(c) != float("inf"))
-        return F.when(finite, cut_decimal(c.cast("decimal(38,18)"), kind))
-    if isinstance(dtype, T.DecimalType) and dtype.scale > kind.scale:
-        return cut_decimal(c, kind)
-    return c.cast(target)
+        return f"CASE WHEN NOT isnan({c}) AND abs({c}) < double('Infinity') THEN {wide} END"
+    if isinstance(dtype, T.DecimalType) and dtype.scale > scale:
+        return cut_decimal(c, scale, to)
+    return f"CAST({c} AS {to})"
 
 
-def portable(c: Column, dtype: T.DataType, kind: Declared, decimal: bool = False) -> Column:
+def portable(c: str, dtype: T.DataType, kind: Declared, decimal: bool = False) -> str:
     """One column in its portable type."""
     if kind.kind == "char":
-        return F.rtrim(source_text(c, dtype))
+        return f"rtrim({source_text(c, dtype)})"
     if kind.kind == "text":
         return source_text(c, dtype)
     text = is_text(dtype)
     if not text and not isinstance(dtype, NATIVE[kind.kind]):
-        raise TypeError(f"{dtype.simpleString()} values in a column declared {kind.name}")
+        raise TypeError(f"column {c}: {dtype.simpleString()} values, declared {kind.name}")
     if decimal and kind.exact:
         return exact_numeric(c, dtype, kind)
     target = kind.spark_type()
+    to = target.simpleString()
     if text and kind.kind in ("float32", "float64", "numeric"):
-        return number_of(c, target.simpleString())
+        return number_of(c, to)
     if text and kind.kind == "date":
         return date_of(c)
     if text and kind.kind in ("timestamp", "timestamptz"):
-        return timestamp_of(c, target.simpleString())
-    return c if dtype == target else c.cast(target)
+        return timestamp_of(c, to)
+    return c if dtype == target else f"CAST({c} AS {to})"
 
 
 def normalize(df: DataFrame, types: Types = None, decimal: bool = False) -> DataFrame:
@@ -112,11 +112,9 @@ def normalize(df: DataFrame, types: Types = None, decimal: bool = False) -> Data
     decimal numeric(p,s) up to 16 digits as exact decimals instead of doubles
     """
     df = unique_columns(df)
+    kinds = declared_columns(df, types)
     columns = []
-    for field, kind in zip(df.schema, declared_columns(df, types)):
-        try:
-            column = portable(F.col(quoted(field.name)), field.dataType, kind, decimal)
-        except TypeError as error:
-            raise TypeError(f"column {field.name!r}: {error}") from None
-        columns.append(tagged(column, field.name, kind.name))
-    return df.select(*columns)
+    for field, kind in zip(df.schema, kinds):
+        name = quoted(field.name)
+        columns.append(f"{portable(name, field.dataType, kind, decimal)} AS {name}")
+    return with_types(df.selectExpr(*columns), [kind.name for kind in kinds])

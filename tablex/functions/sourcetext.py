@@ -2,44 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import types as T
 
 from tablex.functions.declared import is_text
-from tablex.functions.temporal import INFINITE_DAYS, INFINITE_MICROS
+from tablex.functions.temporal import INFINITE_DAYS, INFINITE_MICROS, as_integer, finite_or_word
 
+# Fixed value: array items made of these characters only need no quotes.
+BARE_ITEM = r"""r'^[^\s{}",\\]+$'"""
 
-def finite_or_word(c: Column, number: Column, extreme: int, text: Column) -> Column:
-    return (
-        F.when(number == extreme, "infinity").when(number == -extreme, "-infinity").otherwise(text)
-    )
 
-
-def array_item(c: Column, dtype: T.DataType) -> Column:
-    text = source_text(c, dtype)
+def array_item(c: str, dtype: T.DataType, depth: int) -> str:
+    text = source_text(c, dtype, depth)
     if is_text(dtype):
-        escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-        plain = text.rlike(r'^[^\s{}",\\]+$') & (F.upper(text) != "NULL")
-        text = F.when(plain, text).otherwise(F.concat(F.lit('"'), escaped, F.lit('"')))
-    return F.coalesce(text, F.lit("NULL"))
+        escaped = rf"""replace(replace({c}, r'\', r'\\'), '"', r'\"')"""
+        bare = f"{c} RLIKE {BARE_ITEM} AND upper({c}) <> 'NULL'"
+        text = f"""CASE WHEN {bare} THEN {c} ELSE concat('"', {escaped}, '"') END"""
+    return f"coalesce({text}, 'NULL')"
 
 
-def source_text(c: Column, dtype: T.DataType) -> Column:
+def source_text(c: str, dtype: T.DataType, depth: int = 0) -> str:
     """Text form of a column; NULL stays NULL."""
     if is_text(dtype):
         return c
     if isinstance(dtype, T.BooleanType):
-        return F.when(c, "t").when(~c, "f")
+        return f"CASE WHEN {c} THEN 't' WHEN NOT {c} THEN 'f' END"
     if isinstance(dtype, T.DateType):
-        return finite_or_word(c, F.unix_date(c), INFINITE_DAYS, c.cast("string"))
-    if isinstance(dtype, T.TimestampNTZType):
-        micros = F.unix_micros(c.cast("timestamp"))
-        return finite_or_word(c, micros, INFINITE_MICROS, c.cast("string"))
-    if isinstance(dtype, T.TimestampType):
-        text = F.concat(c.cast("string"), F.lit("+00"))
-        return finite_or_word(c, F.unix_micros(c), INFINITE_MICROS, text)
+        return finite_or_word(as_integer(c, dtype), INFINITE_DAYS, f"CAST({c} AS STRING)")
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
+        text = f"CAST({c} AS STRING)"
+        if isinstance(dtype, T.TimestampType):
+            text = f"concat({text}, '+00')"
+        return finite_or_word(as_integer(c, dtype), INFINITE_MICROS, text)
     if isinstance(dtype, T.ArrayType):
-        items = F.transform(c, lambda item: array_item(item, dtype.elementType))
-        return F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}"))
+        item = array_item(f"item{depth}", dtype.elementType, depth + 1)
+        joined = f"array_join(transform({c}, item{depth} -> {item}), ',')"
+        return f"concat('{{', {joined}, '}}')"
     if isinstance(dtype, (T.MapType, T.StructType)):
-        return F.to_json(c)
-    return c.cast("string")
+        return f"to_json({c})"
+    return f"CAST({c} AS STRING)"

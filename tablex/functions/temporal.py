@@ -1,8 +1,12 @@
-"""Infinite dates and timestamps, and temporal values as integers."""
+"""Infinite dates and timestamps, and temporal values as integers.
+
+Here and in the modules beside this one an expression is SQL text: a relation of a thousand
+columns is then one `selectExpr`, not ten thousand calls into the JVM.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from tablex.functions.names import quoted
 
@@ -11,33 +15,37 @@ INFINITE_DAYS = 2**31 - 1
 INFINITE_MICROS = 2**63 - 1
 
 
-def infinite_date(sign: int) -> Column:
-    return F.date_from_unix_date(F.lit(sign * INFINITE_DAYS))
+def infinite_date(sign: int) -> str:
+    return f"date_from_unix_date({sign * INFINITE_DAYS})"
 
 
-def infinite_timestamp(sign: int) -> Column:
-    return F.timestamp_micros(F.lit(sign * INFINITE_MICROS))
+def infinite_timestamp(sign: int, to: str) -> str:
+    return f"CAST(timestamp_micros({sign * INFINITE_MICROS}L) AS {to})"
 
 
-def micros_of_day(c: Column) -> Column:
-    return F.call_function(
-        "time_diff", F.lit("MICROSECOND"), F.lit("00:00:00").cast("time(6)"), c
+def finite_or_word(number: str, extreme: int, text: str) -> str:
+    """`text`, unless the number behind it is one of the extremes."""
+    return (
+        f"CASE {number} WHEN {extreme}L THEN 'infinity' WHEN {-extreme}L THEN '-infinity'"
+        f" ELSE {text} END"
     )
 
 
-def as_integer(c: Column, dtype: T.DataType) -> Column:
+def as_integer(c: str, dtype: T.DataType) -> str:
     """Days for dates, microseconds for timestamps and times; other types unchanged."""
     if isinstance(dtype, T.DateType):
-        return F.unix_date(c)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
+        return f"unix_date({c})"
+    if isinstance(dtype, T.TimestampType):
+        return f"unix_micros({c})"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"unix_micros(CAST({c} AS TIMESTAMP))"
     if isinstance(dtype, T.TimeType):
-        return micros_of_day(c)
+        return f"time_diff('MICROSECOND', CAST('00:00:00' AS TIME(6)), {c})"
     return c
 
 
 def encode_temporal(df: DataFrame) -> DataFrame:
     """Temporal columns as integers, so that every value survives any client."""
-    return df.select(
-        *[as_integer(F.col(quoted(f.name)), f.dataType).alias(f.name) for f in df.schema]
-    )
+    names = [quoted(field.name) for field in df.schema]
+    columns = [as_integer(name, field.dataType) for name, field in zip(names, df.schema)]
+    return df.selectExpr(*[f"{column} AS {name}" for column, name in zip(columns, names)])

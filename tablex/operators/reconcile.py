@@ -41,8 +41,7 @@ def unmatched_hashes(a: DataFrame, b: DataFrame) -> DataFrame:
     """
 
     def hashed(df: DataFrame, weight: int) -> DataFrame:
-        h1, h2 = row_hash(df)
-        return df.select(h1.alias("h1"), h2.alias("h2"), F.lit(weight).alias("weight"))
+        return df.selectExpr(*row_hash(df.schema, "h1", "h2"), f"{weight} AS weight")
 
     both = hashed(a, 1).unionAll(hashed(b, -1))
     surplus = both.groupBy("h1", "h2").agg(F.sum("weight").alias("surplus"))
@@ -54,16 +53,12 @@ def surplus_rows(df: DataFrame, hashes: DataFrame, keys: Sequence[str]) -> DataF
 
     The hashes are a stored table: Spark broadcasts it if its size allows, else shuffles.
     """
-    h1, h2 = row_hash(df)
-    k1, k2 = row_hash(df.select(*[quoted(k) for k in keys]))
-    cells = F.array(*[comparable_text(F.col(quoted(f.name)), f.dataType) for f in df.schema])
-    rows = df.select(
-        h1.alias("h1"),
-        h2.alias("h2"),
-        k1.alias("k1"),
-        k2.alias("k2"),
-        F.struct(*[quoted(k) for k in keys]).alias("key"),
-        cells.alias("cells"),
+    cells = [comparable_text(quoted(f.name), f.dataType) for f in df.schema]
+    rows = df.selectExpr(
+        *row_hash(df.schema, "h1", "h2"),
+        *row_hash([df.schema[k] for k in keys], "k1", "k2"),
+        f"struct({', '.join(map(quoted, keys))}) AS key",
+        f"array({', '.join(cells)}) AS cells",
     )
     found = rows.join(hashes, ["h1", "h2"])
     return found.dropDuplicates(["h1", "h2"]).withColumnRenamed("surplus", "copies")
@@ -115,23 +110,32 @@ def diff_cells(
 def changed_cells(
     pairs: DataFrame, schema: T.StructType, tolerance_us: int, keys: Sequence[str]
 ) -> DataFrame:
-    differing = []
-    for i, field in enumerate(schema):
-        want, got = F.col("want_cells")[i], F.col("got_cells")[i]
-        equal = want.eqNullSafe(got)
-        if tolerance_us and isinstance(field.dataType, MOMENT):
-            close = near(want.cast("bigint"), got.cast("bigint"), tolerance_us)
-            equal = F.coalesce(close, equal)
-        entry = F.struct(F.lit(field.name).alias("column"), want.alias("want"), got.alias("got"))
-        differing.append(F.when(~equal, entry))
+    """The cells in which the two rows of a key differ."""
+    close = ""
+    if tolerance_us:
+        moments = [str(i) for i, f in enumerate(schema) if isinstance(f.dataType, MOMENT)]
+        instants = [f"CAST(pair.{side} AS BIGINT)" for side in ("want", "got")]
+        if moments:
+            close = (
+                f" AND NOT (CASE WHEN pair.i IN ({', '.join(moments)})"
+                f" THEN coalesce({near(*instants, tolerance_us)}, false) ELSE false END)"
+            )
+    names = F.array(*[F.lit(name) for name in schema.names])
     return (
-        pairs.select("key", F.explode(F.array_compact(F.array(*differing))).alias("cell"))
+        pairs.withColumn("names", names)
+        .selectExpr(
+            "key",
+            "explode(transform(arrays_zip(names, want_cells, got_cells), (cell, i) ->"
+            " struct(cell.names AS column, cell.want_cells AS want, cell.got_cells AS got, i)))"
+            " AS pair",
+        )
+        .where("NOT (pair.want <=> pair.got)" + close)
         .select(
             *key_columns(keys),
             F.lit("changed").alias("status"),
-            "cell.column",
-            "cell.want",
-            "cell.got",
+            "pair.column",
+            "pair.want",
+            "pair.got",
             F.lit(1).cast("bigint").alias("copies"),
         )
     )
@@ -176,23 +180,29 @@ def diff_report(diffs: DataFrame, keys: Sequence[str], per_column: int = 3) -> D
     )
 
 
+# Digest words are added up in pieces of 20 bits: a bigint then holds the sum of 2^43 rows.
+PIECE = 0xFFFFF
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: rows, columns and a digest that depends on content, not on row or column order.
 
-    Row digests are added up in four words, so nothing is sorted and one row per task is shuffled.
+    120 bits of each row's SHA-256 are added up, so nothing is sorted and a task passes on one
+    row of sums.
     """
     df = unique_columns(df)
-    digests = df.select(F.sha2(row_text(df), 256).alias("d"))
-    words = [F.conv(F.substring("d", start, 15), 16, 10) for start in (1, 16, 31, 46)]
-    sums = [F.coalesce(F.sum(w.cast("decimal(20,0)")), F.lit(0)).alias(f"w{i}") for i, w in enumerate(words)]
-    names = F.lit(",".join(sorted(df.columns)))
-    total = digests.agg(F.count(F.lit(1)).alias("rows"), *sums)
-    parts = [F.col(f"w{i}").cast("string") for i in range(len(words))]
-    return total.select(
-        "rows",
-        names.alias("columns"),
-        F.sha2(F.concat_ws("|", names, F.col("rows").cast("string"), *parts), 256).alias("fingerprint"),
+    digests = df.selectExpr(f"sha2({row_text(df.schema)}, 256) AS d")
+    words = digests.selectExpr(
+        *[f"CAST(conv(substr(d, {1 + 15 * i}, 15), 16, 10) AS BIGINT) AS w{i}" for i in range(2)]
+    )
+    pieces = [f"shiftright(w{i}, {bits}) & {PIECE}" for i in range(2) for bits in (40, 20, 0)]
+    total = words.selectExpr(
+        "count(1) AS rows", *[f"coalesce(sum({p}), 0) AS s{i}" for i, p in enumerate(pieces)]
     )
+    names = F.lit(",".join(sorted(df.columns)))
+    sums = [F.col(f"s{i}").cast("string") for i in range(len(pieces))]
+    text = F.concat_ws("|", names, F.col("rows").cast("string"), *sums)
+    return total.select("rows", names.alias("columns"), F.sha2(text, 256).alias("fingerprint"))
 
 
 CHECKS = "case string, check string, subject string, want string, got string"

@@ -207,23 +207,23 @@ ORACLES = {
     "true AS equal FROM customer",
     "fingerprint": """
         WITH digests AS (
-            SELECT sha256(length(CAST(doc_id AS VARCHAR)) || ':' || doc_id
-                          || length(lang) || ':' || lang
-                          || length(CAST(n_chars AS VARCHAR)) || ':' || n_chars
-                          || length(source) || ':' || source
-                          || length(text) || ':' || text) AS d
+            SELECT sha256(concat_ws('|', doc_id, length(lang) || ':' || lang, n_chars,
+                                    length(source) || ':' || source,
+                                    length(text) || ':' || text)) AS d
             FROM documents
+        ), words AS (
+            SELECT CAST('0x' || substr(d, 1, 15) AS BIGINT) AS w0,
+                   CAST('0x' || substr(d, 16, 15) AS BIGINT) AS w1
+            FROM digests
         ), totals AS (
             SELECT count(*) AS n,
-                   sum(CAST('0x' || substr(d, 1, 15) AS BIGINT)) AS w0,
-                   sum(CAST('0x' || substr(d, 16, 15) AS BIGINT)) AS w1,
-                   sum(CAST('0x' || substr(d, 31, 15) AS BIGINT)) AS w2,
-                   sum(CAST('0x' || substr(d, 46, 15) AS BIGINT)) AS w3
-            FROM digests
+                   concat_ws('|', sum(w0 >> 40), sum((w0 >> 20) & 1048575), sum(w0 & 1048575),
+                                  sum(w1 >> 40), sum((w1 >> 20) & 1048575), sum(w1 & 1048575))
+                       AS sums
+            FROM words
         )
         SELECT n AS "rows", 'doc_id,lang,n_chars,source,text' AS "columns",
-               sha256('doc_id,lang,n_chars,source,text|' || n || '|' || w0 || '|' || w1 || '|'
-                      || w2 || '|' || w3) AS fingerprint
+               sha256('doc_id,lang,n_chars,source,text|' || n || '|' || sums) AS fingerprint
         FROM totals
     """,
 }

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tablex.functions.names import quoted
 from tablex.functions.normalize import normalize
 from tablex.operators.profile import extract_count
 from tablex.sources.tables import query, register, scan
@@ -66,30 +65,32 @@ def generated_rows(spark: SparkSession, sf: str) -> DataFrame:
 WIDTH = 1000
 
 
+def wide_column(g: int) -> tuple[str, str]:
+    """(source text, declared type) of the g-th wide column, r being the row number."""
+    if g % 3 == 0:
+        return f"CAST(r * {g} AS STRING)", "int8"
+    if g % 3 == 1:
+        return f"concat('v{g}_', r)", "text"
+    return f"concat(r * {g} DIV 100, '.', lpad(r * {g} % 100, 2, '0'))", "numeric(10,2)"
+
+
 def wide_1000(spark: SparkSession, sf: str) -> DataFrame:
-    """A thousand columns per customer, normalised from text, summed up column by column."""
-    key = F.col("c_custkey") + 1
-    columns, types, sums = [], {}, []
-    for g in range(1, WIDTH + 1):
-        name = f"c{g}"
-        value = F.col(name)
-        if g % 3 == 0:
-            columns.append((key * g).cast("string").alias(name))
-            types[name] = "int8"
-            sums.append(F.sum(value))
-        elif g % 3 == 1:
-            columns.append(F.concat(F.lit(f"v{g}_"), key.cast("string")).alias(name))
-            types[name] = "text"
-            sums.append(F.sum(F.length(value)))
-        else:
-            text = ((key * g).cast("decimal(20,0)") / 100).cast("decimal(20,2)").cast("string")
-            columns.append(text.alias(name))
-            types[name] = "numeric(10,2)"
-            sums.append(F.sum(F.round(value * 100).cast("bigint")))
-    wide = normalize(scan(spark, sf, "customer").select(*columns), types)
-    totals = wide.agg(*[s.alias(f"c{g}") for g, s in enumerate(sums, start=1)])
-    pairs = [F.struct(F.lit(n).alias("name"), F.col(quoted(n)).alias("checksum")) for n in types]
-    return totals.select(F.explode(F.array(*pairs)).alias("total")).select("total.*")
+    """A thousand columns per customer, normalised from text, added up row by row."""
+    columns = {f"c{g}": wide_column(g) for g in range(1, WIDTH + 1)}
+    customers = scan(spark, sf, "customer").selectExpr("c_custkey + 1 AS r")
+    texts = customers.selectExpr("r", *[f"{text} AS {c}" for c, (text, _) in columns.items()])
+    wide = normalize(texts, {c: type_name for c, (_, type_name) in columns.items()})
+
+    def total(remainder: int, value: str) -> str:
+        cells = ", ".join(f"c{g}" for g in range(1, WIDTH + 1) if g % 3 == remainder)
+        return f"aggregate(array({cells}), 0L, (total, c) -> total + {value})"
+
+    return wide.selectExpr(
+        "r",
+        f"{total(0, 'c')} AS integers",
+        f"{total(1, 'length(c)')} AS characters",
+        f"{total(2, 'CAST(floor(c * 100 + 0.5D) AS BIGINT)')} AS cents",
+    )
 
 
 def left_join_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,11 +193,13 @@ ORACLES = {
                     FROM orders))
     """,
     "wide_1000": f"""
-        SELECT 'c' || g AS name,
-               CAST(sum(CASE g % 3 WHEN 1 THEN length('v' || g || '_' || (c_custkey + 1))
-                                   ELSE g * (c_custkey + 1) END) AS BIGINT) AS checksum
+        SELECT c_custkey + 1 AS r,
+               CAST(sum(g * (c_custkey + 1)) FILTER (WHERE g % 3 = 0) AS BIGINT) AS integers,
+               CAST(sum(length('v' || g || '_' || (c_custkey + 1))) FILTER (WHERE g % 3 = 1)
+                    AS BIGINT) AS characters,
+               CAST(sum(g * (c_custkey + 1)) FILTER (WHERE g % 3 = 2) AS BIGINT) AS cents
         FROM customer, generate_series(1, {WIDTH}) AS series(g)
-        GROUP BY g
+        GROUP BY c_custkey
     """,
     "left_join_keys": """
         SELECT a.conv_id, a.turn, a.role, coalesce(b.role, '') AS answered_by

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.ansi.doubleQuotedIdentifiers": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.timeType.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes of code; a projection of many columns
+    # fused into one method would be interpreted. Beyond this size Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, types as T
 
 from tablex.functions.declared import source_type
 from tablex.functions.names import quoted, unique_columns
@@ -11,13 +11,20 @@ from tablex.sinks.files import commit, counted
 from tablex.sources.copytext import ESCAPES
 
 
-def escaped(text: Column) -> Column:
-    text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+def escaped(text: str) -> str:
+    text = rf"replace({text}, r'\', r'\\')"
     for letter, char in ESCAPES.items():
-        text = F.replace(text, F.lit(char), F.lit("\\" + letter))
+        text = rf"replace({text}, chr({ord(char)}), r'\{letter}')"
     return text
 
 
+def dump_field(field: T.StructField) -> str:
+    """Numbers, truth values and moments hold nothing to escape."""
+    text = source_text(quoted(field.name), field.dataType)
+    plain = isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DatetimeType, T.TimeType))
+    return rf"coalesce({text if plain else escaped(text)}, r'\N')"
+
+
 def dump_types(df: DataFrame) -> list[tuple[str, str]]:
     """(name, declared type) of every column, as `read_copy` wants them."""
     df = unique_columns(df)
@@ -26,12 +33,8 @@ def dump_types(df: DataFrame) -> list[tuple[str, str]]:
 
 def copy_lines(df: DataFrame) -> DataFrame:
     """One text line per row."""
-    df = unique_columns(df)
-    fields = []
-    for field in df.schema:
-        text = source_text(F.col(quoted(field.name)), field.dataType)
-        fields.append(F.coalesce(escaped(text), F.lit("\\N")))
-    return df.select(F.concat_ws("\t", *fields).alias("value"))
+    fields = [dump_field(field) for field in unique_columns(df).schema]
+    return unique_columns(df).selectExpr(f"concat_ws(chr(9), {', '.join(fields)}) AS value")
 
 
 def write_copy(df: DataFrame, path: str, mode: str = "overwrite") -> int:

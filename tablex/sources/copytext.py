@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablex.functions.declared import tagged
-from tablex.functions.names import unique_names
+from tablex.functions.declared import declared, with_types
+from tablex.functions.names import quoted, unique_names
 from tablex.session import configure
 
 # The single-letter escapes of the dump format.
@@ -19,58 +19,57 @@ ESCAPES = {
 }
 
 
-def octal_head(part: Column) -> Column:
+def octal_head(part: str) -> str:
     """A part that starts with one to three octal digits, with that character put in."""
-    digits = F.regexp_extract(part, "^([0-7]{1,3})", 1)
-    unit = F.lpad(F.conv(digits, 8, 16), 4, "0")
-    char = F.decode(F.unhex(unit), "UTF-16BE")
-    return F.concat(char, F.substring(part, F.length(digits) + 1, F.length(part)))
+    digits = f"regexp_extract({part}, '^([0-7]{{1,3}})', 1)"
+    char = f"decode(unhex(lpad(conv({digits}, 8, 16), 4, '0')), 'UTF-16BE')"
+    return f"concat({char}, substr({part}, length({digits}) + 1))"
 
 
-def unescape_piece(piece: Column) -> Column:
+def unescape_piece(piece: str) -> str:
     """Decode a text in which every back-slash starts an escape other than the doubled one."""
     for letter, char in ESCAPES.items():
-        piece = F.replace(piece, F.lit("\\" + letter), F.lit(char))
-    piece = F.regexp_replace(piece, r"\\([^0-7])", "$1")
-    parts = F.split(piece, r"\\(?=[0-7])")
-    decoded = F.transform(F.slice(parts, F.lit(2), F.size(parts)), octal_head)
-    return F.when(
-        F.size(parts) > 1, F.concat(F.element_at(parts, 1), F.array_join(decoded, ""))
-    ).otherwise(piece)
+        piece = rf"replace({piece}, r'\{letter}', chr({ord(char)}))"
+    piece = rf"regexp_replace({piece}, r'\\([^0-7])', '$1')"
+    parts = rf"split({piece}, r'\\(?=[0-7])')"
+    tail = f"transform(slice({parts}, 2, size({parts})), part -> {octal_head('part')})"
+    return (
+        f"CASE WHEN size({parts}) = 1 THEN {piece}"
+        f" ELSE concat({parts}[0], array_join({tail}, '')) END"
+    )
 
 
-def unescape(field: Column) -> Column:
+def unescape(field: str) -> str:
     r"""Decode one field; `\N` is NULL.
 
     Splitting on the doubled back-slash first leaves pieces whose escapes cannot overlap.
     """
-    pieces = F.split(field, r"\\\\")
-    decoded = F.array_join(F.transform(pieces, unescape_piece), "\\")
+    pieces = rf"split({field}, r'\\\\')"
     return (
-        F.when(field == "\\N", F.lit(None).cast("string"))
-        .when(~field.contains("\\"), field)
-        .otherwise(decoded)
+        rf"CASE WHEN {field} = r'\N' THEN NULL WHEN NOT contains({field}, r'\') THEN {field}"
+        rf" ELSE array_join(transform({pieces}, piece -> {unescape_piece('piece')}), r'\') END"
     )
 
 
+def copy_field(field: str, type_name: str) -> str:
+    """Only text can need escapes; in a number or a date they would fail its cast."""
+    if declared(type_name).kind in ("text", "char"):
+        return unescape(field)
+    return rf"nullif({field}, r'\N')"
+
+
 def copy_columns(lines: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
     """Lines in a `value` column as one text column per declared column."""
-    fields = F.split("value", "\t", -1)
-    wrong = F.concat(F.lit(f"want {len(columns)} fields: "), F.col("value"))
-    checked = F.when(F.size("fields") == len(columns), F.col("fields")).otherwise(
-        F.raise_error(wrong)
-    )
+    wrong = f"raise_error(concat('want {len(columns)} fields: ', value))"
+    checked = f"CASE WHEN size(fields) = {len(columns)} THEN fields ELSE {wrong} END AS fields"
     names = unique_names([name for name, _ in columns])
-    return (
-        lines.select("value", fields.alias("fields"))
-        .select(checked.alias("fields"))
-        .select(
-            *[
-                tagged(unescape(F.col("fields")[i]), name, type_name)
-                for i, (name, (_, type_name)) in enumerate(zip(names, columns))
-            ]
-        )
-    )
+    type_names = [type_name for _, type_name in columns]
+    split = lines.selectExpr("value", "split(value, chr(9), -1) AS fields").selectExpr(checked)
+    fields = [
+        f"{copy_field(f'fields[{i}]', type_name)} AS {quoted(name)}"
+        for i, (name, type_name) in enumerate(zip(names, type_names))
+    ]
+    return with_types(split.selectExpr(*fields), type_names)
 
 
 def read_copy(spark: SparkSession, path: str, columns: list[tuple[str, str]]) -> DataFrame:

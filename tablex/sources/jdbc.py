@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tablex.functions.declared import declared, tagged
+from tablex.functions.declared import declared, with_types
 from tablex.functions.names import quoted
 from tablex.session import configure
 
@@ -96,7 +96,7 @@ def scan_jdbc(
     slices = sql_quoted(slice_name(names)) if partition_column else ""
     options = jdbc_options(url, sql, slices, lower, upper, partitions, fetch_size)
     reader = configure(spark).read.format("jdbc").options(**options, **(properties or {}))
-    return reader.load().select(*[tagged(F.col(quoted(n)), n, types[n]) for n in names])
+    return with_types(reader.load().select(*map(quoted, names)), [types[n] for n in names])
 
 
 def query_jdbc(
