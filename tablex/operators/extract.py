@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tablex.functions.equality import row_hash
 from tablex.functions.names import quoted
 from tablex.sources.tables import query, scan
 
@@ -25,15 +26,30 @@ def where(df: DataFrame, predicate: str = "") -> DataFrame:
     return df.where(predicate) if predicate else df
 
 
-def ordered(df: DataFrame, keys: Iterable[str | tuple[str, str]]) -> DataFrame:
-    """Rows by the keys, names or (name, 'desc'); NULL sorts above every value."""
+def sort_keys(keys: Iterable[str | tuple[str, str]]) -> list[Column]:
     columns = []
     for key in keys:
         name, direction = (key, "asc") if isinstance(key, str) else key
         column = F.col(quoted(name))
         descending = direction.lower() == "desc"
         columns.append(column.desc_nulls_first() if descending else column.asc_nulls_last())
-    return df.orderBy(*columns) if columns else df
+    return columns
+
+
+def ordered(
+    df: DataFrame, keys: Iterable[str | tuple[str, str]], steady_scan: bool = False
+) -> DataFrame:
+    """Rows by the keys, names or (name, 'desc'); NULL sorts above every value.
+
+    Spark sorts by ranges of the keys, and all rows of one key fall into one range. A last key
+    that tells such rows apart lets a frequent key spread over many ranges: a hash of the row,
+    or, where partitions hold the same rows each time they are read, the row's place in the scan.
+    """
+    columns = sort_keys(keys)
+    if not columns:
+        return df
+    place = F.monotonically_increasing_id()
+    return df.orderBy(*columns, place if steady_scan else F.expr(row_hash(df.schema, 1)))
 
 
 def limit(df: DataFrame, n: int = 0) -> DataFrame:
@@ -82,8 +98,8 @@ def extract(
 ) -> DataFrame:
     """One extract. A raw SQL text overrides every other option.
 
-    The predicate may use columns the extract does not keep. With an order the limit is a
-    top-n, which Spark keeps per partition before it merges.
+    The predicate may use columns the extract does not keep. With an order a limit is a top-n,
+    of which Spark keeps n rows per partition before it merges.
     """
     if sql:
         return query(spark, sql)
@@ -93,5 +109,6 @@ def extract(
     source = where(scan(spark, schema, table), predicate)
     if not keys:
         return limit(project(source, columns), rows)
-    source = ordered(source, keys)
-    return project(source.limit(rows) if rows > 0 else source, columns)
+    if rows > 0:
+        return project(source.orderBy(*sort_keys(keys)).limit(rows), columns)
+    return project(ordered(source, keys, steady_scan=True), columns)

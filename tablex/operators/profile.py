@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablex.functions.declared import source_type
@@ -40,6 +41,15 @@ def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> tuple[DataFrame, DataFrame]
     return sample(df, n if n > 0 else PREVIEW_ROWS), extract_count(df)
 
 
+def from_files(df: DataFrame) -> bool:
+    """Whether every row can name the file it came from."""
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        return False
+    return True
+
+
 def file_sizes(df: DataFrame) -> DataFrame:
     """(rows, bytes) of a table read from files, in one scan that reads no column.
 
@@ -64,7 +74,7 @@ def profile(
     """
     parts = []
     for name, df in tables.items():
-        if df.inputFiles():
+        if from_files(df):
             sizes = file_sizes(df)
         else:
             sizes = extract_count(df).select(

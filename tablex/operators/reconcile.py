@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -34,6 +34,12 @@ def diff_counts(a: DataFrame, b: DataFrame) -> DataFrame:
     return counts.withColumn("equal", F.col("want_rows") == F.col("got_rows"))
 
 
+def hash_pair(fields: Iterable[T.StructField], name: str) -> list[str]:
+    """128 bits of a row, as two bigints."""
+    fields = list(fields)
+    return [f"{row_hash(fields, seed)} AS {name}{seed}" for seed in (1, 2)]
+
+
 def unmatched_hashes(a: DataFrame, b: DataFrame) -> DataFrame:
     """Row hashes that one side holds more often than the other, with the surplus of a.
 
@@ -41,7 +47,7 @@ def unmatched_hashes(a: DataFrame, b: DataFrame) -> DataFrame:
     """
 
     def hashed(df: DataFrame, weight: int) -> DataFrame:
-        return df.selectExpr(*row_hash(df.schema, "h1", "h2"), f"{weight} AS weight")
+        return df.selectExpr(*hash_pair(df.schema, "h"), f"{weight} AS weight")
 
     both = hashed(a, 1).unionAll(hashed(b, -1))
     surplus = both.groupBy("h1", "h2").agg(F.sum("weight").alias("surplus"))
@@ -55,8 +61,8 @@ def surplus_rows(df: DataFrame, hashes: DataFrame, keys: Sequence[str]) -> DataF
     """
     cells = [comparable_text(quoted(f.name), f.dataType) for f in df.schema]
     rows = df.selectExpr(
-        *row_hash(df.schema, "h1", "h2"),
-        *row_hash([df.schema[k] for k in keys], "k1", "k2"),
+        *hash_pair(df.schema, "h"),
+        *hash_pair([df.schema[k] for k in keys], "k"),
         f"struct({', '.join(map(quoted, keys))}) AS key",
         f"array({', '.join(cells)}) AS cells",
     )

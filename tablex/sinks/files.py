@@ -13,20 +13,13 @@ CLASSIC_ROW_GROUP = 10_000
 
 
 def optional_fields(df: DataFrame) -> DataFrame:
-    """Columns that can never be NULL, such as counts, written as optional fields all the same.
+    """Every column as an optional field, also one that can never be NULL, such as a count.
 
     The guard is always true; Spark does not fold it away because a partition's number is only
     known in the task.
     """
-    if all(field.nullable for field in df.schema):
-        return df
-    always = F.spark_partition_id() >= 0
-    return df.select(
-        *[
-            F.col(quoted(f.name)) if f.nullable else F.when(always, F.col(quoted(f.name))).alias(f.name)
-            for f in df.schema
-        ]
-    )
+    names = [quoted(name) for name in df.columns]
+    return df.selectExpr(*[f"CASE WHEN spark_partition_id() >= 0 THEN {n} END AS {n}" for n in names])
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:

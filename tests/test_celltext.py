@@ -1,0 +1,62 @@
+import pytest
+
+from tablex import csv_text, normalize
+
+
+@pytest.mark.parametrize(
+    "sql, want",
+    [
+        ("CAST(NULL AS STRING)", ""),
+        ("'hello'", "hello"),
+        ("42", "42"),
+        ("3.14D", "3.14"),
+        ("true", "true"),
+        ("date'2020-01-02'", "2020-01-02"),
+        ("timestamp_ntz'2020-01-02 00:00:00'", "2020-01-02"),
+        ("timestamp_ntz'2020-01-02 15:04:05'", "2020-01-02T15:04:05Z"),
+        ("timestamp'2020-01-02 15:04:05.5'", "2020-01-02T15:04:05Z"),
+        ("timestamp'2020-01-02 00:00:00.5'", "2020-01-02T00:00:00Z"),
+        ("timestamp_ntz'0001-01-01 00:00:01'", "0001-01-01T00:00:01Z"),
+        ("123.45BD", "123.45"),
+        ("123.4500BD", "123.45"),
+        ("42BD", "42"),
+        ("5000BD", "5000"),
+        ("0.0000000000BD", "0"),
+        ("42D", "42"),
+        ("-0D", "-0"),
+        ("0D", "0"),
+        ("100D", "100"),
+        ("double('NaN')", "NaN"),
+        ("double('Infinity')", "+Inf"),
+        ("double('-Infinity')", "-Inf"),
+        ("12345678D", "12345678"),
+        ("123456789012.25D", "123456789012.25"),
+        ("1e20D", "100000000000000000000"),
+        ("1e21D", "1e+21"),
+        ("1.5e300D", "1.5e+300"),
+        ("0.00015D", "0.00015"),
+        ("0.000015D", "1.5e-05"),
+        ("-2.5e-7D", "-2.5e-07"),
+        ("1.5F", "1.5"),
+        ("date_from_unix_date(2147483647)", "infinity"),
+        ("date_from_unix_date(-2147483647)", "-infinity"),
+        ("timestamp_micros(9223372036854775807)", "infinity"),
+        ("CAST('09:30:00.5' AS TIME(6))", "09:30:00.5"),
+        ("array(1, NULL)", "{1,NULL}"),
+    ],
+)
+def test_cell(spark, sql, want):
+    assert csv_text(spark.sql(f"SELECT {sql} AS c")).first().c == want
+
+
+def test_fraction_keeps_microseconds(spark):
+    df = spark.sql("SELECT timestamp'2020-01-02 03:04:05.120000' AS a, timestamp'2020-01-02 03:04:05' AS b")
+    assert tuple(csv_text(df, fraction=True).first()) == (
+        "2020-01-02T03:04:05.12Z", "2020-01-02T03:04:05Z",
+    )
+
+
+def test_numeric_prints_infinity_in_words(spark):
+    df = spark.createDataFrame([("Infinity",), ("-Infinity",), ("NaN",), ("5000",)], "n string")
+    cells = [r.n for r in csv_text(normalize(df, {"n": "numeric"})).collect()]
+    assert cells == ["Infinity", "-Infinity", "NaN", "5000"]
