@@ -50,19 +50,21 @@ def from_files(df: DataFrame) -> bool:
     return True
 
 
-def file_sizes(df: DataFrame) -> DataFrame:
-    """(rows, bytes) of a table read from files, in one scan that reads no column.
+def file_rows(df: DataFrame, table: str) -> DataFrame:
+    """(table, file, size, rows) entries that add up to the table; none of its columns is read.
 
-    Each row brings the name and size of its file; map-side aggregation leaves one row per
-    file before anything is shuffled.
+    The entry of no rows keeps an empty table in the sum.
     """
-    files = df.groupBy("_metadata.file_path", "_metadata.file_size").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    return files.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"),
+    if from_files(df):
+        entries = df.select("_metadata.file_path", "_metadata.file_size", F.lit(1).alias("rows"))
+        size = F.lit(0)
+    else:
+        size = F.lit(None)
+        entries = df.select(F.lit(None).cast("string"), size.cast("bigint"), F.lit(1))
+    none = df.sparkSession.range(0, 1, 1, 1).select(
+        F.lit(None).cast("string"), size.cast("bigint"), F.lit(0)
     )
+    return entries.unionAll(none).toDF("file", "size", "rows").withColumn("table", F.lit(table))
 
 
 def profile(
@@ -70,26 +72,21 @@ def profile(
 ) -> DataFrame:
     """One row per table: schema, table, comment, row_count, bytes.
 
-    Bytes count the files that hold rows; they are NULL for a table not read from files.
+    All tables are counted together: each row brings the name and size of its file, and map-side
+    aggregation leaves one entry per file and task. Bytes count the files that hold rows; they
+    are NULL for a table not read from files.
     """
-    parts = []
-    for name, df in tables.items():
-        if from_files(df):
-            sizes = file_sizes(df)
-        else:
-            sizes = extract_count(df).select(
-                F.col("rows").alias("row_count"), F.lit(None).cast("bigint").alias("bytes")
-            )
-        parts.append(
-            sizes.select(
-                F.lit(schema).alias("schema"),
-                F.lit(name).alias("table"),
-                F.lit((comments or {}).get(name)).cast("string").alias("comment"),
-                "row_count",
-                "bytes",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    entries = reduce(DataFrame.unionAll, [file_rows(df, name) for name, df in tables.items()])
+    files = entries.groupBy("table", "file", "size").agg(F.sum("rows").alias("rows"))
+    sizes = files.groupBy("table").agg(
+        F.sum("rows").alias("row_count"), F.sum("size").alias("bytes")
+    )
+    comment = F.lit(None).cast("string")
+    for name, text in (comments or {}).items():
+        comment = F.when(F.col("table") == name, text).otherwise(comment)
+    return sizes.select(
+        F.lit(schema).alias("schema"), "table", comment.alias("comment"), "row_count", "bytes"
+    )
 
 
 def dictionary(

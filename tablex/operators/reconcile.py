@@ -13,15 +13,20 @@ from tablex.functions.names import quoted, unique_columns
 from tablex.session import configure, stored
 
 
-def diff_schema(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Dictionary rows (ordinal, name, kind) that differ, paired by ordinal; a missing side is NULL."""
-    want = expected.select("ordinal", F.col("name").alias("want_name"), F.col("kind").alias("want_kind"))
-    got = actual.select("ordinal", F.col("name").alias("got_name"), F.col("kind").alias("got_kind"))
-    both = want.join(got, "ordinal", "full")
-    agree = F.col("want_name").eqNullSafe(F.col("got_name")) & F.col("want_kind").eqNullSafe(
-        F.col("got_kind")
-    )
-    return both.where(~agree)
+def diff_schema(
+    expected: DataFrame, actual: DataFrame, accepted: Sequence[tuple[str, str]] = ()
+) -> DataFrame:
+    """Dictionary rows (ordinal, name, kind) that differ, paired by ordinal; a missing side is NULL.
+
+    accepted    (expected, actual) kinds that pass as equal, for a reader that cannot tell them
+                apart, such as ("timestamptz", "timestamp")
+    """
+    want = expected.selectExpr("ordinal", "name AS want_name", "kind AS want_kind")
+    got = actual.selectExpr("ordinal", "name AS got_name", "kind AS got_kind")
+    kinds = "want_kind <=> got_kind"
+    for a, b in accepted:
+        kinds += f" OR want_kind <=> '{a}' AND got_kind <=> '{b}'"
+    return want.join(got, "ordinal", "full").where(f"NOT (want_name <=> got_name AND ({kinds}))")
 
 
 def diff_counts(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -215,18 +220,22 @@ CHECKS = "case string, check string, subject string, want string, got string"
 
 
 def reconcile(
-    spark: SparkSession, cases: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]
+    spark: SparkSession,
+    cases: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]],
+    tolerance_us: int = 0,
+    accepted: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
     """Every problem of every case: case, check, subject, want, got. No row means all is equal.
 
-    cases   name -> (expected, actual, key columns)
+    cases       name -> (expected, actual, key columns), one per table and reader
+    tolerance_us, accepted  what passes as equal, see `diff_cells` and `diff_schema`
 
     Cells are compared in the columns both sides have with the same kind.
     """
     parts = []
     for name, (a, b, keys) in cases.items():
         a, b = unique_columns(a), unique_columns(b)
-        schema = diff_schema(actual_kinds(a), actual_kinds(b))
+        schema = diff_schema(actual_kinds(a), actual_kinds(b), accepted)
         parts.append(
             schema.select(
                 F.lit(name).alias("case"),
@@ -246,10 +255,10 @@ def reconcile(
                 F.col("got_rows").cast("string").alias("got"),
             )
         )
-        shared = shared_columns(a, b)
+        shared = shared_columns(a, b, accepted)
         if set(keys) <= set(shared):
             columns = [quoted(c) for c in shared]
-            cells = diff_cells(a.select(*columns), b.select(*columns), keys)
+            cells = diff_cells(a.select(*columns), b.select(*columns), keys, tolerance_us)
             key = F.concat_ws(",", *[F.col(quoted(k)).cast("string") for k in keys])
             parts.append(
                 cells.select(
@@ -263,9 +272,16 @@ def reconcile(
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], CHECKS)
 
 
-def shared_columns(a: DataFrame, b: DataFrame) -> list[str]:
-    kinds = {f.name: reader_label(f.dataType) for f in b.schema}
-    return [f.name for f in a.schema if kinds.get(f.name) == reader_label(f.dataType)]
+def shared_columns(
+    a: DataFrame, b: DataFrame, accepted: Sequence[tuple[str, str]]
+) -> list[str]:
+    got = {f.name: reader_label(f.dataType) for f in b.schema}
+    want = {f.name: reader_label(f.dataType) for f in a.schema}
+    return [
+        name
+        for name, kind in want.items()
+        if got.get(name) == kind or (kind, got.get(name)) in accepted
+    ]
 
 
 def verdict(problems: DataFrame) -> DataFrame:

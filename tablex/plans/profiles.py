@@ -9,7 +9,6 @@ from tablex.operators.profile import (
     catalog_dictionary,
     dictionary,
     extract_count,
-    file_sizes,
     info_json,
     profile,
     sample,
@@ -60,10 +59,6 @@ def table_profile(spark: SparkSession, sf: str) -> DataFrame:
     return sizes.withColumn("has_bytes", F.col("bytes") > 0).drop("bytes", "comment")
 
 
-def file_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return file_sizes(scan(spark, sf, "lineitem")).select("row_count")
-
-
 # A catalogue snapshot as large as the tables it is made of: an order is a table, its line
 # items are the columns, its customer the schema.
 ATTRIBUTES = """
@@ -117,7 +112,6 @@ QUERIES = {
     "extract_count": count_extract,
     "sample_rows": sample_rows,
     "table_profile": table_profile,
-    "file_profile": file_profile,
     "catalog_dictionary": described_catalog,
     "column_search": column_search,
     "info_json": table_info,
@@ -153,7 +147,6 @@ ORACLES = {
         SELECT 'shop' AS "schema", tbl AS "table", n AS row_count, true AS has_bytes
         FROM ({COUNTS})
     """,
-    "file_profile": "SELECT count(*) AS row_count FROM lineitem",
     "catalog_dictionary": DUCK_CATALOG,
     "column_search": f"""
         SELECT * FROM ({DUCK_CATALOG})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-POLL_SECONDS = 1
+POLL_SECONDS = 0.2
 
 
 def export_stream(

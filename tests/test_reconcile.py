@@ -246,3 +246,14 @@ def test_key_of_another_kind_skips_the_cells(spark):
     a = spark.range(3)
     problems = reconcile(spark, {"c": (a, a.select(F.col("id").cast("string").alias("id")), ["id"])})
     assert [r.check for r in problems.collect()] == ["schema"]
+
+
+def test_a_reader_with_milliseconds_and_no_zones(spark):
+    a = spark.sql("SELECT id, timestamp_micros(id * 1000000 + 999) AS t FROM range(4)")
+    b = spark.sql("SELECT id, CAST(timestamp_millis(id * 1000) AS TIMESTAMP_NTZ) AS t FROM range(4)")
+    cases = {"reader": (a, b, ["id"])}
+    strict = reconcile(spark, cases)
+    assert [tuple(r)[1:4] for r in strict.collect()] == [("schema", "column 2", "t timestamptz")]
+    accepted = [("timestamptz", "timestamp")]
+    assert reconcile(spark, cases, accepted=accepted).count() == 4
+    assert verdict(reconcile(spark, cases, 1000, accepted)).first().equal is True
