@@ -1,20 +1,20 @@
 from tablex.sources.jdbc import jdbc_options, remote_select
 
-TYPES = {"permno": "integer", "ret": "numeric(10,6)", "Odd \"N\"": "text", "slice_key": "date"}
+TYPES = {"item": "integer", "price": "numeric(10,6)", "Odd \"N\"": "text", "slice_key": "date"}
 
 
 def test_projection_predicate_and_text_transfer_run_remotely():
-    sql = remote_select("s", 'we"ird', TYPES, ["permno", "ret"], "date >= '2020-01-01'")
+    sql = remote_select("s", 'we"ird', TYPES, ["item", "price"], "date >= '2020-01-01'")
     assert sql == (
-        'SELECT "permno", "ret"::text AS "ret" FROM "s"."we""ird" WHERE date >= \'2020-01-01\''
+        'SELECT "item", "price"::text AS "price" FROM "s"."we""ird" WHERE date >= \'2020-01-01\''
     )
 
 
 def test_the_slicing_column_stays_native():
-    sql = remote_select("s", "t", TYPES, partition_column="ret")
+    sql = remote_select("s", "t", TYPES, partition_column="price")
     assert sql == (
-        'SELECT "permno", "ret"::text AS "ret", "Odd ""N"""::text AS "Odd ""N""", '
-        '"slice_key"::text AS "slice_key", "ret" AS "slice_key_" FROM "s"."t"'
+        'SELECT "item", "price"::text AS "price", "Odd ""N"""::text AS "Odd ""N""", '
+        '"slice_key"::text AS "slice_key", "price" AS "slice_key_" FROM "s"."t"'
     )
 
 
