@@ -26,6 +26,7 @@ from tablex.operators.reconcile import (
     reconcile,
     verdict,
 )
+from tablex.plans.export import dry_run, export
 from tablex.session import configure
 from tablex.sinks.copytext import write_copy
 from tablex.sinks.files import write, write_csv, write_parquet
@@ -45,8 +46,10 @@ __all__ = [
     "diff_counts",
     "diff_report",
     "diff_schema",
+    "dry_run",
     "encode_temporal",
     "expected_kinds",
+    "export",
     "export_stream",
     "extract",
     "extract_count",

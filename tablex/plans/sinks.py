@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablex.functions.celltext import csv_text
 from tablex.functions.normalize import normalize
 from tablex.operators.extract import extract
+from tablex.plans.export import export
 from tablex.session import work_folder
 from tablex.sinks.copytext import dump_types, write_copy
 from tablex.sinks.files import write
@@ -24,15 +25,17 @@ def csv_moments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def write_read_parquet(spark: SparkSession, sf: str) -> DataFrame:
-    rows = extract(
+    path = f"{work_folder(spark, 'lineitem')}/lineitem.parquet"
+    export(
         spark,
-        sf,
-        "lineitem",
+        path,
+        types={"l_extendedprice": "numeric(12,2)", "l_tax": "numeric(12,2)"},
+        decimal=True,
+        schema=sf,
+        table="lineitem",
         columns="l_orderkey, l_partkey, l_extendedprice, l_shipdate",
         predicate="l_shipdate >= '1996-01-01' AND l_shipdate < '1997-01-01'",
     )
-    path = f"{work_folder(spark, 'lineitem')}/lineitem.parquet"
-    write(normalize(rows, {"l_extendedprice": "numeric(12,2)"}, decimal=True), path)
     return read_export(spark, path)
 
 
