@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablex.functions.equality import row_hash
 from tablex.functions.names import quoted
+from tablex.session import stored
 from tablex.sources.tables import query, scan
 
 # A limit up to this many rows may end in one task; a larger one is cut partition by partition.
-ONE_TASK_ROWS = 100_000
+ONE_TASK_ROWS = 10_000
 
 
 def project(df: DataFrame, columns: str = "*") -> DataFrame:
@@ -65,25 +66,45 @@ def limit(df: DataFrame, n: int = 0) -> DataFrame:
     return first_rows(df, n)
 
 
-def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows in partition order, still spread over their partitions.
+def place_name(df: DataFrame) -> str:
+    name = "place_in_scan"
+    while name in df.columns:
+        name += "_"
+    return name
 
-    Needs partitions that hold the same rows each time they are read: a scan with columns and
-    predicate, as `extract` builds. One number per partition reaches the driver.
-    """
-    number = "row_number_in_scan"
-    while number in df.columns:
-        number += "_"
-    numbered = df.select("*", F.monotonically_increasing_id().alias(number))
-    partition = F.shiftright(F.col(quoted(number)), 33)
-    sizes = numbered.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("rows"))
+
+def cut(placed: DataFrame, place: str, n: int) -> DataFrame:
+    """The n rows with the lowest places. One number per partition reaches the driver."""
+    partition = F.shiftright(F.col(place), 33)
+    sizes = placed.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("rows"))
     left = n
     for p, rows in sorted((row.p, row.rows) for row in sizes.collect()):
         if rows >= left:
-            bound = (p << 33) + left
-            return numbered.where(F.col(quoted(number)) < F.lit(bound)).drop(number)
+            return placed.where(F.col(place) < F.lit((p << 33) + left))
         left -= rows
-    return df
+    return placed
+
+
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first n rows in partition order, still spread over their partitions.
+
+    Needs partitions that hold the same rows each time they are read: a scan with columns and
+    predicate, as `extract` builds.
+    """
+    place = place_name(df)
+    placed = df.select("*", F.monotonically_increasing_id().alias(place))
+    return cut(placed, place, n).drop(place)
+
+
+def top_rows(df: DataFrame, keys: list[str | tuple[str, str]], n: int) -> DataFrame:
+    """The first n rows by the keys, in order, without gathering them in one task.
+
+    The sorted rows are stored with their places, so that counting and cutting see the same ones.
+    """
+    place = place_name(df)
+    by_keys = ordered(df, keys, steady_scan=True)
+    placed = stored(by_keys.select("*", F.monotonically_increasing_id().alias(place)), "ordered")
+    return cut(placed, place, n).orderBy(place).drop(place)
 
 
 def extract(
@@ -98,8 +119,8 @@ def extract(
 ) -> DataFrame:
     """One extract. A raw SQL text overrides every other option.
 
-    The predicate may use columns the extract does not keep. With an order a limit is a top-n,
-    of which Spark keeps n rows per partition before it merges.
+    The predicate and the keys may use columns the extract does not keep. With an order a small
+    limit is a top-n, of which Spark keeps n rows per partition before it merges.
     """
     if sql:
         return query(spark, sql)
@@ -109,6 +130,10 @@ def extract(
     source = where(scan(spark, schema, table), predicate)
     if not keys:
         return limit(project(source, columns), rows)
-    if rows > 0:
+    if rows <= 0:
+        return project(ordered(source, keys, steady_scan=True), columns)
+    if rows <= ONE_TASK_ROWS:
         return project(source.orderBy(*sort_keys(keys)).limit(rows), columns)
-    return project(ordered(source, keys, steady_scan=True), columns)
+    needed = dict.fromkeys(project(source, columns).columns)
+    needed |= dict.fromkeys(key if isinstance(key, str) else key[0] for key in keys)
+    return project(top_rows(source.select(*map(quoted, needed)), keys, rows), columns)

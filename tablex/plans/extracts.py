@@ -56,6 +56,18 @@ def extract_top(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def extract_top_large(spark: SparkSession, sf: str) -> DataFrame:
+    """A top-n too large for one task."""
+    return extract(
+        spark,
+        sf,
+        "lineitem",
+        columns="l_orderkey, l_extendedprice",
+        rows=25_000,
+        keys=[("l_shipdate", "desc"), "l_orderkey", "l_extendedprice"],
+    )
+
+
 def limit_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Which rows an unordered limit keeps is open; how many is not."""
     return extract_count(limit(project(scan(spark, sf, "lineitem"), "l_orderkey"), 50_000))
@@ -94,6 +106,7 @@ QUERIES = {
     "filter_in_strings": filter_in_strings,
     "filter_between": filter_between,
     "extract_top": extract_top,
+    "extract_top_large": extract_top_large,
     "limit_rows": limit_rows,
     "raw_sql": raw_sql,
     "self_join_names": self_join_names,
@@ -115,6 +128,10 @@ ORACLES = {
         WHERE l_returnflag <> 'A'
         ORDER BY l_orderkey, l_extendedprice DESC, l_linenumber LIMIT 1000
     """,
+    "extract_top_large": """
+        SELECT l_orderkey, l_extendedprice FROM lineitem
+        ORDER BY l_shipdate DESC, l_orderkey, l_extendedprice LIMIT 25000
+    """,
     "limit_rows": 'SELECT least(count(*), 50000) AS "rows" FROM lineitem',
     "raw_sql": RAW,
     "self_join_names": """

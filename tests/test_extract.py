@@ -48,6 +48,15 @@ def test_large_limits_take_the_distributed_way(spark, monkeypatch):
     assert limit(spark.range(0, 100, 1, 4), 10).count() == 10
 
 
+@pytest.mark.parametrize("rows", [1, 11, 1000, 5999, 6000, 9000])
+def test_large_top_n_is_exact_and_ordered(spark, small, monkeypatch, rows):
+    options = {"columns": "l_orderkey,l_tax", "rows": rows, "keys": ["l_returnflag", ("l_orderkey", "desc"), "l_tax"]}
+    want = [tuple(r) for r in extract(spark, small, "lineitem", **options).collect()]
+    monkeypatch.setattr(module, "ONE_TASK_ROWS", 0)
+    top = extract(spark, small, "lineitem", **options)
+    assert [tuple(r) for r in top.collect()] == want
+
+
 def test_order_puts_missing_values_above_all(spark):
     df = spark.createDataFrame([(2,), (None,), (1,)], "a int")
     assert [r.a for r in ordered(df, ["a"]).collect()] == [1, 2, None]
