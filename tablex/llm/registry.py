@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tablex.llm import decontaminate, mixing, quality_rules
+from tablex.llm import decontaminate, language_id, mixing, quality_classifier, quality_rules
 
-MODULES = (quality_rules, decontaminate, mixing)
+MODULES = (quality_rules, decontaminate, mixing, quality_classifier, language_id)
 
 QUERIES = {name: run for module in MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
