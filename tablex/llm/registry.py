@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tablex.llm import decontaminate, language_id, license_scan, mixing, quality_classifier, quality_rules
+from tablex.llm import decontaminate, language_id, license_scan, line_dedup, mixing, quality_classifier, quality_rules
 
-MODULES = (quality_rules, decontaminate, mixing, quality_classifier, language_id, license_scan)
+MODULES = (quality_rules, decontaminate, mixing, quality_classifier, language_id, license_scan, line_dedup)
 
 QUERIES = {name: run for module in MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
