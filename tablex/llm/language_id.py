@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tablex.llm import bytecnn
 from tablex.llm.common import remainder, table
-from tablex.llm.learning import training_windows
+from tablex.llm.learning import class_sample, training_windows
 
 WINDOW = 256
 STRIDE, WIDTHS, FILTERS = 2, (1, 2, 3), 24
@@ -28,7 +28,8 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     """The network and its languages, from rows with a language and an id."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("l_id"), F.col(text).alias("l_text"), F.col(lang).alias("l_lang"))
     shape = bytecnn.Shape(WINDOW, WINDOW, STRIDE, WIDTHS, FILTERS, 0)
-    classes, x, y, _ = training_windows(rows, "l_lang", "l_id", "l_text", shape, per_class, per_text)
+    classes, picked = class_sample(rows, "l_lang", "l_id", per_class)
+    x, y, _ = training_windows(picked, classes, "l_lang", "l_id", "l_text", shape, per_text)
     shape.classes = len(classes)
     return {"classes": classes, "shape": shape, "net": bytecnn.train(x, y, shape, epochs) if len(x) else None}
 

@@ -13,30 +13,33 @@ from tablex.llm.bytecnn import Shape, some_windows
 MAX_CLASSES = 200
 
 
-def training_windows(rows: DataFrame, label: str, doc_id: str, text: str, shape: Shape, per_class: int, per_text: int) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
-    """(classes, windows, class of each window, text of each window) from about `per_class` texts of each label.
+def class_sample(rows: DataFrame, label: str, row_id: str, per_class: int) -> tuple[list, DataFrame]:
+    """(classes, rows): about `per_class` rows of each label, picked by a hash of their id, so that a rerun picks the same.
 
-    Texts are picked by a hash of their id, so that a rerun picks the same. What reaches the driver is at most
-    MAX_CLASSES * per_class * per_text windows, whatever the table's size.
+    At most about MAX_CLASSES * per_class rows, whatever the table's size.
     """
     counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(MAX_CLASSES).collect()
-    classes = sorted(r[0] for r in counts)
-    if not classes:
-        return [], np.zeros((0, shape.length), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if not counts:
+        return [], rows.where(F.lit(False))
     share = F.create_map(*[F.lit(v) for r in counts for v in (r[0], min(1.0, per_class / r[1]))])
-    chance = F.pmod(F.xxhash64(F.lit("train"), F.col(doc_id)), F.lit(1 << 30)) / F.lit(1 << 30)
-    picked = rows.where(chance < share[F.col(label)]).select(F.col(doc_id).alias("id"), F.col(label).alias("label"), F.col(text).cast("binary").alias("text"))
+    chance = F.pmod(F.xxhash64(F.lit("train"), F.col(row_id)), F.lit(1 << 30)) / F.lit(1 << 30)
+    return sorted(r[0] for r in counts), rows.where(chance < share[F.col(label)])
+
+
+def training_windows(rows: DataFrame, classes: list, label: str, row_id: str, text: str, shape: Shape, per_text: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(windows, class of each window, text of each window) of a bounded sample, at most `per_text` from a text."""
+    picked = rows.select(F.col(row_id).alias("id"), F.col(label).alias("label"), F.col(text).cast("binary").alias("text"))
 
     def cut(batches):
         for batch in batches:
             bodies = [some_windows(t or b"", shape, per_text).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(bodies, pa.binary())], names=["id", "label", "windows"])
 
-    kind = rows.schema[label].dataType.simpleString()
-    taken = picked.mapInArrow(cut, f"id {rows.schema[doc_id].dataType.simpleString()}, label {kind}, windows binary").collect()
+    kinds = rows.select(row_id, label).schema
+    taken = picked.mapInArrow(cut, f"id {kinds[row_id].dataType.simpleString()}, label {kinds[label].dataType.simpleString()}, windows binary").collect()
     taken.sort(key=lambda r: (r[0], r[1], bytes(r[2])))
     x = [np.frombuffer(bytes(r[2]), np.uint8).reshape(-1, shape.length) for r in taken]
     number = {c: k for k, c in enumerate(classes)}
     sizes = [len(w) for w in x]
     y = np.repeat([number[r[1]] for r in taken], sizes).astype(np.int64)
-    return classes, np.concatenate(x) if x else np.zeros((0, shape.length), np.uint8), y, np.repeat(np.arange(len(x)), sizes)
+    return np.concatenate(x) if x else np.zeros((0, shape.length), np.uint8), y, np.repeat(np.arange(len(x)), sizes)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tablex.llm import bytecnn
 from tablex.llm.common import remainder, table
-from tablex.llm.learning import training_windows
+from tablex.llm.learning import class_sample, training_windows
 
 SHAPE = bytecnn.Shape(length=512, step=448, stride=4, widths=(2,), filters=32, classes=2)
 PER_CLASS = 2000
@@ -40,8 +40,10 @@ def combiner(mean: np.ndarray, low: np.ndarray, y: np.ndarray, steps: int = 30)
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = PER_CLASS, per_text: int = PER_TEXT, epochs: int = EPOCHS) -> dict:
     """The network and its combiner, from documents whose id is labelled; a label given twice counts as its lower value."""
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(doc_id).agg(F.min(label).cast("int").alias("q_label"))
-    rows = docs.select(F.col(doc_id), F.col(text).alias("q_text")).join(known, doc_id)
-    classes, x, y, of = training_windows(rows, "q_label", doc_id, "q_text", SHAPE, per_class, per_text)
+    classes, picked = class_sample(known, "q_label", doc_id, per_class)
+    # The sample is bounded by `per_class`: it is broadcast, and no text is shuffled.
+    rows = docs.select(F.col(doc_id), F.col(text).alias("q_text")).join(F.broadcast(picked), doc_id)
+    x, y, of = training_windows(rows, classes, "q_label", doc_id, "q_text", SHAPE, per_text)
     if not len(x):
         return {"net": None, "mix": None}
     y = np.array(classes)[y]
