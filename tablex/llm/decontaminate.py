@@ -184,17 +184,21 @@ def blocks(items: DataFrame, item_id: str, text: str, block_words: int) -> Itera
         yield block
 
 
-def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, keep: list[str] | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows with d_n_words, d_spans (merged, in words from 0, `stop` behind the last) and d_items (sorted)."""
+def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, keep: list[str] | None = None, block_words: int = BLOCK_WORDS, cut: str | None = None) -> DataFrame:
+    """The rows with d_n_words, d_spans (merged, in words from 0, `stop` behind the last) and d_items (sorted).
+
+    `cut` names a further column: the text without the words of the spans.
+    """
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
     out = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("binary").alias("d_text"))
     kept = [f for f in docs.select(*[F.col(f"`{c}`") for c in keep]).schema]
     schema = T.StructType([*kept, T.StructField("d_text", T.BinaryType()), *[T.StructField(k, v) for k, v in FOUND.items()]])
-    for block in [*blocks(items, item_id, item_text, block_words)] or [[]]:
+    parts = [*blocks(items, item_id, item_text, block_words)] or [[]]
+    for number, block in enumerate(parts, 1):
         shared = spark.sparkContext.broadcast(vars(phrases(block, window)))
 
-        def search(batches, shared=shared):
+        def search(batches, shared=shared, cutting=cut is not None and number == len(parts)):
             searched = Phrases(**shared.value)
             for batch in batches:
                 found = occurrences(batch.column("d_text").to_pylist(), searched)
@@ -202,29 +206,26 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
                     old = zip(batch.column("d_spans").to_pylist(), batch.column("d_items").to_pylist())
                     found = [(n, merged([*spans, *((s["first"], s["stop"]) for s in before)]), sorted({*items, *was})) for (n, spans, items), (before, was) in zip(found, old)]
                 columns = {name: batch.column(name) for name in [f.name for f in kept] + ["d_text"]}
+                if cutting and any(spans for _, spans, _ in found):
+                    texts = [without(t.decode(), spans).encode() if spans else t for t, (_, spans, _) in zip(columns["d_text"].to_pylist(), found)]
+                    columns["d_text"] = pa.array(texts, pa.binary())
                 columns["d_n_words"] = pa.array([n for n, _, _ in found], ARROW["d_n_words"])
                 columns["d_spans"] = pa.array([[{"first": a, "stop": b} for a, b in spans] for _, spans, _ in found], ARROW["d_spans"])
                 columns["d_items"] = pa.array([items for _, _, items in found], ARROW["d_items"])
                 yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
         out = out.mapInArrow(search, schema)
-    return out.drop("d_text")
+    return (out if cut is None else out.withColumn(cut, F.col("d_text").cast("string"))).drop("d_text")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", n_chars: str = "n_chars", **kwargs) -> DataFrame:
     """The documents with hit words cut out; columns as given, rows none the fewer."""
 
-    @F.pandas_udf(T.StringType())
-    def cut(texts, spans):
-        return texts.combine(spans, lambda t, s: without(t, [(x["first"], x["stop"]) for x in s]) if t is not None and len(s) else t)
-
-    found = contaminated(docs, items, text=text, **kwargs)
-    hit = F.size("d_spans") > 0
-    clean = found.where(~hit)
-    changed = found.where(hit).withColumn(text, cut(F.col(text), F.col("d_spans")))
+    found = contaminated(docs, items, text=text, keep=[c for c in docs.columns if c != text], cut=text, **kwargs)
     if n_chars in docs.columns:
-        changed = changed.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType))
-    return clean.unionByName(changed).select(*[F.col(f"`{c}`") for c in docs.columns])
+        length = F.length(text).cast(docs.schema[n_chars].dataType)
+        found = found.withColumn(n_chars, F.when(F.size("d_spans") > 0, length).otherwise(F.col(n_chars)))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
