@@ -43,7 +43,7 @@ def lines_with_words(text: Column) -> Column:
 
 RULES = [
     Rule("symbols", lambda text, words: F.regexp_count(text, F.lit(SYMBOLS)) * 2 > F.size(words)),
-    Rule("word_length", lambda text, words: ~(word_chars(words) / F.size(words)).between(2, 20)),
+    Rule("word_length", lambda text, words: ~F.try_divide(word_chars(words), F.size(words)).between(2, 20)),
     Rule("capitals", lambda text, words: F.regexp_count(text, F.lit(r"\p{Lu}")) * 2 > word_chars(words)),
     Rule("few_letters", lambda text, words: F.regexp_count(text, F.lit(r"\p{L}")) * 2 < word_chars(words)),
     Rule("line_copies", lambda text, words: F.size(F.array_distinct(lines_with_words(text))) * 2 < F.size(lines_with_words(text))),
