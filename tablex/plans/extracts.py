@@ -87,13 +87,13 @@ def raw_sql(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def self_join_names(spark: SparkSession, sf: str) -> DataFrame:
-    register(spark, sf, ["orders"])
+    """Each customer beside the next one: names repeat, and one is taken already."""
+    register(spark, sf, ["customer"])
     joined = query(
         spark,
         """
-        SELECT a.o_orderkey, b.o_orderkey, a.o_orderkey AS o_orderkey_1,
-               a.o_orderstatus, b.o_orderstatus
-        FROM orders a JOIN orders b USING (o_orderkey)
+        SELECT a.c_nationkey, b.c_nationkey, b.c_name, a.c_name, b.c_mktsegment AS c_name_1
+        FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1
         """,
     )
     return unique_columns(joined)
@@ -135,8 +135,8 @@ ORACLES = {
     "limit_rows": 'SELECT least(count(*), 50000) AS "rows" FROM lineitem',
     "raw_sql": RAW,
     "self_join_names": """
-        SELECT a.o_orderkey, b.o_orderkey AS o_orderkey_2, a.o_orderkey AS o_orderkey_1,
-               a.o_orderstatus, b.o_orderstatus AS o_orderstatus_1
-        FROM orders a JOIN orders b USING (o_orderkey)
+        SELECT a.c_nationkey, b.c_nationkey AS c_nationkey_1, b.c_name, a.c_name AS c_name_2,
+               b.c_mktsegment AS c_name_1
+        FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1
     """,
 }

@@ -11,21 +11,21 @@ from tablex.sources.tables import query, register, scan
 
 def agg_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Sums of exact numerics leave as doubles, as unconstrained numerics do."""
-    register(spark, sf, ["lineitem"])
+    register(spark, sf, ["orders"])
     totals = query(
         spark,
         """
-        SELECT count(*) AS n,
-               sum(l_linenumber) AS sum_int,
-               sum(l_extendedprice::decimal(12,2)) AS sum_dec,
-               avg(l_linenumber) AS avg_int,
-               avg(l_quantity) FILTER (WHERE l_linenumber < 3) AS avg_float,
-               min(l_shipdate::date) AS min_d,
-               max(l_shipdate) FILTER (WHERE l_returnflag = 'R') AS max_ts
-        FROM lineitem
+        SELECT count(DISTINCT o_custkey) AS buyers,
+               sum(o_custkey % 7) AS weekdays,
+               sum(o_totalprice::decimal(14,2)) AS revenue,
+               avg(length(o_orderpriority)) AS mean_label,
+               avg(o_custkey % 100) FILTER (WHERE o_orderstatus <> 'F') AS open_slots,
+               min(o_orderdate::date) AS first_day,
+               max(o_orderdate) FILTER (WHERE o_orderpriority = '5-LOW') AS last_low
+        FROM orders
         """,
     )
-    return normalize(totals, {"sum_dec": "numeric", "avg_int": "numeric"}, decimal=True)
+    return normalize(totals, {"revenue": "numeric", "mean_label": "numeric"}, decimal=True)
 
 
 def string_agg_ordered(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,52 +45,51 @@ def string_agg_ordered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def generated_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """A series generated for every order, and the values derived from its numbers."""
-    register(spark, sf, ["orders"])
+    """A few delivery slots for every part, with values that hang on both."""
+    register(spark, sf, ["part"])
     rows = query(
         spark,
         """
-        SELECT i,
-               md5(g::string) || repeat('é', (g % 50)::int) AS s,
-               CASE WHEN g % 7 = 0 THEN NULL ELSE (g * 0.5)::numeric(12,1) END AS x,
-               CASE WHEN g % 1000 = 0 THEN repeat('long ', 20000) END AS big_text,
-               date '2000-01-01' + g::int AS d
-        FROM (SELECT o_orderkey * 10 + k AS i, (o_orderkey * 10 + k) % 30005 + 1 AS g
-              FROM orders, LATERAL explode(sequence(1, (o_orderkey % 5 + 1)::int)) AS series(k))
+        SELECT p_partkey, slot,
+               md5(p_name || '#' || slot::string) AS token,
+               CASE WHEN p_size % 4 = slot THEN (p_size * 0.25)::numeric(8,2) END AS weight,
+               CASE WHEN p_size % 10 = slot THEN repeat(p_name || ' · ', 400 + p_size)
+                    ELSE p_brand || ' · ' || p_type END AS label,
+               date '1995-03-01' + p_size * slot AS due
+        FROM part, LATERAL explode(sequence(p_size % 3, 4)) AS slots(slot)
         """,
     )
-    return normalize(rows, {"x": "numeric(12,1)"})
+    return normalize(rows, {"weight": "numeric(8,2)"})
 
 
 WIDTH = 1000
 
 
-def wide_column(g: int) -> tuple[str, str]:
-    """(source text, declared type) of the g-th wide column, r being the row number."""
-    if g % 3 == 0:
-        return f"CAST(r * {g} AS STRING)", "int8"
-    if g % 3 == 1:
-        return f"concat('v{g}_', r)", "text"
-    return f"concat(r * {g} DIV 100, '.', lpad(r * {g} % 100, 2, '0'))", "numeric(10,2)"
+def wide_column(j: int) -> tuple[str, str]:
+    """(source text, declared type) of the j-th column, a variation of one of a customer's cells."""
+    kinds = [
+        (f"CAST(c_custkey * {j + 3} AS STRING)", "bigint"),
+        (f"substr(c_name || c_mktsegment, {1 + j % 9}, 12)", "text"),
+        (f"CAST(CAST(c_acctbal AS DECIMAL(12,2)) + {j} AS STRING)", "numeric(12,2)"),
+        (f"CAST(c_nationkey + {j} AS STRING)", "smallint"),
+    ]
+    return kinds[j % 4]
 
 
 def wide_1000(spark: SparkSession, sf: str) -> DataFrame:
     """A thousand columns per customer, normalised from text, added up row by row."""
-    columns = {f"c{g}": wide_column(g) for g in range(1, WIDTH + 1)}
-    customers = scan(spark, sf, "customer").selectExpr("c_custkey + 1 AS r")
-    texts = customers.selectExpr("r", *[f"{text} AS {c}" for c, (text, _) in columns.items()])
+    columns = {f"c{j}": wide_column(j) for j in range(WIDTH)}
+    texts = scan(spark, sf, "customer").selectExpr("c_custkey", *[f"{text} AS {c}" for c, (text, _) in columns.items()])
     wide = normalize(texts, {c: type_name for c, (_, type_name) in columns.items()})
-
-    def total(remainder: int, value: str) -> str:
-        cells = ", ".join(f"c{g}" for g in range(1, WIDTH + 1) if g % 3 == remainder)
-        return f"aggregate(array({cells}), 0L, (total, c) -> total + {value})"
-
-    return wide.selectExpr(
-        "r",
-        f"{total(0, 'c')} AS integers",
-        f"{total(1, 'length(c)')} AS characters",
-        f"{total(2, 'CAST(floor(c * 100 + 0.5D) AS BIGINT)')} AS cents",
-    )
+    values = ["CAST({c} AS BIGINT)", "CAST(length({c}) AS BIGINT)", "CAST(floor({c} * 100 + 0.5D) AS BIGINT)", "CAST({c} AS BIGINT)"]
+    names, chunk = ["keys", "characters", "cents", "nations"], 25
+    sums = {}
+    for kind, name in enumerate(names):
+        cells = [values[kind].format(c=f"c{j}") for j in range(kind, WIDTH, 4)]
+        for k in range(0, len(cells), chunk):
+            sums[f"{name}_{k}"] = " + ".join(cells[k : k + chunk])
+    parts = wide.selectExpr("c_custkey", *[f"{text} AS {name}" for name, text in sums.items()])
+    return parts.selectExpr("c_custkey", *[" + ".join(s for s in sums if s.startswith(f"{name}_")) + f" AS {name}" for name in names])
 
 
 def left_join_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,14 +165,14 @@ QUERIES = {
 
 ORACLES = {
     "agg_filter": """
-        SELECT count(*) AS n,
-               CAST(sum(l_linenumber) AS BIGINT) AS sum_int,
-               CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS sum_dec,
-               avg(l_linenumber) AS avg_int,
-               avg(l_quantity) FILTER (WHERE l_linenumber < 3) AS avg_float,
-               min(CAST(l_shipdate AS DATE)) AS min_d,
-               max(l_shipdate) FILTER (WHERE l_returnflag = 'R') AS max_ts
-        FROM lineitem
+        SELECT count(DISTINCT o_custkey) AS buyers,
+               CAST(sum(o_custkey % 7) AS BIGINT) AS weekdays,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS revenue,
+               avg(length(o_orderpriority)) AS mean_label,
+               avg(o_custkey % 100) FILTER (WHERE o_orderstatus <> 'F') AS open_slots,
+               min(CAST(o_orderdate AS DATE)) AS first_day,
+               max(o_orderdate) FILTER (WHERE o_orderpriority = '5-LOW') AS last_low
+        FROM orders
     """,
     "string_agg_ordered": """
         SELECT o_orderpriority,
@@ -183,22 +182,22 @@ ORACLES = {
         GROUP BY o_orderpriority
     """,
     "generated_rows": """
-        SELECT i,
-               md5(CAST(g AS VARCHAR)) || repeat('é', g % 50) AS s,
-               CASE WHEN g % 7 = 0 THEN NULL ELSE g * 0.5::DOUBLE END AS x,
-               CASE WHEN g % 1000 = 0 THEN repeat('long ', 20000) END AS big_text,
-               CAST(DATE '2000-01-01' + CAST(g AS INTEGER) AS DATE) AS d
-        FROM (SELECT o_orderkey * 10 + k AS i, (o_orderkey * 10 + k) % 30005 + 1 AS g
-              FROM (SELECT o_orderkey, unnest(generate_series(1, o_orderkey % 5 + 1)) AS k
-                    FROM orders))
+        SELECT p_partkey, slot,
+               md5(p_name || '#' || slot) AS token,
+               CASE WHEN p_size % 4 = slot THEN p_size * 0.25::DOUBLE END AS weight,
+               CASE WHEN p_size % 10 = slot THEN repeat(p_name || ' · ', 400 + p_size)
+                    ELSE p_brand || ' · ' || p_type END AS label,
+               CAST(DATE '1995-03-01' + p_size * slot AS DATE) AS due
+        FROM (SELECT *, CAST(unnest(generate_series(p_size % 3, 4)) AS INTEGER) AS slot FROM part)
     """,
     "wide_1000": f"""
-        SELECT c_custkey + 1 AS r,
-               CAST(sum(g * (c_custkey + 1)) FILTER (WHERE g % 3 = 0) AS BIGINT) AS integers,
-               CAST(sum(length('v' || g || '_' || (c_custkey + 1))) FILTER (WHERE g % 3 = 1)
-                    AS BIGINT) AS characters,
-               CAST(sum(g * (c_custkey + 1)) FILTER (WHERE g % 3 = 2) AS BIGINT) AS cents
-        FROM customer, generate_series(1, {WIDTH}) AS series(g)
+        SELECT c_custkey,
+               CAST(sum(c_custkey * (j + 3)) FILTER (WHERE j % 4 = 0) AS BIGINT) AS keys,
+               CAST(sum(length(substr(c_name || c_mktsegment, 1 + j % 9, 12))) FILTER (WHERE j % 4 = 1) AS BIGINT)
+                   AS characters,
+               CAST(sum((CAST(c_acctbal AS DECIMAL(12,2)) + j) * 100) FILTER (WHERE j % 4 = 2) AS BIGINT) AS cents,
+               CAST(sum(c_nationkey + j) FILTER (WHERE j % 4 = 3) AS BIGINT) AS nations
+        FROM customer, (SELECT CAST(unnest(range({WIDTH})) AS INTEGER) AS j)
         GROUP BY c_custkey
     """,
     "left_join_keys": """

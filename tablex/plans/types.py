@@ -14,121 +14,119 @@ from tablex.sinks.copytext import dump_types, write_copy
 from tablex.sources.copytext import read_copy
 from tablex.sources.tables import query, register, scan
 
-# One text per declared type and line item, with the awkward values spread over line numbers.
+# A text for every declared type, made from each line item's own cells; the special values stand
+# where the line number says so.
 SOURCE_TEXT = """
-SELECT l_orderkey::string AS id,
-       CASE l_returnflag WHEN 'R' THEN 't' WHEN 'A' THEN 'f' END AS b,
-       l_linenumber::string AS i2,
-       (-l_quantity::int)::string AS i4,
-       (l_partkey * 4000000000)::string AS i8,
-       CASE l_linenumber WHEN 1 THEN '-Infinity' ELSE (l_quantity * 0.5)::string END AS f4,
-       CASE l_linenumber WHEN 1 THEN 'NaN' WHEN 2 THEN 'Infinity' WHEN 3 THEN '-Infinity'
-                         WHEN 4 THEN '-0' ELSE l_extendedprice::string END AS f8,
-       CASE l_linenumber WHEN 1 THEN NULL ELSE l_extendedprice::decimal(14,4)::string END AS n,
-       CASE l_linenumber WHEN 2 THEN 'NaN'
-                         ELSE l_extendedprice::decimal(10,2)::string END AS n10_2,
-       (CASE l_returnflag WHEN 'A' THEN '-' ELSE '' END)
-           || l_extendedprice::decimal(10,2)::string || '5678' AS n16_4,
-       l_extendedprice::decimal(17,4)::string AS n17_4,
-       CASE l_linenumber WHEN 5 THEN 'infinity' WHEN 6 THEN '-infinity'
-                         ELSE l_shipdate::date::string END AS d,
-       CASE l_linenumber WHEN 6 THEN 'infinity' WHEN 5 THEN '-infinity'
-                         ELSE l_shipdate::date::string || ' 03:04:05.123456' END AS ts,
-       CASE l_linenumber WHEN 4 THEN 'infinity'
-                         WHEN 5 THEN l_shipdate::date::string || ' 10:00:00+05:30'
-                         ELSE l_shipdate::date::string || ' 10:00:00-05' END AS tstz,
-       '09:3' || l_linenumber || ':00.000001' AS tm,
-       'héllo ' || l_returnflag || ' ' AS s,
-       CASE l_linestatus WHEN 'F' THEN '    ' ELSE ' ' || l_returnflag || '  ' END AS ch,
-       '{' || l_linenumber || ',NULL}' AS arr,
-       NULL::string AS allnull
+SELECT l_orderkey::string AS order_no,
+       CASE WHEN l_discount > 0.05 THEN 'true' WHEN l_discount > 0.02 THEN 'no' END AS rebate,
+       l_linenumber::string AS line,
+       (l_suppkey % 1000 - 500)::string AS shift,
+       (l_orderkey * 1000000007)::string AS wide_no,
+       CASE l_linenumber WHEN 7 THEN 'Infinity' ELSE (l_quantity / 4)::string END AS quarter,
+       CASE l_linenumber WHEN 2 THEN '-Infinity' WHEN 5 THEN 'NaN' WHEN 6 THEN '-0'
+                         ELSE l_extendedprice::string END AS amount,
+       CASE l_linenumber WHEN 3 THEN NULL ELSE (l_quantity::int * 3)::string END AS pieces,
+       CASE l_linenumber WHEN 4 THEN 'NaN' ELSE l_tax::decimal(9,3)::string END AS tax_rate,
+       (CASE l_linestatus WHEN 'O' THEN '-' ELSE '' END)
+           || l_extendedprice::decimal(12,2)::string || '0478' AS margin,
+       l_partkey::string || '.25' AS shelf,
+       CASE l_linenumber WHEN 1 THEN '-infinity' WHEN 2 THEN 'infinity'
+                         ELSE l_shipdate::date::string END AS shipped,
+       CASE l_linenumber WHEN 3 THEN 'infinity'
+                         ELSE l_shipdate::date::string || ' 17:45:30.5' END AS packed,
+       CASE l_linenumber WHEN 1 THEN '-infinity'
+                         WHEN 2 THEN l_shipdate::date::string || ' 23:15:00+09'
+                         ELSE l_shipdate::date::string || ' 00:20:00-03:30' END AS sent,
+       '2' || (l_linenumber % 4) || ':07:00.25' AS gate,
+       l_returnflag || ' ¿' || l_linestatus || '?' AS remark,
+       CASE l_returnflag WHEN 'N' THEN '      '
+                         ELSE rpad(l_returnflag || ' ' || l_linestatus, 6, ' ') END AS code,
+       '{' || l_suppkey || ',' || l_linenumber || '}' AS steps,
+       NULL::string AS nothing
 FROM lineitem
 """
 
 DECLARED = {
-    "id": "bigint",
-    "b": "boolean",
-    "i2": "smallint",
-    "i4": "integer",
-    "i8": "int8",
-    "f4": "real",
-    "f8": "double precision",
-    "n": "numeric",
-    "n10_2": "numeric(10,2)",
-    "n16_4": "numeric(16,4)",
-    "n17_4": "numeric(17,4)",
-    "d": "date",
-    "ts": "timestamp without time zone",
-    "tstz": "timestamp with time zone",
-    "tm": "time without time zone",
-    "s": "text",
-    "ch": "character(4)",
-    "arr": "integer[]",
-    "allnull": "integer",
+    "order_no": "bigint",
+    "rebate": "boolean",
+    "line": "smallint",
+    "shift": "integer",
+    "wide_no": "bigint",
+    "quarter": "real",
+    "amount": "double precision",
+    "pieces": "numeric",
+    "tax_rate": "numeric(9,3)",
+    "margin": "numeric(15,5)",
+    "shelf": "numeric(18,2)",
+    "shipped": "date",
+    "packed": "timestamp without time zone",
+    "sent": "timestamp with time zone",
+    "gate": "time without time zone",
+    "remark": "text",
+    "code": "character(6)",
+    "steps": "integer[]",
+    "nothing": "smallint",
 }
 
 
 def labelled(df: DataFrame, name: str) -> DataFrame:
     """A float column as its finite value and a label, since NaN has no equal in most clients."""
-    c = F.col(name)
-    label = (
-        F.when(F.isnan(c), "nan")
-        .when(F.abs(c) == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
-        .when(c == 0, F.when(c.cast("string") == "-0.0", "-0").otherwise("0"))
-        .when(c.isNotNull(), "finite")
-    )
-    finite = F.when(label == "finite", c)
-    return df.withColumns({f"{name}_label": label, name: finite})
+    labels = "map('NaN', 'nan', 'Infinity', 'inf', '-Infinity', '-inf', '0.0', '0', '-0.0', '-0')"
+    label = f"nvl2({name}, coalesce(try_element_at({labels}, CAST({name} AS STRING)), 'finite'), NULL)"
+    finite = f"CASE WHEN abs({name}) > 0 AND abs({name}) < double('Infinity') THEN {name} END"
+    return df.withColumns({f"{name}_label": F.expr(label), name: F.expr(finite)})
 
 
 def normalize_types(spark: SparkSession, sf: str, decimal: bool) -> DataFrame:
     register(spark, sf, ["lineitem"])
     out = encode_temporal(normalize(query(spark, SOURCE_TEXT), DECLARED, decimal))
-    for name in ["f4", "f8"] if decimal else ["f4", "f8", "n10_2"]:
+    for name in ["quarter", "amount"] if decimal else ["quarter", "amount", "tax_rate"]:
         out = labelled(out, name)
     return out
 
 
 def expected_types(decimal: bool) -> str:
-    price = "CAST(l_extendedprice AS DECIMAL(10,2))"
+    price = "CAST(l_extendedprice AS DECIMAL(12,2))"
+    tax = "CAST(l_tax AS DECIMAL(9,3))"
     day = "date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))"
-    sign = "CASE l_returnflag WHEN 'A' THEN -1 ELSE 1 END"
+    sign = "CASE l_linestatus WHEN 'O' THEN -1 ELSE 1 END"
     if decimal:
         exact = f"""
-            CASE WHEN l_linenumber <> 2 THEN {price} END AS n10_2,
-            CAST({sign} * ({price} + 0.0056) AS DECIMAL(16,4)) AS n16_4
+            CASE WHEN l_linenumber <> 4 THEN {tax} END AS tax_rate,
+            CAST({sign} * ({price} + 0.00047) AS DECIMAL(15,5)) AS margin
         """
     else:
         exact = f"""
-            CASE WHEN l_linenumber <> 2 THEN CAST({price} AS DOUBLE) END AS n10_2,
-            CASE WHEN l_linenumber = 2 THEN 'nan' ELSE 'finite' END AS n10_2_label,
-            CAST({sign} * ({price} + 0.005678) AS DOUBLE) AS n16_4
+            CASE WHEN l_linenumber <> 4 AND {tax} > 0 THEN CAST({tax} AS DOUBLE) END AS tax_rate,
+            CASE WHEN l_linenumber = 4 THEN 'nan' WHEN {tax} = 0 THEN '0' ELSE 'finite' END
+                AS tax_rate_label,
+            CAST({sign} * ({price} + 0.000478) AS DOUBLE) AS margin
         """
     return f"""
-        SELECT l_orderkey AS id,
-               CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS b,
-               l_linenumber AS i2,
-               CAST(-l_quantity AS INTEGER) AS i4,
-               l_partkey * 4000000000 AS i8,
-               CASE WHEN l_linenumber > 1 THEN CAST(l_quantity * 0.5 AS FLOAT) END AS f4,
-               CASE WHEN l_linenumber > 1 THEN 'finite' ELSE '-inf' END AS f4_label,
-               CASE WHEN l_linenumber > 4 THEN l_extendedprice END AS f8,
-               CASE l_linenumber WHEN 1 THEN 'nan' WHEN 2 THEN 'inf' WHEN 3 THEN '-inf'
-                                 WHEN 4 THEN '-0' ELSE 'finite' END AS f8_label,
-               CASE WHEN l_linenumber > 1 THEN l_extendedprice END AS n,
-               l_extendedprice AS n17_4,
-               CAST(CASE l_linenumber WHEN 5 THEN 2147483647 WHEN 6 THEN -2147483647
-                                      ELSE {day} END AS INTEGER) AS d,
-               CASE l_linenumber WHEN 6 THEN 9223372036854775807 WHEN 5 THEN -9223372036854775807
-                    ELSE {day} * 86400000000 + 11045123456 END AS ts,
-               CASE l_linenumber WHEN 4 THEN 9223372036854775807
-                    WHEN 5 THEN {day} * 86400000000 + 16200000000
-                    ELSE {day} * 86400000000 + 54000000000 END AS tstz,
-               CAST(34200000001 + 60000000 * l_linenumber AS BIGINT) AS tm,
-               'héllo ' || l_returnflag || ' ' AS s,
-               CASE l_linestatus WHEN 'F' THEN '' ELSE ' ' || l_returnflag END AS ch,
-               '{{' || l_linenumber || ',NULL}}' AS arr,
-               CAST(NULL AS INTEGER) AS allnull,
+        SELECT l_orderkey AS order_no,
+               CASE WHEN l_discount > 0.05 THEN true WHEN l_discount > 0.02 THEN false END AS rebate,
+               l_linenumber AS line,
+               CAST(l_suppkey % 1000 - 500 AS INTEGER) AS shift,
+               l_orderkey * 1000000007 AS wide_no,
+               CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity / 4 AS FLOAT) END AS quarter,
+               CASE WHEN l_linenumber = 7 THEN 'inf' ELSE 'finite' END AS quarter_label,
+               CASE WHEN l_linenumber NOT IN (2, 5, 6) THEN l_extendedprice END AS amount,
+               CASE l_linenumber WHEN 2 THEN '-inf' WHEN 5 THEN 'nan' WHEN 6 THEN '-0'
+                                 ELSE 'finite' END AS amount_label,
+               CASE WHEN l_linenumber <> 3 THEN l_quantity * 3 END AS pieces,
+               l_partkey + 0.25::DOUBLE AS shelf,
+               CAST(CASE l_linenumber WHEN 1 THEN -2147483647 WHEN 2 THEN 2147483647
+                                      ELSE {day} END AS INTEGER) AS shipped,
+               CASE l_linenumber WHEN 3 THEN 9223372036854775807
+                    ELSE {day} * 86400000000 + 63930500000 END AS packed,
+               CASE l_linenumber WHEN 1 THEN -9223372036854775807
+                    WHEN 2 THEN {day} * 86400000000 + 51300000000
+                    ELSE {day} * 86400000000 + 13800000000 END AS sent,
+               CAST(72420250000 + 3600000000 * (l_linenumber % 4) AS BIGINT) AS gate,
+               l_returnflag || ' ¿' || l_linestatus || '?' AS remark,
+               CASE l_returnflag WHEN 'N' THEN '' ELSE l_returnflag || ' ' || l_linestatus END AS code,
+               '{{' || l_suppkey || ',' || l_linenumber || '}}' AS steps,
+               CAST(NULL AS INTEGER) AS nothing,
                {exact}
         FROM lineitem
     """

@@ -6,13 +6,12 @@ from tablex import quoted, unique_columns, unique_names
 @pytest.mark.parametrize(
     "names, want",
     [
-        (["a", "b"], ["a", "b"]),
-        (["id", "id"], ["id", "id_1"]),
-        (["id", "id", "id"], ["id", "id_1", "id_2"]),
-        (["id", "id", "id_1"], ["id", "id_2", "id_1"]),
-        (["x", "x_1", "x", "x_1"], ["x", "x_1", "x_2", "x_1_1"]),
-        (["id", "ID"], ["id", "ID"]),
-        ([], []),
+        (["price"], ["price"]),
+        (["price", "tax", "price", "tax"], ["price", "tax", "price_1", "tax_1"]),
+        (["qty_2", "qty", "qty", "qty"], ["qty_2", "qty", "qty_1", "qty_3"]),
+        (["day_1", "day_1", "day", "day"], ["day_1", "day_1_1", "day", "day_2"]),
+        (["Tax", "tax", "TAX", "tax"], ["Tax", "tax", "TAX", "tax_1"]),
+        (["", ""], ["", "_1"]),
     ],
 )
 def test_unique_names(names, want):
@@ -32,7 +31,7 @@ def test_quoted(name, want):
 
 
 def test_unique_columns_renames_by_position(spark):
-    df = spark.sql("SELECT 1 AS id, 2 AS id, 3 AS id_1, 4 AS ID")
+    df = spark.sql("SELECT 'x' AS cost_1, 'y' AS cost, 'z' AS cost, 'w' AS Cost")
     out = unique_columns(df)
-    assert out.columns == ["id", "id_2", "id_1", "ID"]
-    assert tuple(out.first()) == (1, 2, 3, 4)
+    assert out.columns == ["cost_1", "cost", "cost_2", "Cost"]
+    assert tuple(out.first()) == ("x", "y", "z", "w")
