@@ -6,36 +6,30 @@ from pyspark.sql import DataFrame, types as T
 
 from tablex.functions.declared import declared, is_text, source_type
 from tablex.functions.names import quoted, unique_columns
-from tablex.functions.sourcetext import source_text
+from tablex.functions.sourcetext import scientific, source_text, without_trailing_zeros
 from tablex.functions.temporal import INFINITE_MICROS, as_integer, finite_or_word
 
 MICROS_OF_DAY = 86_400_000_000
 
 
-def without_trailing_zeros(text: str) -> str:
-    """`12.50` as `12.5`, `12.00` as `12`; a text without a point is left alone."""
-    return f"CASE WHEN contains({text}, '.') THEN rtrim('.', rtrim('0', {text})) ELSE {text} END"
-
-
-def scientific(text: str) -> str:
-    """The JVM's `1.5E-7` as `1.5e-07`."""
-    mantissa = without_trailing_zeros(f"substring_index({text}, 'E', 1)")
-    power = f"CAST(substring_index({text}, 'E', -1) AS INT)"
-    sign = f"CASE WHEN {power} < 0 THEN 'e-' ELSE 'e+' END"
-    digits = f"CAST(abs({power}) AS STRING)"
-    return f"concat({mantissa}, {sign}, lpad({digits}, greatest(2, length({digits})), '0'))"
-
-
 def float_text(c: str, numeric: bool) -> str:
-    """Plain digits from 1e-4 up to 1e21, an exponent beyond.
+    """Plain digits from 1e-4 up to 1e21, an exponent beyond; for a numeric as far as 38 digits reach.
 
-    The JVM switches to an exponent at 1e-3 and 1e7 already; those two bands go through a
+    The JVM switches to an exponent at 1e-3 and 1e7 already; the bands around go through a
     decimal of the same digits.
     """
     text = f"CAST({c} AS STRING)"
     plus, minus = ("Infinity", "-Infinity") if numeric else ("+Inf", "-Inf")
     large = without_trailing_zeros(f"CAST(CAST({text} AS DECIMAL(38,16)) AS STRING)")
     small = without_trailing_zeros(f"CAST(CAST({text} AS DECIMAL(38,30)) AS STRING)")
+    beyond = ""
+    if numeric:
+        tiny = without_trailing_zeros(f"CAST(CAST({text} AS DECIMAL(38,37)) AS STRING)")
+        huge = f"CAST(CAST({text} AS DECIMAL(38,0)) AS STRING)"
+        beyond = (
+            f" WHEN abs({c}) < 1e-4D AND abs({c}) > 1e-20D THEN {tiny}"
+            f" WHEN abs({c}) >= 1e21D AND abs({c}) < 1e37D THEN {huge}"
+        )
     return (
         f"CASE WHEN {c} = 0 OR abs({c}) >= 1e-3D AND abs({c}) < 1e7D"
         f" THEN {without_trailing_zeros(text)}"
@@ -44,7 +38,7 @@ def float_text(c: str, numeric: bool) -> str:
         f" WHEN {c} = double('-Infinity') THEN '{minus}'"
         f" WHEN abs({c}) >= 1e7D AND abs({c}) < 1e21D THEN {large}"
         f" WHEN abs({c}) >= 1e-4D AND abs({c}) < 1e-3D THEN {small}"
-        f" ELSE {scientific(text)} END"
+        f"{beyond} ELSE {scientific(text)} END"
     )
 
 

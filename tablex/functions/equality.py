@@ -10,8 +10,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import types as T
 
-from tablex.functions.celltext import without_trailing_zeros
 from tablex.functions.names import quoted
+from tablex.functions.sourcetext import without_trailing_zeros
 from tablex.functions.temporal import INFINITE_MICROS, as_integer
 
 MOMENT = (T.TimestampType, T.TimestampNTZType)

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, types as T
 
 from tablex.functions.declared import Declared, Types, declared_columns, is_text, with_types
 from tablex.functions.names import quoted, unique_columns
-from tablex.functions.sourcetext import source_text
+from tablex.functions.sourcetext import source_text, without_trailing_zeros
 from tablex.functions.temporal import infinite_date, infinite_timestamp
 
-# Fixed value: the ISO form of a date; years beyond 9999 have more digits.
-DATE_TEXT = "^[0-9]{4,}-[0-9]{2}-[0-9]{2}$"
+# Fixed value: plain or scientific notation of a number.
+NUMBER_TEXT = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 # Native input types a declared kind accepts besides text.
 NATIVE = {
@@ -43,9 +43,17 @@ def number_of(c: str, to: str) -> str:
 
 
 def date_of(c: str) -> str:
-    """Text to a date; a text that also carries a time of day is not a date."""
+    """Text to a date; a text that also carries a time of day is not a date.
+
+    The cast judges the digits; place of the dashes and length rule out what else it would take.
+    Years beyond 9999 have more digits.
+    """
+    iso = (
+        f"length({c}) BETWEEN 10 AND 13 AND substr({c}, -3, 1) = '-' AND substr({c}, -6, 1) = '-'"
+        f" AND substr({c}, -1) BETWEEN '0' AND '9'"
+    )
     return (
-        f"CASE WHEN {c} RLIKE '{DATE_TEXT}' THEN CAST({c} AS DATE)"
+        f"CASE WHEN {iso} THEN CAST({c} AS DATE)"
         f" WHEN {c} = 'infinity' THEN {infinite_date(1)}"
         f" WHEN {c} = '-infinity' THEN {infinite_date(-1)}"
         f" WHEN {c} IS NOT NULL THEN CAST({malformed('date', c)} AS DATE) END"
@@ -53,9 +61,14 @@ def date_of(c: str) -> str:
 
 
 def timestamp_of(c: str, to: str) -> str:
+    """Text to a moment; an offset belongs to a timestamp with time zone only, and is refused elsewhere."""
+    cast = f"CAST({c} AS {to})"
+    if to == "timestamp_ntz":
+        offset = f"length({c}) > 10 AND (instr({c}, '+') > 0 OR instr(substr({c}, 11), '-') > 0 OR lower(substr({c}, -1)) = 'z')"
+        cast = f"CASE WHEN {offset} THEN CAST({malformed('timestamp without time zone', c)} AS {to}) ELSE {cast} END"
     return (
         f"CASE {c} WHEN 'infinity' THEN {infinite_timestamp(1, to)}"
-        f" WHEN '-infinity' THEN {infinite_timestamp(-1, to)} ELSE CAST({c} AS {to}) END"
+        f" WHEN '-infinity' THEN {infinite_timestamp(-1, to)} ELSE {cast} END"
     )
 
 
@@ -73,6 +86,7 @@ def exact_numeric(c: str, dtype: T.DataType, kind: Declared) -> str:
         cut = f"CASE WHEN {point} > 0 THEN substr({c}, 1, {point} + {scale}) ELSE {c} END"
         return (
             f"CASE WHEN {c} IN ('NaN', 'Infinity', '-Infinity') THEN NULL"
+            f" WHEN NOT {c} RLIKE '{NUMBER_TEXT}' THEN CAST({malformed('number', c)} AS {to})"
             f" WHEN contains(lower({c}), 'e') THEN {wide} ELSE CAST({cut} AS {to}) END"
         )
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
@@ -82,7 +96,21 @@ def exact_numeric(c: str, dtype: T.DataType, kind: Declared) -> str:
     return f"CAST({c} AS {to})"
 
 
-def portable(c: str, dtype: T.DataType, kind: Declared, decimal: bool = False) -> str:
+def plain_numeric(c: str, dtype: T.DataType) -> str:
+    """A numeric as plain digits without trailing zeros; NaN and the infinities as words."""
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return f"CAST({c} AS DOUBLE)"  # the text of floats is the sink's
+    if not is_text(dtype):
+        return without_trailing_zeros(f"CAST({c} AS STRING)")
+    wide = without_trailing_zeros(f"CAST(CAST({c} AS DECIMAL(38,18)) AS STRING)")
+    return (
+        f"CASE WHEN {c} IN ('NaN', 'Infinity', '-Infinity') THEN {c}"
+        f" WHEN NOT {c} RLIKE '{NUMBER_TEXT}' THEN {malformed('number', c)}"
+        f" WHEN contains(lower({c}), 'e') THEN {wide} ELSE {without_trailing_zeros(c)} END"
+    )
+
+
+def portable(c: str, dtype: T.DataType, kind: Declared, decimal: bool = False, plain: bool = False) -> str:
     """One column in its portable type."""
     if kind.kind == "char":
         return f"rtrim({source_text(c, dtype)})"
@@ -91,6 +119,8 @@ def portable(c: str, dtype: T.DataType, kind: Declared, decimal: bool = False) -
     text = is_text(dtype)
     if not text and not isinstance(dtype, NATIVE[kind.kind]):
         raise TypeError(f"column {c}: {dtype.simpleString()} values, declared {kind.name}")
+    if plain and kind.kind == "numeric":
+        return plain_numeric(c, dtype)
     if decimal and kind.exact:
         return exact_numeric(c, dtype, kind)
     target = kind.spark_type()
@@ -104,17 +134,18 @@ def portable(c: str, dtype: T.DataType, kind: Declared, decimal: bool = False) -
     return c if dtype == target else f"CAST({c} AS {to})"
 
 
-def normalize(df: DataFrame, types: Types = None, decimal: bool = False) -> DataFrame:
+def normalize(df: DataFrame, types: Types = None, decimal: bool = False, plain: bool = False) -> DataFrame:
     """Every column in its portable type, repeated names told apart.
 
     types   declared types by name (mapping) or by position (pairs); a column without one
             keeps the type its Spark type stands for
     decimal numeric(p,s) up to 16 digits as exact decimals instead of doubles
+    plain   every numeric as text of plain digits, for sinks of text; digits are never rounded
     """
     df = unique_columns(df)
     kinds = declared_columns(df, types)
     columns = []
     for field, kind in zip(df.schema, kinds):
         name = quoted(field.name)
-        columns.append(f"{portable(name, field.dataType, kind, decimal)} AS {name}")
+        columns.append(f"{portable(name, field.dataType, kind, decimal, plain)} AS {name}")
     return with_types(df.selectExpr(*columns), [kind.name for kind in kinds])

@@ -11,6 +11,34 @@ from tablex.functions.temporal import INFINITE_DAYS, INFINITE_MICROS, as_integer
 BARE_ITEM = r"""r'^[^\s{}",\\]+$'"""
 
 
+def without_trailing_zeros(text: str) -> str:
+    """`12.50` as `12.5`, `12.00` as `12`; a text without a point is left alone."""
+    return f"CASE WHEN contains({text}, '.') THEN rtrim('.', rtrim('0', {text})) ELSE {text} END"
+
+
+def scientific(text: str) -> str:
+    """The JVM's `1.5E-7` as `1.5e-07`."""
+    mantissa = without_trailing_zeros(f"substring_index({text}, 'E', 1)")
+    power = f"CAST(substring_index({text}, 'E', -1) AS INT)"
+    sign = f"CASE WHEN {power} < 0 THEN 'e-' ELSE 'e+' END"
+    digits = f"CAST(abs({power}) AS STRING)"
+    return f"concat({mantissa}, {sign}, lpad({digits}, greatest(2, length({digits})), '0'))"
+
+
+def float_source(c: str) -> str:
+    """A float with plain digits from 1e-4 up to 1e15, an exponent beyond."""
+    text = f"CAST({c} AS STRING)"
+    large = without_trailing_zeros(f"CAST(CAST({text} AS DECIMAL(38,16)) AS STRING)")
+    small = without_trailing_zeros(f"CAST(CAST({text} AS DECIMAL(38,30)) AS STRING)")
+    return (
+        f"CASE WHEN {c} = 0 OR abs({c}) >= 1e-3D AND abs({c}) < 1e7D THEN {without_trailing_zeros(text)}"
+        f" WHEN isnan({c}) OR abs({c}) = double('Infinity') THEN {text}"
+        f" WHEN abs({c}) >= 1e7D AND abs({c}) < 1e15D THEN {large}"
+        f" WHEN abs({c}) >= 1e-4D AND abs({c}) < 1e-3D THEN {small}"
+        f" ELSE {scientific(text)} END"
+    )
+
+
 def array_item(c: str, dtype: T.DataType, depth: int) -> str:
     text = source_text(c, dtype, depth)
     if is_text(dtype):
@@ -37,6 +65,10 @@ def source_text(c: str, dtype: T.DataType, depth: int = 0) -> str:
         item = array_item(f"item{depth}", dtype.elementType, depth + 1)
         joined = f"array_join(transform({c}, item{depth} -> {item}), ',')"
         return f"concat('{{', {joined}, '}}')"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return float_source(c)
+    if isinstance(dtype, T.BinaryType):
+        return rf"concat(r'\x', lower(hex({c})))"
     if isinstance(dtype, (T.MapType, T.StructType)):
         return f"to_json({c})"
     return f"CAST({c} AS STRING)"

@@ -8,13 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablex.functions.equality import row_hash
 from tablex.functions.names import quoted
-from tablex.session import stored
 from tablex.sources.tables import query, scan
 
-# A limit up to this many rows may end in one task; a larger one is cut partition by partition.
-ONE_TASK_ROWS = 10_000
-
-
 def project(df: DataFrame, columns: str = "*") -> DataFrame:
     """The columns of a comma-separated list of names; '' or '*' is all of them."""
     if columns in ("", "*"):
@@ -54,57 +49,12 @@ def ordered(
 
 
 def limit(df: DataFrame, n: int = 0) -> DataFrame:
-    """Any n rows, or all of them for n <= 0.
-
-    Spark gathers a limit into one task. Beyond ONE_TASK_ROWS the rows of an unordered extract
-    are counted per partition instead, and kept up to the row that completes n.
-    """
-    if n <= 0:
-        return df
-    if n <= ONE_TASK_ROWS:
-        return df.limit(n)
-    return first_rows(df, n)
-
-
-def place_name(df: DataFrame) -> str:
-    name = "place_in_scan"
-    while name in df.columns:
-        name += "_"
-    return name
-
-
-def cut(placed: DataFrame, place: str, n: int) -> DataFrame:
-    """The n rows with the lowest places. One number per partition reaches the driver."""
-    partition = F.shiftright(F.col(place), 33)
-    sizes = placed.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("rows"))
-    left = n
-    for p, rows in sorted((row.p, row.rows) for row in sizes.collect()):
-        if rows >= left:
-            return placed.where(F.col(place) < F.lit((p << 33) + left))
-        left -= rows
-    return placed
-
-
-def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows in partition order, still spread over their partitions.
-
-    Needs partitions that hold the same rows each time they are read: a scan with columns and
-    predicate, as `extract` builds.
-    """
-    place = place_name(df)
-    placed = df.select("*", F.monotonically_increasing_id().alias(place))
-    return cut(placed, place, n).drop(place)
-
-
-def top_rows(df: DataFrame, keys: list[str | tuple[str, str]], n: int) -> DataFrame:
-    """The first n rows by the keys, in order, without gathering them in one task.
+    """Any n rows, or all of them for n <= 0; the same plan for every n, and no job until it is used.
 
-    The sorted rows are stored with their places, so that counting and cutting see the same ones.
+    Every partition stops at n rows; those pass through one task, one at a time, until n are there. A
+    limit that is a good part of a large table is better said as a predicate.
     """
-    place = place_name(df)
-    by_keys = ordered(df, keys, steady_scan=True)
-    placed = stored(by_keys.select("*", F.monotonically_increasing_id().alias(place)), "ordered")
-    return cut(placed, place, n).orderBy(place).drop(place)
+    return df.limit(n) if n > 0 else df
 
 
 def extract(
@@ -117,10 +67,11 @@ def extract(
     keys: Iterable[str | tuple[str, str]] = (),
     sql: str = "",
 ) -> DataFrame:
-    """One extract. A raw SQL text overrides every other option.
+    """One extract. A raw SQL text overrides every other option. Building it runs no job.
 
-    The predicate and the keys may use columns the extract does not keep. With an order a small
-    limit is a top-n, of which Spark keeps n rows per partition before it merges.
+    The predicate and the keys may use columns the extract does not keep. An order with a limit is a
+    top-n: Spark keeps n rows per partition and merges them, without sorting or storing the table;
+    beyond `spark.sql.execution.topKSortFallbackThreshold` rows it sorts by ranges on disk instead.
     """
     if sql:
         return query(spark, sql)
@@ -132,8 +83,4 @@ def extract(
         return limit(project(source, columns), rows)
     if rows <= 0:
         return project(ordered(source, keys, steady_scan=True), columns)
-    if rows <= ONE_TASK_ROWS:
-        return project(source.orderBy(*sort_keys(keys)).limit(rows), columns)
-    needed = dict.fromkeys(project(source, columns).columns)
-    needed |= dict.fromkeys(key if isinstance(key, str) else key[0] for key in keys)
-    return project(top_rows(source.select(*map(quoted, needed)), keys, rows), columns)
+    return project(source.orderBy(*sort_keys(keys)).limit(rows), columns)

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tablex.functions.names import unique_columns
-from tablex.operators.extract import extract, limit, project
-from tablex.operators.profile import extract_count
-from tablex.sources.tables import query, register, scan
+from tablex.operators.extract import extract, limit
+from tablex.sources.tables import query, register
 
 
 def project_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,8 +68,11 @@ def extract_top_large(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def limit_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Which rows an unordered limit keeps is open; how many is not."""
-    return extract_count(limit(project(scan(spark, sf, "lineitem"), "l_orderkey"), 50_000))
+    """Which rows an unordered limit of a join keeps is open; how many is not, nor that each is a joined row."""
+    register(spark, sf, ["lineitem", "orders"])
+    joined = query(spark, "SELECT l_orderkey, o_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+    kept = limit(joined, 50_000)
+    return kept.selectExpr("count(*) AS rows", "count_if(l_orderkey = o_orderkey) AS joined")
 
 
 RAW = """
@@ -132,7 +134,10 @@ ORACLES = {
         SELECT l_orderkey, l_extendedprice FROM lineitem
         ORDER BY l_shipdate DESC, l_orderkey, l_extendedprice LIMIT 25000
     """,
-    "limit_rows": 'SELECT least(count(*), 50000) AS "rows" FROM lineitem',
+    "limit_rows": """
+        SELECT least(count(*), 50000) AS "rows", least(count(*), 50000) AS joined
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    """,
     "raw_sql": RAW,
     "self_join_names": """
         SELECT a.c_nationkey, b.c_nationkey AS c_nationkey_1, b.c_name, a.c_name AS c_name_2,

@@ -12,7 +12,7 @@ from tablex.session import work_folder
 from tablex.sinks.copytext import dump_types, write_copy
 from tablex.sinks.files import write
 from tablex.sources.copytext import read_copy_stream
-from tablex.sources.tables import read_export, scan
+from tablex.sources.tables import read_export, register, scan
 from tablex.streaming.export import export_stream
 
 
@@ -21,7 +21,24 @@ def csv_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_moments(spark: SparkSession, sf: str) -> DataFrame:
-    return csv_text(scan(spark, sf, "events").select("event_id", "ts", "value"))
+    return csv_text(scan(spark, sf, "events"))
+
+
+SMALL_AND_LARGE = """
+SELECT l_orderkey, l_linenumber,
+       (l_extendedprice::decimal(12,2) * 0.000001)::{text} AS small,
+       (l_extendedprice::decimal(12,2) * 1000000000000)::{text} AS large
+FROM lineitem
+"""
+
+
+def csv_numerics(spark: SparkSession, sf: str) -> DataFrame:
+    """Numerics of eight decimals and of eighteen digits keep every digit in a CSV."""
+    register(spark, sf, ["lineitem"])
+    path = f"{work_folder(spark, 'numerics')}/numerics.csv"
+    types = {"small": "numeric(20,8)", "large": "numeric"}
+    export(spark, path, types, sql=SMALL_AND_LARGE.format(text="string"))
+    return read_export(spark, path)
 
 
 def write_read_parquet(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,6 +83,7 @@ def stream_export(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "csv_cells": csv_cells,
     "csv_moments": csv_moments,
+    "csv_numerics": csv_numerics,
     "write_read_parquet": write_read_parquet,
     "write_read_csv": write_read_csv,
     "empty_result": empty_result,
@@ -85,9 +103,15 @@ ORACLES = {
         SELECT CAST(event_id AS VARCHAR) AS event_id,
                CASE WHEN CAST(ts AS DATE) = ts THEN strftime(ts, '%Y-%m-%d')
                     ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS ts,
-               {PLAIN.format("value")} AS "value"
+               CAST(user_id AS VARCHAR) AS user_id, event_type, {PLAIN.format("value")} AS "value", props
         FROM events
     """,
+    "csv_numerics": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+               rtrim(rtrim(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 0.000001 AS VARCHAR), '0'), '.') AS small,
+               CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS HUGEINT) * 10000000000 AS VARCHAR) AS large
+        FROM lineitem
+    """,
     "write_read_parquet": """
         SELECT l_orderkey, l_partkey, CAST(l_extendedprice AS DECIMAL(12,2)) AS l_extendedprice,
                l_shipdate

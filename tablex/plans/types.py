@@ -205,7 +205,16 @@ def text_roundtrip(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return normalize(read_copy(spark, path, types), types)
 
 
+def text_roundtrip_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays leave as their text; read back, the text gives every item again."""
+    rows = text_roundtrip(spark, sf, "embeddings")
+    items = "posexplode(transform(split(substr(embedding, 2, length(embedding) - 2), ','), x -> CAST(x AS FLOAT)))"
+    return rows.selectExpr("vec_id", "label", f"{items} AS (place, item)")
+
+
 ROUNDTRIPS = [
+    "region",
+    "nation",
     "lineitem",
     "orders",
     "customer",
@@ -229,6 +238,7 @@ QUERIES = {
     "temporal_encode": temporal_encode,
     "char_unpad": char_unpad,
     **{f"text_roundtrip_{t}": partial(text_roundtrip, table=t) for t in ROUNDTRIPS},
+    "text_roundtrip_embeddings": text_roundtrip_embeddings,
 }
 
 DUCK_TYPE_NAMES = """
@@ -290,4 +300,8 @@ ORACLES = {
     """,
     "char_unpad": "SELECT c_custkey, ' ' || c_mktsegment AS segment FROM customer",
     **{f"text_roundtrip_{t}": f"SELECT * FROM {t}" for t in ROUNDTRIPS},
+    "text_roundtrip_embeddings": """
+        SELECT vec_id, label, CAST(i AS INTEGER) AS place, embedding[i + 1] AS item
+        FROM (SELECT *, unnest(range(len(embedding))) AS i FROM embeddings)
+    """,
 }

@@ -17,6 +17,8 @@ SETTINGS = {
     # The JVM never compiles a method above 8000 bytes of code; a projection of many columns
     # fused into one method would be interpreted. Beyond this size Spark splits it instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A top-n holds n rows per task; a larger one is sorted, which can spill.
+    "spark.sql.execution.topKSortFallbackThreshold": "1000000",
 }
 
 
@@ -77,3 +79,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, target = file_system(spark, path)
     fs.delete(target, True)
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    fs, source = file_system(spark, path)
+    if not fs.rename(source, file_system(spark, to)[1]):
+        raise OSError(f"can't move {path} to {to}")
+
+
+def release(df: DataFrame) -> None:
+    """Remove what `stored` wrote for a relation that is no longer needed."""
+    for folder in {file.rsplit("/", 2)[0] for file in df.inputFiles() if "/tablex/" in file}:
+        remove_path(df.sparkSession, folder)

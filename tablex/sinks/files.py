@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, functions as F
 
 from tablex.functions.celltext import csv_text
 from tablex.functions.names import quoted, unique_columns
-from tablex.session import configure, path_exists, remove_path
-
-# Fixed value: rows per row group of the classic layout, for readers that want it.
-CLASSIC_ROW_GROUP = 10_000
-
+from tablex.session import configure, move_path, path_exists, remove_path
 
 def optional_fields(df: DataFrame) -> DataFrame:
     """Every column as an optional field, also one that can never be NULL, such as a count.
@@ -29,19 +27,39 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def commit(writer: DataFrameWriter, df: DataFrame, path: str, mode: str) -> None:
-    """Write; if the job fails, remove what this job may have left under the path."""
+    """Write beside the path, then move into place: until then an earlier export stays as it was.
+
+    A write that fails, whether before it starts or in the middle, removes only what it wrote itself.
+    """
     spark = df.sparkSession
+    if mode not in ("overwrite", "errorifexists"):
+        raise ValueError(f"mode {mode!r}: overwrite or errorifexists")
     if mode != "overwrite" and path_exists(spark, path):
         raise FileExistsError(path)
+    place, mark = path.rstrip("/"), uuid.uuid4().hex
+    folder, _, name = place.rpartition("/")
+    beside = f"{folder}/" if folder or place.startswith("/") else ""
+    new, old = f"{beside}.{name}.{mark}.new", f"{beside}.{name}.{mark}.old"
     try:
-        writer.mode(mode).save(path)
+        writer.mode("errorifexists").save(new)
+        replaced = path_exists(spark, place)
+        if replaced:
+            move_path(spark, place, old)
+        try:
+            move_path(spark, new, place)
+        except Exception:
+            if replaced:
+                move_path(spark, old, place)
+            raise
     except Exception:
-        remove_path(spark, path)
+        remove_path(spark, new)
         raise
+    if replaced:
+        remove_path(spark, old)
 
 
 def write_parquet(
-    df: DataFrame, path: str, mode: str = "overwrite", row_group_rows: int = 0
+    df: DataFrame, path: str, mode: str = "errorifexists", row_group_rows: int = 0
 ) -> int:
     """ZSTD Parquet, microsecond timestamps, decimals as integers; returns the rows written.
 
@@ -57,7 +75,7 @@ def write_parquet(
     return rows.get["rows"]
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", fraction: bool = False) -> int:
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", fraction: bool = False) -> int:
     """CSV with a header in every part; returns the rows written."""
     configure(df.sparkSession)
     df, rows = counted(csv_text(df, fraction))
@@ -78,7 +96,7 @@ def sink_format(path: str, fmt: str = "") -> str:
     return "csv" if named == "csv" else "parquet"
 
 
-def write(df: DataFrame, path: str, fmt: str = "", mode: str = "overwrite") -> int:
+def write(df: DataFrame, path: str, fmt: str = "", mode: str = "errorifexists") -> int:
     """Write to the sink the format or the path names; returns the rows written."""
     sink = write_csv if sink_format(path, fmt) == "csv" else write_parquet
     return sink(df, path, mode)

@@ -4,8 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablex import extract, limit, ordered, project, scan, where
-from tablex.operators import extract as module
-from tablex.operators.extract import first_rows
 
 
 def test_names_are_columns_not_expressions(spark):
@@ -31,30 +29,44 @@ def test_where_and_limit(spark):
     assert limit(df, 100).count() == 10
 
 
-@pytest.mark.parametrize("n", [1, 7, 1499, 1500, 1501, 2999, 3000, 5000])
-def test_first_rows_is_exact_and_stays_distributed(spark, n):
-    df = spark.range(0, 6000, 1, 8).where("id % 2 = 0 AND id NOT BETWEEN 750 AND 1600").select("id")
-    total = df.count()
-    kept = first_rows(df, n)
-    ids = [r.id for r in kept.collect()]
-    assert ids == [r.id for r in df.collect()][:n]
-    assert len(ids) == min(n, total)
-    assert "SinglePartition" not in kept._jdf.queryExecution().executedPlan().toString()
-
-
-def test_large_limits_take_the_distributed_way(spark, monkeypatch):
-    monkeypatch.setattr(module, "ONE_TASK_ROWS", 10)
-    assert limit(spark.range(0, 100, 1, 4), 33).count() == 33
-    assert limit(spark.range(0, 100, 1, 4), 10).count() == 10
+@pytest.mark.parametrize("target", ["64MB", "1MB"])
+@pytest.mark.parametrize("n", [5, 10_000, 100_000, 400_000])
+def test_limit_of_a_join_is_exact(spark, target, n):
+    folder = "/root/testdata/sf0.1"
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", target)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines, orders = scan(spark, folder, "lineitem"), scan(spark, folder, "orders")
+        joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        kept = limit(joined, n)
+        assert kept.select("l_orderkey", "o_totalprice").collect().__len__() == n
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("rows", [1, 11, 1000, 5999, 6000, 9000])
-def test_large_top_n_is_exact_and_ordered(spark, small, monkeypatch, rows):
+@pytest.mark.parametrize("most", ["1000000", "10"])
+def test_top_n_is_exact_and_ordered(spark, small, rows, most):
+    keys = ["l_returnflag", "l_orderkey", "l_tax"]
+    lines = scan(spark, small, "lineitem").select(*keys).toPandas()
+    want = lines.sort_values(keys, ascending=[True, False, True]).head(rows)
+    spark.conf.set("spark.sql.execution.topKSortFallbackThreshold", most)
     options = {"columns": "l_orderkey,l_tax", "rows": rows, "keys": ["l_returnflag", ("l_orderkey", "desc"), "l_tax"]}
-    want = [tuple(r) for r in extract(spark, small, "lineitem", **options).collect()]
-    monkeypatch.setattr(module, "ONE_TASK_ROWS", 0)
-    top = extract(spark, small, "lineitem", **options)
-    assert [tuple(r) for r in top.collect()] == want
+    got = extract(spark, small, "lineitem", **options).collect()
+    spark.conf.set("spark.sql.execution.topKSortFallbackThreshold", "1000000")
+    assert [tuple(r) for r in got] == list(zip(want.l_orderkey, want.l_tax))
+
+
+def test_building_an_extract_runs_no_job(spark, small):
+    spark.sparkContext.setJobGroup("building", "extracts")
+    try:
+        extract(spark, small, "lineitem", "l_orderkey", rows=50_000)
+        extract(spark, small, "lineitem", "l_orderkey", rows=50_000, keys=["l_tax"])
+        # no more than the look at the files' schema, once for each scan
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_order_puts_missing_values_above_all(spark):

@@ -118,6 +118,16 @@ def test_timestamps_with_zone(spark):
         ("date", "2020-01-02 10:00:00"),
         ("date", "2020-13-01"),
         ("date", "2020"),
+        ("date", "2020-01-2 "),
+        ("date", "2020-01-02 x"),
+        ("numeric(10,2)", "12.34abc"),
+        ("numeric(10,2)", "1.23.45"),
+        ("numeric(10,2)", "1.50d"),
+        ("numeric(10,2)", "1.50 "),
+        ("numeric(10,2)", ""),
+        ("timestamp", "2020-01-01 10:00:00+05"),
+        ("timestamp", "2020-01-01 10:00:00-05:30"),
+        ("timestamp", "2020-01-01T10:00:00Z"),
         ("timestamp", "yesterday"),
         ("time", "24:00:00"),
         ("boolean", "maybe"),

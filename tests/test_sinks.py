@@ -84,10 +84,26 @@ def test_existing_export_is_kept_unless_overwritten(spark, tmp_path):
     with pytest.raises(FileExistsError):
         write(spark.range(5), out, mode="errorifexists")
     assert read_export(spark, out).count() == 3
-    assert write(spark.range(5), out) == 5
+    assert write(spark.range(5), out, mode="overwrite") == 5
     assert read_export(spark, out).count() == 5
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_failures_leave_the_earlier_export(spark, tmp_path, fmt):
+    out = str(tmp_path / "x")
+    write(spark.range(3), out, fmt)
+    if fmt == "parquet":  # refused before it starts
+        with pytest.raises(Exception):
+            write(spark.sql("SELECT make_interval(1) AS a"), out, fmt, mode="overwrite")
+    bad = spark.range(1000).selectExpr("CASE WHEN id = 999 THEN 'x' ELSE '1' END AS n")  # fails in the middle
+    with pytest.raises(Exception):
+        write(normalize(bad, {"n": "integer"}), out, fmt, mode="overwrite")
+    assert read_export(spark, out, fmt).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["x"]
+    assert write(spark.range(4), out, fmt, mode="overwrite") == 4
+    assert read_export(spark, out, fmt).count() == 4 and [p.name for p in tmp_path.iterdir()] == ["x"]
+
+
 def test_unfinished_export_is_refused(spark, tmp_path):
     out = tmp_path / "x"
     write(spark.range(3), str(out))
