@@ -18,7 +18,7 @@ from tablex.session import stored
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 #: Rows that share a source and a range of keys, on average; they are sorted and summed by one task.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 KEY_BITS = 60
 
 
