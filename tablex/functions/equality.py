@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 
 from tablex.functions.names import quoted
 from tablex.functions.sourcetext import without_trailing_zeros
-from tablex.functions.temporal import INFINITE_MICROS, as_integer
+from tablex.functions.temporal import as_integer
 
 MOMENT = (T.TimestampType, T.TimestampNTZType)
 
+# Fixed value: instants, in microseconds, at least this far from the epoch stand for infinity.
+EXTREME = 2**62 - 1
+
 # Types whose text never holds a separator.
 PLAIN = (T.NumericType, T.BooleanType, T.DatetimeType, T.TimeType)
 
@@ -38,15 +41,15 @@ def comparable_text(c: str, dtype: T.DataType) -> str:
 
 
 def near(want: str, got: str, tolerance_us: int) -> str:
-    """Whether two instants, in microseconds, are close; an infinite one stays infinite.
+    """Whether two instants, in microseconds, are close; an extreme stays an extreme of the same sign.
 
-    The infinite ones are ruled out first, and the difference taken as a decimal, since it need
-    not fit a bigint.
+    A reader that keeps instants as doubles can't give an extreme back to the microsecond, so all beyond
+    2^62 count as one. The extremes are ruled out first; the difference of the rest fits a bigint.
     """
+    inner = " AND ".join(f"{x} > -{EXTREME}L AND {x} < {EXTREME}L" for x in (want, got))
     return (
-        f"CASE WHEN abs({want}) < {INFINITE_MICROS}L AND abs({got}) < {INFINITE_MICROS}L"
-        f" THEN abs(CAST({want} AS DECIMAL(20,0)) - CAST({got} AS DECIMAL(20,0))) <= {tolerance_us}"
-        f" ELSE {want} = {got} END"
+        f"CASE WHEN {inner} THEN abs({want} - {got}) <= {tolerance_us}"
+        f" ELSE {want} >= {EXTREME}L AND {got} >= {EXTREME}L OR {want} <= -{EXTREME}L AND {got} <= -{EXTREME}L END"
     )
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tablex.functions.declared import actual_kinds, reader_label
-from tablex.functions.equality import MOMENT, comparable_text, near, row_hash, row_text
+from tablex.functions.equality import MOMENT, comparable, comparable_text, near, row_hash, row_text
 from tablex.functions.names import quoted, unique_columns
 from tablex.session import configure, stored
 
@@ -59,22 +59,62 @@ def unmatched_hashes(a: DataFrame, b: DataFrame) -> DataFrame:
     return surplus.where(F.col("surplus") != 0)
 
 
-def surplus_rows(df: DataFrame, hashes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per distinct unmatched row: keys, key hash, cells as text, copies.
+# A frequent row is spread over so many tasks when it meets its hash.
+SALTS = 8
 
-    The hashes are a stored table: Spark broadcasts it if its size allows, else shuffles.
-    """
+
+def text_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Row hash, key hash, keys and cells as text."""
     cells = [comparable_text(quoted(f.name), f.dataType) for f in df.schema]
-    rows = df.selectExpr(
+    return df.selectExpr(
         *hash_pair(df.schema, "h"),
         *hash_pair([df.schema[k] for k in keys], "k"),
         f"struct({', '.join(map(quoted, keys))}) AS key",
         f"array({', '.join(cells)}) AS cells",
     )
-    found = rows.join(hashes, ["h1", "h2"])
+
+
+def surplus_rows(df: DataFrame, hashes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per distinct unmatched row: keys, key hash, cells as text, copies.
+
+    The hashes are a stored table: Spark broadcasts it if its size allows, else shuffles. Copies of a
+    row meet its hash in several tasks, and are reduced to one before they are shuffled again.
+    """
+    salted = hashes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    found = text_rows(df, keys).withColumn("salt", salt).join(salted, ["h1", "h2", "salt"]).drop("salt")
     return found.dropDuplicates(["h1", "h2"]).withColumnRenamed("surplus", "copies")
 
 
+def far_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], tolerance_us: int) -> DataFrame:
+    """Key hashes whose rows differ by more than the tolerance.
+
+    Moments are left out of the row hash and compared by themselves: rows a microsecond apart cost a key
+    hash, a row hash and their moments each, not their whole text. A key with several rows on a side is far.
+    """
+    moments = [f.name for f in a.schema if isinstance(f.dataType, MOMENT)]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        rest = [f for f in df.schema if f.name not in moments]
+        instants = ", ".join(comparable(quoted(m), df.schema[m].dataType) for m in moments)
+        rows = df.selectExpr(*hash_pair([df.schema[k] for k in keys], "k"), f"struct({row_hash(rest, 1)}, {row_hash(rest, 2)}, array({instants})) AS row")
+        return rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.max("row").alias(name))
+
+    both = side(a, "want").join(side(b, "got"), ["k1", "k2"], "full")
+    close = [
+        f"coalesce({near(f'want.col3[{i}]', f'got.col3[{i}]', tolerance_us)}, want.col3[{i}] IS NULL AND got.col3[{i}] IS NULL)"
+        for i in range(len(moments))
+    ]
+    alike = " AND ".join(["want_rows = 1", "got_rows = 1", "want.col1 = got.col1", "want.col2 = got.col2", *close])
+    return both.where(f"NOT coalesce({alike}, false)").select("k1", "k2")
+
+
+def key_rows(df: DataFrame, far: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct rows of some keys, with their number of copies."""
+    found = text_rows(df, keys).join(far, ["k1", "k2"], "left_semi")
+    return found.groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("k1", "k2", "key", "cells")], F.count(F.lit(1)).alias("copies"))
+
+
 def diff_cells(
     a: DataFrame, b: DataFrame, keys: Sequence[str], tolerance_us: int = 0
 ) -> DataFrame:
@@ -95,12 +135,15 @@ def diff_cells(
     if a.columns != b.columns:
         raise ValueError(f"columns differ: {a.columns} and {b.columns}")
     configure(a.sparkSession)
-    hashes = stored(unmatched_hashes(a, b), "hashes")
-    only_a = hashes.where("surplus > 0")
-    only_b = hashes.where("surplus < 0").withColumn("surplus", -F.col("surplus"))
-    want = surplus_rows(a, only_a, keys).withColumn("side", F.lit("want"))
-    got = surplus_rows(b, only_b, keys).withColumn("side", F.lit("got"))
-    rest = stored(want.unionAll(got), "rest")
+    if tolerance_us and any(isinstance(f.dataType, MOMENT) for f in a.schema):
+        far = stored(far_keys(a, b, keys, tolerance_us), "keys")
+        want, got = key_rows(a, far, keys), key_rows(b, far, keys)
+    else:
+        hashes = stored(unmatched_hashes(a, b), "hashes")
+        want = surplus_rows(a, hashes.where("surplus > 0"), keys)
+        got = surplus_rows(b, hashes.where("surplus < 0").withColumn("surplus", -F.col("surplus")), keys)
+    want, got = want.withColumn("side", F.lit("want")), got.withColumn("side", F.lit("got"))
+    rest = stored(want.unionByName(got), "rest")
 
     def side(name: str, value: Column) -> Column:
         return F.when(F.col("side") == name, value)
@@ -230,7 +273,8 @@ def reconcile(
     cases       name -> (expected, actual, key columns), one per table and reader
     tolerance_us, accepted  what passes as equal, see `diff_cells` and `diff_schema`
 
-    Cells are compared in the columns both sides have with the same kind.
+    Cells are compared in the columns both sides have with the same kind. A key of another kind is a
+    schema problem, and its rows are then paired by its canonical text.
     """
     parts = []
     for name, (a, b, keys) in cases.items():
@@ -256,9 +300,9 @@ def reconcile(
             )
         )
         shared = shared_columns(a, b, accepted)
-        if set(keys) <= set(shared):
-            columns = [quoted(c) for c in shared]
-            cells = diff_cells(a.select(*columns), b.select(*columns), keys, tolerance_us)
+        if set(keys) <= set(a.columns) & set(b.columns):
+            left, right = (compared(df, shared, keys) for df in (a, b))
+            cells = diff_cells(left, right, keys, tolerance_us)
             key = F.concat_ws(",", *[F.col(quoted(k)).cast("string") for k in keys])
             parts.append(
                 cells.select(
@@ -272,6 +316,13 @@ def reconcile(
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], CHECKS)
 
 
+def compared(df: DataFrame, shared: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The shared columns, and the keys that are not among them as text."""
+    texts = [k for k in keys if k not in shared]
+    keyed = [f"{comparable_text(quoted(k), df.schema[k].dataType)} AS {quoted(k)}" for k in texts]
+    return df.selectExpr(*keyed, *map(quoted, shared))
+
+
 def shared_columns(
     a: DataFrame, b: DataFrame, accepted: Sequence[tuple[str, str]]
 ) -> list[str]:
@@ -285,7 +336,10 @@ def shared_columns(
 
 
 def verdict(problems: DataFrame) -> DataFrame:
-    """One row: the number of problems, and whether there are none."""
+    """One row: the number of problems, and whether there are none.
+
+    Rows cancel out by 128 bits of hash, which can't tell two different rows with one hash apart.
+    """
     return problems.agg(F.count(F.lit(1)).alias("problems")).withColumn(
         "equal", F.col("problems") == 0
     )

@@ -50,7 +50,7 @@ def test_same(spark, a, b, want):
         ("0", "1000", True),
         ("0", "1001", False),
         ("9223372036854775807", "9223372036854775807", True),
-        ("9223372036854775807", "9223372036854775000", False),
+        ("9223372036854775807", "9223372036854775000", True),
         ("9223372036854775807", "-9223372036854775807", False),
         ("9223372036854775806", "-9223372036854775806", False),
         ("NULL", "0", False),
@@ -242,10 +242,28 @@ def test_reconcile_and_verdict(spark):
     assert verdict(reconcile(spark, {})).first().equal is True
 
 
-def test_key_of_another_kind_skips_the_cells(spark):
-    a = spark.range(3)
-    problems = reconcile(spark, {"c": (a, a.select(F.col("id").cast("string").alias("id")), ["id"])})
-    assert [r.check for r in problems.collect()] == ["schema"]
+def test_key_of_another_kind_still_pairs_rows(spark):
+    a = spark.sql("SELECT id AS k, id * 2 AS v FROM range(4)")
+    b = spark.sql("SELECT CAST(id AS STRING) AS k, CASE id WHEN 2 THEN -1L ELSE id * 2 END AS v FROM range(3)")
+    problems = reconcile(spark, {"c": (a, b, ["k"])}).where("check <> 'rows'")
+    assert sorted((r.check, r.subject, r.want, r.got) for r in problems.collect()) == [
+        ("changed", "2 v", "4", "-1"),
+        ("missing", "3", '["3","6"]', None),
+        ("schema", "column 1", "k int", "k string"),
+    ]
+
+
+def test_extremes_keep_their_sign_only(spark):
+    a = spark.sql("SELECT 1 AS k, timestamp_micros(9223372036854775807) AS t UNION ALL SELECT 2, timestamp_micros(-9223372036854775807) UNION ALL SELECT 3, timestamp_micros(9223372036854775807) UNION ALL SELECT 4, NULL")
+    b = spark.sql("SELECT 1 AS k, timestamp_micros(9223372036854770000) AS t UNION ALL SELECT 2, timestamp_micros(-9223372036854775808) UNION ALL SELECT 3, timestamp_micros(-9223372036854775807) UNION ALL SELECT 4, NULL")
+    assert [r.k for r in diff_cells(a, b, ["k"], tolerance_us=1).collect()] == [3]
+
+
+def test_tolerance_sees_other_columns_and_missing_rows(spark):
+    a = spark.sql("SELECT id, timestamp_micros(id * 10) AS t, 'x' AS s FROM range(6)")
+    b = spark.sql("SELECT id, timestamp_micros(id * 10 + id % 3) AS t, CASE id WHEN 4 THEN 'y' ELSE 'x' END AS s FROM range(1, 7)")
+    got = sorted((r.id, r.status, r.column) for r in diff_cells(a, b, ["id"], tolerance_us=1).collect())
+    assert got == [(0, "missing", None), (2, "changed", "t"), (4, "changed", "s"), (5, "changed", "t"), (6, "extra", None)]
 
 
 def test_a_reader_with_milliseconds_and_no_zones(spark):
