@@ -149,3 +149,36 @@ def normalize(df: DataFrame, types: Types = None, decimal: bool = False, plain:
         name = quoted(field.name)
         columns.append(f"{portable(name, field.dataType, kind, decimal, plain)} AS {name}")
     return with_types(df.selectExpr(*columns), [kind.name for kind in kinds])
+
+
+def refusal(c: str, kind: Declared) -> str:
+    """SQL condition, never NULL: would `normalize` refuse this text for its declared type?"""
+    if kind.kind in ("char", "text"):
+        return "false"
+    if kind.kind in ("float32", "float64", "numeric"):
+        words = "'nan', 'infinity', '-infinity'" if kind.kind != "numeric" else "'NaN', 'Infinity', '-Infinity'"
+        word = f"lower({c})" if kind.kind != "numeric" else c
+        ok = f"{word} IN ({words}) OR {c} RLIKE '{NUMBER_TEXT}'"
+    elif kind.kind == "date":
+        ok = f"{c} IN ('infinity', '-infinity') OR {c} RLIKE '^[0-9]{{4,7}}-[0-9]{{2}}-[0-9]{{2}}$' AND try_cast({c} AS DATE) IS NOT NULL"
+    elif kind.kind in ("timestamp", "timestamptz"):
+        zoned = f"NOT {c} RLIKE '^.{{10}}.*([+-][0-9:]+|[zZ])$' AND" if kind.kind == "timestamp" else ""
+        ok = f"{c} IN ('infinity', '-infinity') OR {zoned} try_cast({c} AS {kind.spark_type().simpleString()}) IS NOT NULL"
+    else:
+        ok = f"try_cast({c} AS {kind.spark_type().simpleString()}) IS NOT NULL"
+    return f"coalesce(NOT ({ok}), false)"
+
+
+def refused(df: DataFrame, types: Types) -> DataFrame:
+    """The rows of text columns that `normalize` would fail on, with the names of the columns in `refused`.
+
+    For a look at a dump that does not load; an integer is also tried against the range of its type.
+    """
+    df = unique_columns(df)
+    kinds = declared_columns(df, types)
+    names = [
+        f"CASE WHEN {refusal(quoted(f.name), kind)} THEN '{f.name}' END".replace("\\", "\\\\")
+        for f, kind in zip(df.schema, kinds)
+        if is_text(f.dataType)
+    ]
+    return df.selectExpr("*", f"array_compact(array({', '.join(names)})) AS refused").where("size(refused) > 0")

@@ -50,21 +50,13 @@ def from_files(df: DataFrame) -> bool:
     return True
 
 
-def file_rows(df: DataFrame, table: str) -> DataFrame:
-    """(table, file, size, rows) entries that add up to the table; none of its columns is read.
-
-    The entry of no rows keeps an empty table in the sum.
-    """
-    if from_files(df):
-        entries = df.select("_metadata.file_path", "_metadata.file_size", F.lit(1).alias("rows"))
-        size = F.lit(0)
-    else:
-        size = F.lit(None)
-        entries = df.select(F.lit(None).cast("string"), size.cast("bigint"), F.lit(1))
-    none = df.sparkSession.range(0, 1, 1, 1).select(
-        F.lit(None).cast("string"), size.cast("bigint"), F.lit(0)
-    )
-    return entries.unionAll(none).toDF("file", "size", "rows").withColumn("table", F.lit(table))
+def relation_bytes(df: DataFrame) -> int | None:
+    """Bytes of all files a table is read from, empty ones too, as its file listing has them; NULL without files."""
+    if not from_files(df):
+        return None
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    scans = [leaf for leaf in map(leaves.apply, range(leaves.size())) if leaf.getClass().getSimpleName() == "LogicalRelation"]
+    return sum(int(leaf.relation().sizeInBytes()) for leaf in scans)
 
 
 def profile(
@@ -72,21 +64,15 @@ def profile(
 ) -> DataFrame:
     """One row per table: schema, table, comment, row_count, bytes.
 
-    All tables are counted together: each row brings the name and size of its file, and map-side
-    aggregation leaves one entry per file and task. Bytes count the files that hold rows; they
-    are NULL for a table not read from files.
+    A count of a Parquet table reads row counts only, no column; bytes come from the listing of its files
+    and are NULL for a table not read from files.
     """
-    entries = reduce(DataFrame.unionAll, [file_rows(df, name) for name, df in tables.items()])
-    files = entries.groupBy("table", "file", "size").agg(F.sum("rows").alias("rows"))
-    sizes = files.groupBy("table").agg(
-        F.sum("rows").alias("row_count"), F.sum("size").alias("bytes")
-    )
-    comment = F.lit(None).cast("string")
-    for name, text in (comments or {}).items():
-        comment = F.when(F.col("table") == name, text).otherwise(comment)
-    return sizes.select(
-        F.lit(schema).alias("schema"), "table", comment.alias("comment"), "row_count", "bytes"
-    )
+    rows = []
+    for name, df in tables.items():
+        comment = F.lit((comments or {}).get(name)).cast("string")
+        size = F.lit(relation_bytes(df)).cast("bigint")
+        rows.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(schema).alias("schema"), F.lit(name).alias("table"), comment.alias("comment"), "row_count", size.alias("bytes")))
+    return reduce(DataFrame.unionAll, rows)
 
 
 def dictionary(
@@ -152,6 +138,7 @@ def catalog_dictionary(
             (~F.col("attnotnull")).alias("nullable"),
             F.coalesce("description", F.lit("")).alias("description"),
         )
+        .orderBy("schema", "table", "ordinal")
     )
 
 

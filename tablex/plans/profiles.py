@@ -10,6 +10,7 @@ from tablex.operators.profile import (
     dictionary,
     extract_count,
     info_json,
+    preview,
     profile,
     sample,
     search_columns,
@@ -53,6 +54,11 @@ def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
     return sample(first.withColumn("note", F.lit(None).cast("string")))
 
 
+def preview_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A preview without a number shows fifty rows: all nations."""
+    return preview(scan(spark, sf, "nation"), 0)[0]
+
+
 def table_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Row counts of all tables; the size in bytes is left to the check that it is positive."""
     sizes = profile(every_table(spark, sf), "shop")
@@ -111,6 +117,7 @@ def table_info(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "extract_count": count_extract,
     "sample_rows": sample_rows,
+    "preview_rows": preview_rows,
     "table_profile": table_profile,
     "catalog_dictionary": described_catalog,
     "column_search": column_search,
@@ -137,6 +144,10 @@ CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'integer'
 COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS tbl, count(*) AS n FROM {t}" for t in TABLES)
 
 ORACLES = {
+    "preview_rows": """
+        SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey
+        FROM nation
+    """,
     "extract_count": "SELECT count(*) AS \"rows\" FROM lineitem WHERE l_returnflag = 'R'",
     "sample_rows": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority,

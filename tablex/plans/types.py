@@ -7,11 +7,11 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablex.functions.declared import expected_kinds, with_numeric_type
-from tablex.functions.normalize import normalize
+from tablex.functions.normalize import normalize, refused
 from tablex.functions.temporal import encode_temporal
 from tablex.session import work_folder
 from tablex.sinks.copytext import dump_types, write_copy
-from tablex.sources.copytext import read_copy
+from tablex.sources.copytext import read_copy, read_types
 from tablex.sources.tables import query, register, scan
 
 # A text for every declared type, made from each line item's own cells; the special values stand
@@ -205,6 +205,34 @@ def text_roundtrip(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return normalize(read_copy(spark, path, types), types)
 
 
+UNSURE = """
+SELECT l_orderkey, l_linenumber,
+       CASE l_partkey % 50 WHEN 3 THEN l_tax::string || 'x' WHEN 4 THEN '1.2.3' WHEN 5 THEN '7d'
+                           ELSE l_extendedprice::string END AS price,
+       CASE l_suppkey % 40 WHEN 1 THEN l_shipdate::date::string || ' 10:00:00+02'
+                           ELSE l_shipdate::date::string || ' 10:00:00' END AS shipped
+FROM lineitem
+"""
+
+
+def refused_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Which line items a strict load would refuse, and for which columns."""
+    register(spark, sf, ["lineitem"])
+    found = refused(query(spark, UNSURE), {"price": "numeric(10,2)", "shipped": "timestamp"})
+    return found.selectExpr("l_orderkey", "l_linenumber", "array_join(refused, ',') AS refused")
+
+
+def types_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders loaded from a dump whose column types stand in a file of their own."""
+    source = scan(spark, sf, "orders")
+    folder = work_folder(spark, "typed")
+    write_copy(source, f"{folder}/dump")
+    lines = spark.createDataFrame([(f"{name}\t{kind}",) for name, kind in dump_types(source)], "value string")
+    lines.coalesce(1).write.text(f"{folder}/types")
+    types = read_types(spark, f"{folder}/types")
+    return normalize(read_copy(spark, f"{folder}/dump", types), types)
+
+
 def text_roundtrip_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     """Arrays leave as their text; read back, the text gives every item again."""
     rows = text_roundtrip(spark, sf, "embeddings")
@@ -239,6 +267,8 @@ QUERIES = {
     "char_unpad": char_unpad,
     **{f"text_roundtrip_{t}": partial(text_roundtrip, table=t) for t in ROUNDTRIPS},
     "text_roundtrip_embeddings": text_roundtrip_embeddings,
+    "refused_texts": refused_texts,
+    "types_file": types_file,
 }
 
 DUCK_TYPE_NAMES = """
@@ -300,6 +330,13 @@ ORACLES = {
     """,
     "char_unpad": "SELECT c_custkey, ' ' || c_mktsegment AS segment FROM customer",
     **{f"text_roundtrip_{t}": f"SELECT * FROM {t}" for t in ROUNDTRIPS},
+    "types_file": "SELECT * FROM orders",
+    "refused_texts": """
+        SELECT l_orderkey, l_linenumber,
+               concat_ws(',', CASE WHEN l_partkey % 50 IN (3, 4, 5) THEN 'price' END,
+                              CASE WHEN l_suppkey % 40 = 1 THEN 'shipped' END) AS refused
+        FROM lineitem WHERE l_partkey % 50 IN (3, 4, 5) OR l_suppkey % 40 = 1
+    """,
     "text_roundtrip_embeddings": """
         SELECT vec_id, label, CAST(i AS INTEGER) AS place, embedding[i + 1] AS item
         FROM (SELECT *, unnest(range(len(embedding))) AS i FROM embeddings)

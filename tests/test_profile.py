@@ -44,6 +44,14 @@ def test_profile(spark, small):
     assert rows["none"].row_count == 0
 
 
+def test_bytes_count_files_without_rows(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    spark.range(10).repartition(2).write.parquet(folder)
+    spark.range(0).write.mode("append").parquet(folder)
+    row = profile({"t": spark.read.parquet(folder)}).first()
+    assert (row.row_count, row.bytes) == (10, sum(f.stat().st_size for f in (tmp_path / "t").glob("part-*")))
+
+
 def test_profile_reads_no_column(spark, small):
     plan = profile({"t": scan(spark, small, "lineitem")})._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan
