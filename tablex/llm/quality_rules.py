@@ -42,7 +42,7 @@ def lines_with_words(text: Column) -> Column:
 
 
 RULES = [
-    Rule("symbols", lambda text, words: F.regexp_count(text, F.lit(SYMBOLS)) * 2 > F.size(words)),
+    Rule("symbols", lambda text, words: F.regexp_count(text, F.lit(SYMBOLS)) * 4 > F.size(words)),
     Rule("word_length", lambda text, words: ~F.try_divide(word_chars(words), F.size(words)).between(2, 20)),
     Rule("capitals", lambda text, words: F.regexp_count(text, F.lit(r"\p{Lu}")) * 2 > word_chars(words)),
     Rule("few_letters", lambda text, words: F.regexp_count(text, F.lit(r"\p{L}")) * 2 < word_chars(words)),
@@ -156,7 +156,7 @@ b AS (SELECT doc_id, t, ls, len(ws) AS n_words, length(array_to_string(ws, ''))
 f AS (SELECT *, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_REPEATED_PERCENT} AS base_failed FROM b)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (
-    n_symbols * 2 > n_words
+    n_symbols * 4 > n_words
     OR NOT (word_chars / n_words BETWEEN 2 AND 20)
     OR len(regexp_extract_all(t, '\p{{Lu}}')) * 2 > word_chars
     OR len(regexp_extract_all(t, '\p{{L}}')) * 2 < word_chars
