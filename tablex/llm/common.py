@@ -19,6 +19,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def packed(df: DataFrame, *names: str) -> DataFrame:
+    """The columns named as they are and all others in one: names that an operator adds then can't clash with theirs."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*[F.col(f"`{n}`") for n in names], (F.struct(*rest) if rest else F.lit(0)).alias("packed_rest"))
+
+
+def unpacked(df: DataFrame, columns: list[str], names: tuple[str, ...]) -> DataFrame:
+    """`packed` undone: the columns as they were, in their order."""
+    return df.select(*[(F.col(f"`{c}`") if c in names else F.col("packed_rest")[c]).alias(c) for c in columns])
+
+
 def remainder(doc_id: Column | str, by: int) -> Column:
     """crc32 of the id as text, modulo `by`; NULL for a NULL id."""
     return F.pmod(F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")), F.lit(by))

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablex.llm.common import table
+from tablex.llm.batches import in_arrow
+from tablex.llm.common import packed, table, unpacked
 from tablex.llm.fmindex import FMIndex
 
 WINDOW = 10
@@ -187,10 +188,10 @@ def blocks(items: DataFrame, item_id: str, text: str, block_words: int) -> Itera
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, keep: list[str] | None = None, block_words: int = BLOCK_WORDS, cut: str | None = None) -> DataFrame:
     """The rows with d_n_words, d_spans (merged, in words from 0, `stop` behind the last) and d_items (sorted).
 
-    `cut` names a further column: the text without the words of the spans.
+    `cut` names a further column: the text without the words of the spans. Input columns of these names are replaced.
     """
     spark = docs.sparkSession
-    keep = docs.columns if keep is None else keep
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (*FOUND, "d_text", cut)]
     out = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("binary").alias("d_text"))
     kept = [f for f in docs.select(*[F.col(f"`{c}`") for c in keep]).schema]
     schema = T.StructType([*kept, T.StructField("d_text", T.BinaryType()), *[T.StructField(k, v) for k, v in FOUND.items()]])
@@ -214,18 +215,19 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
                 columns["d_items"] = pa.array([items for _, _, items in found], ARROW["d_items"])
                 yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
-        out = out.mapInArrow(search, schema)
+        out = in_arrow(out, search, schema)
     return (out if cut is None else out.withColumn(cut, F.col("d_text").cast("string"))).drop("d_text")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", n_chars: str = "n_chars", **kwargs) -> DataFrame:
     """The documents with hit words cut out; columns as given, rows none the fewer."""
 
-    found = contaminated(docs, items, text=text, keep=[c for c in docs.columns if c != text], cut=text, **kwargs)
+    names = (text, n_chars) if n_chars in docs.columns else (text,)
+    found = contaminated(packed(docs, *names), items, text=text, cut=text, **kwargs)
     if n_chars in docs.columns:
         length = F.length(text).cast(docs.schema[n_chars].dataType)
         found = found.withColumn(n_chars, F.when(F.size("d_spans") > 0, length).otherwise(F.col(n_chars)))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(found, docs.columns, names)
 
 
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablex.llm.batches import in_arrow
 from tablex.llm import bytecnn
 from tablex.llm.common import remainder, table
 from tablex.llm.learning import class_sample, training_windows
@@ -35,8 +36,8 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
 
 def identified(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (all by default) with l_pred and l_score."""
-    keep = docs.columns if keep is None else keep
+    """The columns `keep` (all by default) with l_pred and l_score, in place of any of these names."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("l_pred", "l_score", "l_text")]
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     kept = docs.select(*[F.col(f"`{c}`") for c in keep], F.when(letter, F.col(text)).cast("binary").alias("l_text"))
     net, classes, shape = model["net"], model["classes"], vars(model["shape"])
@@ -53,7 +54,7 @@ def identified(docs: DataFrame, model: dict, text: str = "text", keep: list[str]
             found = [pa.array(names, pa.string()), pa.array(np.where(known, sure, 0.0), pa.float64())]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *found], names=[*keep, "l_pred", "l_score"])
 
-    return kept.mapInArrow(predict, T.StructType([*kept.schema.fields[:-1], T.StructField("l_pred", T.StringType()), T.StructField("l_score", T.DoubleType())]))
+    return in_arrow(kept, predict, T.StructType([*kept.schema.fields[:-1], T.StructField("l_pred", T.StringType()), T.StructField("l_score", T.DoubleType())]))
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablex.llm.batches import in_arrow
 from tablex.llm.bytecnn import Shape, some_windows
 
 #: At most so many classes are learned, the most frequent first.
@@ -36,7 +37,7 @@ def training_windows(rows: DataFrame, classes: list, label: str, row_id: str, te
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(bodies, pa.binary())], names=["id", "label", "windows"])
 
     kinds = rows.select(row_id, label).schema
-    taken = picked.mapInArrow(cut, f"id {kinds[row_id].dataType.simpleString()}, label {kinds[label].dataType.simpleString()}, windows binary").collect()
+    taken = in_arrow(picked, cut, f"id {kinds[row_id].dataType.simpleString()}, label {kinds[label].dataType.simpleString()}, windows binary").collect()
     taken.sort(key=lambda r: (r[0], r[1], bytes(r[2])))
     x = [np.frombuffer(bytes(r[2]), np.uint8).reshape(-1, shape.length) for r in taken]
     number = {c: k for k, c in enumerate(classes)}

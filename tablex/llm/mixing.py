@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablex.llm.common import BLANKS, count_blank_words, ranked, table
+from tablex.llm.common import BLANKS, count_blank_words, packed, ranked, table, unpacked
 from tablex.session import stored
 
 WEIGHTS = (1, 2, 3)
@@ -56,9 +56,12 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int
 def mixed(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, epochs: int = MAX_EPOCHS) -> DataFrame:
     """The rows with m_size, m_total and m_target (of the source) and m_taken: the words the mix takes, repeats counted.
 
+    Input columns that begin with m_ are left out.
+
     The keys of a source are cut into ranges of about `BUCKET_ROWS` rows. The words of each range are
     summed first; a range's rows are then sorted by one task, which starts from the sum of those before it.
     """
+    df = df.drop(*[c for c in df.columns if c.startswith("m_")])
     rows = df.count()
     bits = max(0, (max(1, rows) // BUCKET_ROWS).bit_length())
     keyed = df.withColumn("m_parts", F.split(F.coalesce(F.col(text), F.lit("")), BLANKS))
@@ -83,7 +86,8 @@ def mixed(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", n_chars: str = "n_chars", **kwargs) -> DataFrame:
     """The mix itself: each document as often as it is taken, the one at a cut with its first words; columns as given."""
-    taken = mixed(df, doc_id, text, source, **kwargs).where("m_taken > 0")
+    names = tuple(dict.fromkeys([doc_id, text, source, *([n_chars] if n_chars in df.columns else [])]))
+    taken = mixed(packed(df, *names), doc_id, text, source, **kwargs).where("m_taken > 0")
     copies = F.col("m_whole") + (F.col("m_rest") > 0).cast("long")
     rows = taken.withColumn("m_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
     pieces = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
@@ -92,7 +96,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     rows = rows.withColumn(text, F.when(cut, start).otherwise(F.col(text)))
     if n_chars in df.columns:
         rows = rows.withColumn(n_chars, F.when(cut, F.length(text).cast(df.schema[n_chars].dataType)).otherwise(F.col(n_chars)))
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns])
+    return unpacked(rows, df.columns, names)
 
 
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:

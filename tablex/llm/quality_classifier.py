@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablex.llm.batches import in_arrow
 from tablex.llm import bytecnn
-from tablex.llm.common import remainder, table
+from tablex.llm.common import packed, remainder, table, unpacked
 from tablex.llm.learning import class_sample, training_windows
 
 SHAPE = bytecnn.Shape(length=512, step=448, stride=4, widths=(2,), filters=32, classes=2)
@@ -56,8 +57,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def scored(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (all by default) with q_score."""
-    keep = docs.columns if keep is None else keep
+    """The columns `keep` (all by default) with q_score, in place of any of that name."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("q_score", "q_text")]
     kept = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("binary").alias("q_text"))
     # One score of label 1 against label 0, so that the lowest chunk is the one likeliest of label 0.
     net = model["net"] and {**model["net"], "out": model["net"]["out"][:, 1:] - model["net"]["out"][:, :1], "bias": model["net"]["bias"][1:] - model["net"]["bias"][:1]}
@@ -74,7 +75,7 @@ def scored(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | N
             found = np.where([bool(b) for b in bodies], found, 0.0)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(found, pa.float64())], names=[*keep, "q_score"])
 
-    return kept.mapInArrow(score, T.StructType([*kept.schema.fields[:-1], T.StructField("q_score", T.DoubleType())]))
+    return in_arrow(kept, score, T.StructType([*kept.schema.fields[:-1], T.StructField("q_score", T.DoubleType())]))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -84,7 +85,8 @@ def held_out(doc_id: str = "doc_id"):
 def good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The documents that score at least the threshold; columns as given."""
     model = learn(docs, labels.where(~held_out(doc_id)), doc_id, text)
-    return scored(docs, model, text).where(F.col("q_score") >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = scored(packed(docs, doc_id, text), model, text).where(F.col("q_score") >= threshold)
+    return unpacked(found, docs.columns, (doc_id, text))
 
 
 def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablex.llm.batches import in_arrow
 from tablex.llm.common import table
 from tablex.session import work_folder
 
@@ -156,7 +157,7 @@ def read_records(spark: SparkSession, folder: str, payloads: bool = True) -> Dat
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=FIELDS)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
-    return files.select("content").mapInArrow(read, SCHEMA)
+    return in_arrow(files.select("content"), read, SCHEMA)
 
 
 def captures(records: DataFrame) -> DataFrame:

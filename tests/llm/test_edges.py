@@ -21,12 +21,12 @@ ROWS = [
     (6, " \n\t\n ", "de", "c"),
     (7, "einzig und allein ein deutscher Satz mit Wörtern darin", "de", "c"),
 ]
-CLASH = "doc_id long, text string, lang string, source string, score double, n_words long, kept string, m_size string, q_score string, count long"
+CLASH = "doc_id long, text string, lang string, source string, score double, n_words long, kept string, m_size string, q_score string, count long, d_spans int, n_id string, packed long, l_pred int, x_gone string, q_words int, t_id int, s_words int, `a.b` int"
 
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame([(*r, 0.5, 1, "x", "y", "z", 9) for r in ROWS], CLASH).cache()
+    return spark.createDataFrame([(*r, 0.5, 1, "x", "y", "z", 9, 3, "n", 4, 5, "g", 6, 7, 8, 11) for r in ROWS], CLASH).cache()
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +65,17 @@ def test_mixing(spark, docs, none):
     assert mixing.mixed(none).count() == 0 and mixing.mix(none).columns == docs.columns
 
 
+def test_stages_keep_every_column_as_it_was(spark, docs):
+    items = spark.createDataFrame([(1, "nothing like that")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
+    want = {tuple(r) for r in docs.collect()}
+    for out in (mixing.mix(docs), near_dedup.deduplicated(docs), decontaminate.decontaminated(docs, items), quality_classifier.good(docs, labels, threshold=0.0)):
+        rows = [tuple(r) for r in out.collect()]
+        assert out.dtypes == docs.dtypes and rows
+        assert {r[0:1] + r[2:] for r in rows} <= {r[0:1] + r[2:] for r in want}
+        assert out.where("m_size = 'y' and q_score = 'z' and `a.b` = 11").count() == len(rows)
+
+
 def test_the_mix_has_the_words_it_counts(spark):
     docs = spark.createDataFrame([(i, " a  b\tc " * (i % 5), "s", i) for i in range(50)] + [(i, "w " * 400, "t", 800) for i in range(50, 90)], "doc_id long, text string, source string, n_chars int")
     taken = {r.doc_id: r.m_taken for r in mixing.mixed(docs).collect()}
@@ -136,7 +147,7 @@ def test_decontaminate(spark, docs, none):
 
 
 def test_near_dedup(docs, none):
-    found = near_dedup.classes(docs.drop("n_words"))
+    found = near_dedup.classes(docs)
     rows = {(r.n_id, r.n_raw): (r.n_first.id, r.n_size) for r in found.collect()}
     assert {k[0]: v for k, v in rows.items() if k[0] is not None} == {1: (1, 3), 2: (1, 3), 3: (3, 1), 4: (4, 1), 5: (5, 1), 6: (6, 1), 7: (7, 1)}
     kept = near_dedup.deduplicated(docs)
@@ -148,12 +159,12 @@ def test_near_dedup(docs, none):
 def test_classifiers(spark, docs, none):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (5, 0, 0), (5, 1, 1), (7, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     model = quality_classifier.learn(docs, labels, epochs=2)
-    found = quality_classifier.scored(docs.drop("q_score"), model)
+    found = quality_classifier.scored(docs, model)
     assert ids(found) == ALL and found.where("q_score < 0 or q_score > 1 or q_score is null").count() == 0
     assert {r.q_score for r in found.where("coalesce(text, '') = ''").collect()} == {0.0}
-    assert quality_classifier.scored(none.drop("q_score"), model).count() == 0
+    assert quality_classifier.scored(none, model).count() == 0
     blank = quality_classifier.learn(docs, labels.where("false"))
-    assert {r.q_score for r in quality_classifier.scored(docs.drop("q_score"), blank).where("text > ''").collect()} == {0.5}
+    assert {r.q_score for r in quality_classifier.scored(docs, blank).where("text > ''").collect()} == {0.5}
     speech = language_id.learn(docs, epochs=2)
     assert speech["classes"] == ["de", "en"]
     said = language_id.identified(docs, speech)
