@@ -1,7 +1,7 @@
 """Adaptive context-mixing range coder for id sequences, in numpy: all blocks of a batch are coded side by side.
 
-Every block starts anew. For each id, order-2 and order-1 tables predict one id each, with a confidence; counts of
-which prediction was right at these confidences mix them with order 0 into one distribution. An id that
+Every block starts anew. For each id, order-2 and order-1 tables predict one id each, with a confidence; adaptive
+weights, one set for each pair of confidences, mix them with order 0 into one distribution. An id that
 neither table predicts is coded by order 0: an adaptive choice of its size class, then its place within.
 The coder keeps 48 bits and gives 16 at a time; carries are added to the last word given and settled at the end.
 """
@@ -17,55 +17,49 @@ CLASSES = 9  # size classes of 16-bit ids: below 256, 512, 1024, ... 65536
 TOP, LOW_BITS = np.uint64(1 << 32), np.uint64((1 << 48) - 1)
 WORD, SHIFT = np.uint64(16), np.uint64(32)
 STEP, MOST = 24, 3800
+#: Weights are shares of 4096, from LEAST to 4096 - 2 * LEAST; a 32nd of the way is made with each id.
+LEAST, PACE = 48, 5
 U = np.uint64
 
-_BASES = np.array([0] + [1 << (7 + k) for k in range(1, CLASSES)], np.int64)
-_BITS = np.array([8] + [7 + k for k in range(1, CLASSES)], np.int64)
-_CLASS = np.array([max(0, (v << 8).bit_length() - 8) if v else 0 for v in range(256)], np.int64)
+_BASES = np.array([0] + [1 << (7 + k) for k in range(1, CLASSES)], np.int32)
+_BITS = np.array([8] + [7 + k for k in range(1, CLASSES)], np.int32)
+_CLASS = np.array([v.bit_length() for v in range(256)], np.int8)
 
 
 class Model:
-    """Predictions and counts of `lanes` blocks.
+    """Predictions and weights of `lanes` blocks.
 
-    A table entry holds an id and its confidence (0 to 3); a mixing entry holds how often order 2 and order 1
-    were right and the number of cases, 20 bits each: one look-up and one update serve all three.
+    A table entry holds an id and its confidence (0 to 3), a mixing entry the weights of order 2 and of order 1,
+    16 bits each: one look-up and one update serve both.
     """
 
     def __init__(self, lanes: int):
         lane = np.arange(lanes, dtype=np.int32)
         self.base, self.mix_base = lane * SLOTS, lane * 16
         self.table1, self.table2 = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
-        self.right = np.full(lanes * 16, 1 | 1 << 20 | 4 << 40, np.int64)
+        self.weights = np.full(lanes * 16, 1024 << 16 | 1024, np.int32)
         self.sizes = np.ones((lanes, CLASSES), np.int32)
         self.last, self.before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
 
     def predict(self):
-        """Both predictions, and the shares (of 4096) of order 2 and of order 1; the rest is order 0's."""
+        """Both predictions, and the weights of order 2 and of order 1; the rest is order 0's."""
         spread = self.last * np.int32(40503)
         self.at1 = self.base + (spread >> 4 & (SLOTS - 1))
         self.at2 = self.base + (spread + self.before * np.int32(10007) >> 3 & (SLOTS - 1))
         self.entry1, self.entry2 = self.table1.take(self.at1), self.table2.take(self.at2)
         self.guess1, self.guess2, self.c1, self.c2 = self.entry1 >> 2, self.entry2 >> 2, self.entry1 & 3, self.entry2 & 3
         self.mix = self.mix_base + (self.c2 << 2 | self.c1)
-        self.seen = self.right.take(self.mix)
-        n = self.seen.astype(np.float64)
-        total = np.floor(n * 2.0**-40)
-        n1 = np.floor((n - total * 2.0**40) * 2.0**-20)
-        n2 = n - total * 2.0**40 - n1 * 2.0**20
-        scale = 4093 / total
-        return (1 + n2 * scale).astype(np.int64), (1 + n1 * scale).astype(np.int64)
+        packed = self.weights.take(self.mix)
+        self.share2, self.share1 = packed >> 16, packed & 0xFFFF
+        return self.share2, self.share1
 
     def learn(self, ids: np.ndarray, by2: np.ndarray, by1: np.ndarray):
-        seen = self.seen + (STEP * ((by2 * np.int64(1)) + (by1 * np.int64(1 << 20)) + np.int64(1 << 40)))
-        full = np.flatnonzero(seen > MOST << 40)
-        if len(full):
-            old = seen[full]
-            n2, n1, total = old & 0xFFFFF, old >> 20 & 0xFFFFF, old >> 40
-            seen[full] = (n2 + 1 >> 1) | (n1 + 1 >> 1) << 20 | (total + 2 >> 1) + 1 << 40
-        self.right[self.mix] = seen
+        goal = np.int32(4096 - 3 * LEAST)
+        share2 = self.share2 + (by2 * goal + (LEAST - self.share2) >> PACE)
+        share1 = self.share1 + (by1 * goal + (LEAST - self.share1) >> PACE)
+        self.weights[self.mix] = share2 << 16 | share1
         for at, entry, guess, sure, table in ((self.at1, self.entry1, self.guess1, self.c1, self.table1), (self.at2, self.entry2, self.guess2, self.c2, self.table2)):
-            hit = guess == ids
-            table[at] = np.where(hit, entry + (sure < 3), np.where(sure <= 1, ids << 2 | 1, entry - 1))
+            table[at] = np.where(guess == ids, entry + (sure < 3), np.where(sure <= 1, ids << 2 | 1, entry - 1))
         self.before, self.last = self.last, ids
 
     def learn_size(self, lanes: np.ndarray, size: np.ndarray, total: np.ndarray):
@@ -75,8 +69,14 @@ class Model:
             self.sizes[full] = (self.sizes[full] + 1) >> 1
 
 
+def ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a // b for quotients below 2^16 of numbers below 2^48: a double may round up to the next whole number, never down past one."""
+    q = (a / b).astype(U)
+    return q - (q * b > a)
+
+
 def size_class(ids: np.ndarray) -> np.ndarray:
-    return np.where(ids < 256, 0, _CLASS[ids >> 8])
+    return _CLASS[ids >> 8]
 
 
 class Encoder:
@@ -84,22 +84,23 @@ class Encoder:
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, LOW_BITS, U)
         self.words, self.count = np.zeros((lanes, 3 * steps + 4), np.int32), np.zeros(lanes, np.int64)
 
-    def put(self, lanes: np.ndarray | None, start: np.ndarray, share: np.ndarray, part: np.ndarray):
-        """Codes `share` parts from `start` on, in the lanes given (None: in all)."""
-        low, size = (self.low if lanes is None else self.low[lanes]) + start.astype(U) * part, share.astype(U) * part
+    def put(self, lanes: np.ndarray | None, low: np.ndarray, size: np.ndarray):
+        """Takes over the interval [low, low + size) in the lanes given (None: in all)."""
         carry = np.flatnonzero(low > LOW_BITS)
         if len(carry):
             over = carry if lanes is None else lanes[carry]
             self.words[over, self.count[over] - 1] += 1
             low &= LOW_BITS
         small = np.flatnonzero(size < TOP)
-        if len(small):
+        while len(small):
             out = small if lanes is None else lanes[small]
             some = low[small]
             self.words[out, self.count[out]] = some >> SHIFT
             self.count[out] += 1
             low[small] = (some << WORD) & LOW_BITS
-            size[small] <<= WORD
+            rest = size[small] << WORD
+            size[small] = rest
+            small = small[rest < TOP]
         if lanes is None:
             self.low, self.range = low, size
         else:
@@ -130,14 +131,16 @@ class Decoder:
         self.count, self.range = np.full(len(blocks), 3), np.full(len(blocks), LOW_BITS, U)
         self.last = self.words.shape[1] - 1
 
-    def take(self, lanes: np.ndarray | None, start: np.ndarray, share: np.ndarray, part: np.ndarray):
-        code, size = (self.code if lanes is None else self.code[lanes]) - start.astype(U) * part, share.astype(U) * part
+    def take(self, lanes: np.ndarray | None, code: np.ndarray, size: np.ndarray):
+        """Takes over the place within an interval of `size` in the lanes given (None: in all)."""
         small = np.flatnonzero(size < TOP)
-        if len(small):
+        while len(small):
             out = small if lanes is None else lanes[small]
             code[small] = (code[small] << WORD) | self.words[out, np.minimum(self.count[out], self.last)]
             self.count[out] += 1
-            size[small] <<= WORD
+            rest = size[small] << WORD
+            size[small] = rest
+            small = small[rest < TOP]
         if lanes is None:
             self.code, self.range = code, size
         else:
@@ -148,56 +151,68 @@ def encode(blocks: np.ndarray) -> list[bytes]:
     """One byte string for each row of ids (below 65536)."""
     lanes, steps = blocks.shape
     model, coder = Model(lanes), Encoder(lanes, steps)
+    rows = np.arange(lanes)
     for ids in np.ascontiguousarray(blocks.T.astype(np.int32)):
         share2, share1 = model.predict()
         by2 = (ids == model.guess2) & (model.c2 > 0)
         by1 = (ids == model.guess1) & (model.c1 > 0) & ~by2
+        part = coder.range >> U(12)
         both = share2 + share1
-        start = np.where(by2, 0, np.where(by1, share2, both))
-        share = np.where(by2, share2, np.where(by1, share1, 4096 - both))
-        coder.put(None, start, share, coder.range >> U(12))
+        start = np.where(by2, 0, np.where(by1, share2, both)).astype(U)
+        share = np.where(by2, share2, np.where(by1, share1, 4096 - both)).astype(U)
+        coder.put(None, coder.low + start * part, share * part)
         rest = np.flatnonzero(~(by2 | by1))
         if len(rest):
             some = ids[rest]
             size = size_class(some)
             ends = np.cumsum(model.sizes[rest], axis=1)
-            row = np.arange(len(rest))
-            end, total = ends[row, size], ends[:, -1]
-            share = model.sizes[rest, size]
-            coder.put(rest, end - share, share, coder.range[rest] // total.astype(U))
-            coder.put(rest, some - _BASES[size], np.ones(len(rest), np.int64), coder.range[rest] >> _BITS[size].astype(U))
+            row = rows[: len(rest)]
+            end, total, share = ends[row, size], ends[:, -1], model.sizes[rest, size]
+            part = ratio_of_range(coder.range[rest], total)
+            place = share.astype(U) * part >> _BITS[size].astype(U)
+            low = coder.low[rest] + (end - share).astype(U) * part + (some - _BASES[size]).astype(U) * place
+            coder.put(rest, low, place)
             model.learn_size(rest, size, total)
         model.learn(ids, by2, by1)
     return coder.finish()
 
 
+def ratio_of_range(size: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """About size / total, the same in both directions; the one less makes sure that all shares fit in."""
+    return (size / total).astype(U) - U(1)
+
+
 def decode(blocks: list[bytes], steps: int) -> np.ndarray:
     """The rows of ids."""
     lanes = len(blocks)
     model, coder = Model(lanes), Decoder(blocks)
-    out = np.empty((steps, lanes), np.int32)
+    out, rows = np.empty((steps, lanes), np.int32), np.arange(lanes)
     for k in range(steps):
         share2, share1 = model.predict()
         part = coder.range >> U(12)
-        at = np.minimum(coder.code // part, U(4095)).astype(np.int64)
+        at = np.minimum(ratio(coder.code, part), U(4095)).astype(np.int32)
         both = share2 + share1
         by2, rest = at < share2, at >= both
         by1 = ~(by2 | rest)
-        coder.take(None, np.where(by2, 0, np.where(by1, share2, both)), np.where(by2, share2, np.where(by1, share1, 4096 - both)), part)
+        start = np.where(by2, 0, np.where(by1, share2, both)).astype(U)
+        share = np.where(by2, share2, np.where(by1, share1, 4096 - both)).astype(U)
+        coder.take(None, coder.code - start * part, share * part)
         ids = np.where(by2, model.guess2, model.guess1)
         rest = np.flatnonzero(rest)
         if len(rest):
             ends = np.cumsum(model.sizes[rest], axis=1)
-            row, total = np.arange(len(rest)), ends[:, -1]
-            part = coder.range[rest] // total.astype(U)
-            at = np.minimum((coder.code[rest] // part).astype(np.int64), total - 1)
+            row, total = rows[: len(rest)], ends[:, -1]
+            part = ratio_of_range(coder.range[rest], total)
+            code = coder.code[rest]
+            at = np.minimum(ratio(code, part).astype(np.int32), total - 1)
             size = (ends <= at[:, None]).sum(axis=1)
             share = model.sizes[rest, size]
-            coder.take(rest, ends[row, size] - share, share, part)
-            part = coder.range[rest] >> _BITS[size].astype(U)
-            place = np.minimum((coder.code[rest] // part).astype(np.int64), (1 << _BITS[size]) - 1)
-            coder.take(rest, place, np.ones(len(rest), np.int64), part)
-            ids[rest] = place + _BASES[size]
+            code -= (ends[row, size] - share).astype(U) * part
+            bits = _BITS[size]
+            one = share.astype(U) * part >> bits.astype(U)
+            place = np.minimum(code // one, (U(1) << bits.astype(U)) - U(1))
+            coder.take(rest, code - place * one, one)
+            ids[rest] = place.astype(np.int32) + _BASES[size]
             model.learn_size(rest, size, total)
         model.learn(ids, by2, by1)
         out[k] = ids

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablex.llm.batches import in_arrow
 from tablex.llm import rangecoder
 from tablex.llm.common import table
 from tablex.session import stored, work_folder
@@ -37,42 +38,69 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 MAGIC = b"TXF1"
 FRAME_IDS = rangecoder.BLOCK * rangecoder.LANES
-#: Chunks whose ids a Python worker remembers (about 200 bytes each).
-REMEMBERED = 300_000
+#: Words whose ids a Python worker remembers, and chunks that are not a word by themselves (about 200 bytes each).
+WORDS, CHUNKS = 250_000, 50_000
 
 
 class Encoder:
     """Ids of whole texts by chunks between ASCII white space, which no token of the vocabulary crosses.
 
-    The ids of a chunk are those the tokenizer gives for it alone. A chunk of ASCII letters followed by ASCII marks
-    (no apostrophe) is put together from its lower-cased word and its marks, which the tokenizer splits there.
+    The ids of a chunk are those the tokenizer gives for it alone. A chunk of letters followed by ASCII marks (no
+    apostrophe) is put together from its word and its marks, which the tokenizer splits there. Words new
+    to this worker are encoded many in one text: the last token of each word is marked in the vocabulary.
     """
 
-    SIMPLE = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
+    #: ASCII and precomposed Latin letters, which normalisation leaves as they are but for their case.
+    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, bytes] = {}
-
-    def direct(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(chunks, add_special_tokens=False)
-        return [np.array(e.ids, "<u2").tobytes() for e in found]
+        self.words: dict[str, bytes] = {"": b""}
+        self.chunks: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def direct(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def several(self, words: list[str], together: int = 500) -> Iterator[bytes]:
+        """Ids of words, each of which the tokenizer takes for one."""
+        for at in range(0, len(words), together):
+            ids = np.frombuffer(self.direct([" ".join(words[at : at + together])])[0], "<u2")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(words[at : at + together]):
+                yield from self.direct(words[at : at + together])
+                continue
+            data, start = ids.tobytes(), 0
+            for end in (2 * ends).tolist():
+                yield data[start:end]
+                start = end
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian u16."""
-        known = self.known
-        if len(known) > REMEMBERED:
+        words, known = self.words, self.chunks
+        if len(words) > WORDS:
+            words.clear()
+            words[""] = b""
+        if len(known) > CHUNKS:
             known.clear()
         split = [t.translate(BLANK).split(" ") if t else [] for t in texts]
         new = {c for chunks in split for c in chunks}.difference(known)
-        parts = {c: m.groups() for c in new if (m := self.SIMPLE.fullmatch(c))}
-        pieces = {w.lower() for w, _ in parts.values()} | {marks for _, marks in parts.values()}
-        missing = [*(pieces | (new - parts.keys())).difference(known)]
-        known.update(zip(missing, self.direct(missing)))
+        parts, odd = {}, []
+        for c in new:
+            if m := self.SIMPLE.fullmatch(c):
+                word = m[1]
+                parts[c] = (word.lower() if word.isascii() else word, m[2])
+            else:
+                odd.append(c)
+        missing = [*{w for pair in parts.values() for w in pair}.difference(words)]
+        words.update(zip(missing, self.several(missing)))
+        known.update(zip(odd, self.direct(odd)))
         for c, (word, marks) in parts.items():
-            known[c] = known[word.lower()] + known[marks]
+            known[c] = words[word] + words[marks]
         return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
 
@@ -159,7 +187,7 @@ def write_tokens(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([pa.array([frame(held)], pa.binary())], names=["frame"])
 
     # The writer takes text; the cast leaves the bytes as they are.
-    rows.mapInArrow(write, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(folder)
+    in_arrow(rows, write, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
@@ -185,7 +213,7 @@ def read_tokens(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame
                     before, place = before + int(ends[-1]), place + len(docs)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
-    found = stored(files.mapInArrow(read, "t_file string, t_place long, t_id long, t_at long, t_n long, t_crc long, t_ids array<int>"), "tokens")
+    found = stored(in_arrow(files, read, "t_file string, t_place long, t_id long, t_at long, t_n long, t_crc long, t_ids array<int>"), "tokens")
     totals = found.groupBy("t_file").agg(F.sum("t_n").alias("t_total"))  # one row per file
     number = F.regexp_extract("t_file", r"part-(\d+)", 1).cast("long")
     earlier = Window.orderBy(number, "t_file").rowsBetween(Window.unboundedPreceding, -1)
