@@ -3,8 +3,8 @@
 Shingles are runs of five words, marked by their occurrence. Each of `BANDS` sketches of a text takes the `KEPT`
 shingles smallest under its own hash and joins them in text order, so texts share a sketch about as likely
 as they are close in edits. Equal texts (word for word) are one node from the start. In every bucket of
-equal sketches, each text is compared to one leader only; texts that do not join the leader's class meet other
-leaders in later rounds, until a round finds no link. No pairs within a bucket are formed.
+equal sketches, each text is compared to one leader first; where a bucket still has several classes, its texts meet
+a few other leaders in each later round, until a round finds no link. No pairs within a bucket are formed.
 
 Two texts are linked if a banded alignment of their shingles keeps at least 0.8 of them: aligned in order and
 divided by all shingles of both. An alignment of that quality can't leave the band of (n1 + n2) / 9 places, so
@@ -23,13 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablex.llm.common import table
+from tablex.llm.batches import in_arrow
+from tablex.llm.common import packed, table, unpacked
 from tablex.llm.shingles import SHINGLE, WordHasher, mix, odd, shingles, text_keys
 from tablex.session import stored
 
 BANDS = 20
 KEPT = 5
 SIMILAR = 0.8
+#: Leaders of a bucket in each round after the first, which has one: by then few buckets are open.
+LEADERS = 4
 #: Texts of so many bytes are sketched at once.
 TOGETHER = 2_000_000
 
@@ -109,7 +112,7 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), key, pa.array(marks, pa.list_(pa.int64()))], names=["n_id", "n_raw", "n_raw_check", "n_words", "n_key", "n_sketches"])
 
     kind = raw.schema["n_id"].dataType.simpleString()
-    return raw.mapInArrow(sketch, f"n_id {kind}, n_raw long, n_raw_check int, n_words long, n_key struct<a: long, b: long>, n_sketches array<long>")
+    return in_arrow(raw, sketch, f"n_id {kind}, n_raw long, n_raw_check int, n_words long, n_key struct<a: long, b: long>, n_sketches array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
@@ -131,7 +134,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("n_a"), batch.column("n_b")], names=["n_a", "n_b"]).filter(pa.array(keep, pa.bool_()))
 
     key = "struct<a: long, b: long>"
-    return both.mapInArrow(compare, f"n_a {key}, n_b {key}")
+    return in_arrow(both, compare, f"n_a {key}, n_b {key}")
 
 
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -160,20 +163,26 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     """(n_id, n_raw, n_raw_check, n_class, n_first, n_size): every row with its class, the class's smallest id and its rows."""
     rows = stored(keyed(docs, doc_id, text), "sketches")
     nodes = rows.where("n_words > 0").groupBy("n_key").agg(F.min(F.struct("n_raw", "n_raw_check")).alias("n_raws"), F.first("n_sketches").alias("n_sketches"))
-    places = nodes.select("n_key", "n_raws", F.posexplode("n_sketches").alias("n_band", "n_sketch"))
+    places = nodes.select("n_key", F.posexplode("n_sketches").alias("n_band", "n_sketch"))
     shared = places.groupBy("n_band", "n_sketch").count().where("count > 1").drop("count")
     places = stored(places.join(shared, ["n_band", "n_sketch"]), "buckets")
-    needed = places.select("n_key", "n_raws").distinct()
+    labels = stored(places.select("n_key").distinct().withColumn("n_class", F.col("n_key")), "labels")
+    needed = nodes.select("n_key", "n_raws").join(labels.select("n_key"), "n_key")
     raw = docs.select(F.struct(F.xxhash64(text).alias("n_raw"), F.hash(text).alias("n_raw_check")).alias("n_raws"), F.col(text).cast("binary").alias("n_text"))
     texts = raw.join(needed, "n_raws").groupBy("n_key").agg(F.first("n_text").alias("n_text"))
     texts = stored(texts, "texts")
-    labels = stored(needed.select("n_key", F.col("n_key").alias("n_class")), "labels")
     tested, turn = None, 0
     while True:
-        here = places.select("n_band", "n_sketch", "n_key").join(labels, "n_key")
-        leader = F.min(F.struct(F.xxhash64(F.lit(turn), "n_key"), "n_key", "n_class"))
-        leaders = here.groupBy("n_band", "n_sketch").agg(leader.alias("n_lead"), (F.min("n_class") != F.max("n_class")).alias("n_open"))
-        pairs = here.join(leaders.where("n_open"), ["n_band", "n_sketch"]).where("n_class <> n_lead.n_class")
+        here = places.join(labels, "n_key")
+        several = range(1 if turn == 0 else LEADERS)
+        leaders = here.groupBy("n_band", "n_sketch").agg(
+            F.array(*[F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(k), "n_key"), "n_key", "n_class")) for k in several]).alias("n_leads"),
+            (F.min("n_class") != F.max("n_class")).alias("n_open"),
+        )
+        # Classes only grow: a bucket of one class stays so and is left behind.
+        here = stored(here.join(leaders.where("n_open").drop("n_open"), ["n_band", "n_sketch"]), "open")
+        places = here.select("n_key", "n_band", "n_sketch")
+        pairs = here.select("n_key", "n_class", F.explode("n_leads").alias("n_lead")).where("n_class <> n_lead.n_class")
         pairs = pairs.select(F.least("n_key", "n_lead.n_key").alias("n_a"), F.greatest("n_key", "n_lead.n_key").alias("n_b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["n_a", "n_b"], "left_anti")
@@ -200,12 +209,12 @@ def is_first():
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kwargs) -> DataFrame:
     """One document of each class, that of the smallest id; columns as given. Texts without words all stay."""
     first = classes(docs, doc_id, text, **kwargs).where(is_first()).groupBy("n_id", "n_raw", "n_raw_check").agg(F.count("*").alias("n_rows"), F.min("n_size").alias("n_size"))
-    raw = docs.withColumns({"d_raw": F.xxhash64(text), "d_raw_check": F.hash(text)})
+    raw = packed(docs, doc_id, text).withColumns({"d_raw": F.xxhash64(text), "d_raw_check": F.hash(text)})
     kept = raw.join(first, F.col(doc_id).eqNullSafe(F.col("n_id")) & (F.col("d_raw") == F.col("n_raw")) & (F.col("d_raw_check") == F.col("n_raw_check")))
     # Rows alike in id and text: only these are shuffled again, to keep one of each; those without words all stay.
     single = (F.col("n_rows") == 1) | (F.col("n_size") == 1)
     once = kept.where(~single).dropDuplicates(["n_id", "n_raw", "n_raw_check"])
-    return kept.where(single).unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(kept.where(single).unionByName(once), docs.columns, (doc_id, text))
 
 
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
