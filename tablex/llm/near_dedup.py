@@ -8,7 +8,8 @@ a few other leaders in each later round, until a round finds no link. No pairs w
 
 Two texts are linked if a banded alignment of their shingles keeps at least 0.8 of them: aligned in order and
 divided by all shingles of both. An alignment of that quality can't leave the band of (n1 + n2) / 9 places, so
-the band loses nothing. Classes are the connected components of the links; a class goes by its smallest id.
+the band loses nothing. Occurrence labels serve the sketches; where they overlap enough but don't align, the shingles
+without labels are aligned, for an edit in a repeated passage shifts the labels of its later repeats. Classes are the connected components of the links; a class goes by its smallest id.
 
 Texts without words (NULL, empty) are classes of their own kind: each keeps its own id. A NULL id counts as larger
 than all others; a class of NULL ids has a NULL id. Rows alike in id and text are copies.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tablex.llm.batches import in_arrow
 from tablex.llm.common import packed, table, unpacked
-from tablex.llm.shingles import SHINGLE, WordHasher, mix, odd, shingles, text_keys
+from tablex.llm.shingles import SHINGLE, WordHasher, marked, mix, odd, plain_shingles, shingles, text_keys
 from tablex.session import stored
 
 BANDS = 20
@@ -55,17 +56,22 @@ def sketches(values: np.ndarray, bands: int = BANDS, kept: int = KEPT) -> np.nda
     return out
 
 
-def aligned(x: np.ndarray, y: np.ndarray, similar: float = SIMILAR) -> float:
-    """Share of the shingles of both texts that a banded alignment keeps; 0 if they can't reach `similar`."""
+def aligned(x: np.ndarray, y: np.ndarray, similar: float = SIMILAR, plain: tuple[np.ndarray, np.ndarray] | None = None) -> float:
+    """Share of the shingles of both texts that a banded alignment keeps; 0 if they can't reach `similar`.
+
+    x and y are marked by occurrence, `plain` is unmarked. An edit in a repeated passage shifts the marks of its later
+    repeats, so where marked shingles overlap enough but don't align, the plain ones are aligned.
+    """
     n1, n2 = len(x), len(y)
     if not n1 or not n2 or min(n1, n2) < similar * max(n1, n2):
         return 0.0
     _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     need = similar * (n1 + n2) / (1 + similar)
-    inside = np.abs(i - j) <= n1 + n2 - 2 * need + 1e-6
-    i, j = i[inside], j[inside]
-    if len(i) < need - 1e-9:
+    if len(i) < need - 1e-9:  # as many as the plain ones have in common, in any order
         return 0.0
+    band = n1 + n2 - 2 * need + 1e-6
+    inside = np.abs(i - j) <= band
+    i, j = i[inside], j[inside]
     j = j[np.argsort(i)]
     kept = len(j)
     if (np.diff(j) <= 0).any():  # the longest rising part is what can be aligned
@@ -74,9 +80,39 @@ def aligned(x: np.ndarray, y: np.ndarray, similar: float = SIMILAR) -> float:
             k = bisect_left(tails, v)
             tails[k : k + 1] = [v]
         kept = len(tails)
+    if kept < need - 1e-9 and plain is not None:
+        kept = in_band(*plain, int(band))
     return kept / (n1 + n2 - kept)
 
 
+def in_band(x: np.ndarray, y: np.ndarray, band: int) -> int:
+    """Longest common subsequence of elements at most `band` places apart (or a few more), a row of the table at a time as bits."""
+    short = min(len(x), len(y))
+    differ = x[:short] != y[:short]
+    head = int(differ.argmax()) if differ.any() else short
+    differ = x[len(x) - short + head :][::-1] != y[len(y) - short + head :][::-1]
+    tail = int(differ.argmax()) if differ.any() else short - head
+    xs, ys = x[head : len(x) - tail].tolist(), y[head : len(y) - tail].tolist()
+    kept, low, high, row, step = head + tail, 0, 0, 0, max(64, band // 2)
+    for at in range(0, len(xs), step):
+        # Bits are places of y from `low` on; a cleared one is a place where the row's length grows by one.
+        after = max(low, min(len(ys), at - band))
+        gone = min(after, high) - low
+        kept += gone - (row & ((1 << gone) - 1)).bit_count()
+        row, low, until = row >> gone, after, max(high, min(len(ys), at + step + band))
+        row |= ((1 << (until - max(high, low))) - 1) << (max(high, low) - low)
+        high, full = until, (1 << (until - low)) - 1
+        places: dict[int, int] = {}
+        part = set(xs[at : at + step])
+        for k, v in enumerate(ys[low:high]):
+            if v in part:
+                places[v] = places.get(v, 0) | 1 << k
+        for v in xs[at : at + step]:
+            if hit := row & places.get(v, 0):
+                row = ((row + hit) | (row - hit)) & full
+    return kept + (high - low) - row.bit_count()
+
+
 def groups(texts: list[bytes | None]):
     """Ranges of texts of about TOGETHER bytes."""
     start = size = 0
@@ -128,9 +164,10 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
                 left, right, keep = batch.column("n_left").to_pylist(), batch.column("n_right").to_pylist(), []
                 for a, b in groups([x + y for x, y in zip(left, right)]):
                     distinct = {t: k for k, t in enumerate(dict.fromkeys([*left[a:b], *right[a:b]]))}
-                    values, starts = shingles(*hasher.words([*distinct]))
-                    of = lambda t: values[starts[distinct[t]] : starts[distinct[t] + 1]]  # noqa: B023, E731
-                    keep += [aligned(of(x), of(y), similar) >= similar for x, y in zip(left[a:b], right[a:b])]
+                    plain, starts = plain_shingles(*hasher.words([*distinct]))
+                    values = marked(plain, starts)
+                    of = lambda t, h: h[starts[distinct[t]] : starts[distinct[t] + 1]]  # noqa: B023, E731
+                    keep += [aligned(of(x, values), of(y, values), similar, (of(x, plain), of(y, plain))) >= similar for x, y in zip(left[a:b], right[a:b])]
                 yield pa.RecordBatch.from_arrays([batch.column("n_a"), batch.column("n_b")], names=["n_a", "n_b"]).filter(pa.array(keep, pa.bool_()))
 
     key = "struct<a: long, b: long>"

@@ -93,11 +93,8 @@ class WordHasher:
         return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
 
 
-def shingles(words: np.ndarray, first: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of k words of each text (of all its words, if it has fewer), marked by their occurrence.
-
-    The second of two equal shingles of a text differs from the first: no text has two equal values.
-    """
+def plain_shingles(words: np.ndarray, first: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of k words of each text (of all its words, if it has fewer), and where each text's begin."""
     weights = odd(11, k)
     sizes = np.diff(first)
     counts = np.where(sizes >= k, sizes - k + 1, (sizes > 0).astype(np.int64))
@@ -109,7 +106,12 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int = SHINGLE) -> tuple[np
     padded = np.concatenate((words, np.zeros(k, np.uint64)))
     for j in range(k):
         total += np.where(at + j < end, padded[at + j] * weights[j], np.uint64(j))
-    total = mix(total)
+    return mix(total), starts
+
+
+def marked(plain: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Shingles marked by their occurrence: the second of two equal ones of a text differs from the first, so no text has two equal values."""
+    total, text = plain.copy(), np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     by = mix(total + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     order = np.argsort(by, kind="stable")
     same = np.concatenate(([False], by[order][1:] == by[order][:-1])) if len(by) else np.zeros(0, bool)
@@ -117,7 +119,13 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int = SHINGLE) -> tuple[np
         place = np.arange(len(order))
         occurrence = place - np.maximum.accumulate(np.where(~same, place, 0))
         total[order] += mix(occurrence.astype(np.uint64)) * (occurrence > 0)
-    return total, starts
+    return total
+
+
+def shingles(words: np.ndarray, first: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """`plain_shingles`, marked by their occurrence."""
+    plain, starts = plain_shingles(words, first, k)
+    return marked(plain, starts), starts
 
 
 def text_keys(words: np.ndarray, first: np.ndarray) -> np.ndarray:
