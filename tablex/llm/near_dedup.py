@@ -18,6 +18,7 @@ than all others; a class of NULL ids has a NULL id. Rows alike in id and text ar
 from __future__ import annotations
 
 from bisect import bisect_left
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,14 @@ from pyspark.sql import functions as F
 
 from tablex.llm.batches import in_arrow
 from tablex.llm.common import packed, table, unpacked
-from tablex.llm.shingles import SHINGLE, WordHasher, marked, mix, odd, plain_shingles, shingles, text_keys
+from tablex.llm.shingles import SHINGLE, WordHasher, marked, mix, odd, plain_shingles, text_keys
 from tablex.session import stored
 
 BANDS = 20
 KEPT = 5
 SIMILAR = 0.8
+#: Texts of so many shingles at most meet surely: sketches alone would lose pairs of 4 and 5.
+SHORT = 10
 #: Leaders of a bucket in each round after the first, which has one: by then few buckets are open.
 LEADERS = 4
 #: Texts of so many bytes are sketched at once.
@@ -56,6 +59,15 @@ def sketches(values: np.ndarray, bands: int = BANDS, kept: int = KEPT) -> np.nda
     return out
 
 
+def short_keys(plain: np.ndarray) -> np.ndarray:
+    """Hashes of a short text's shingles in order, with all sets left out that a similar text may lack; similar short texts share one."""
+    n, weights = len(plain), odd(23, SHORT)
+    if n > SHORT:
+        return np.zeros(0, np.uint64)
+    rests = [np.delete(plain, out) for k in range(int(n * (1 - SIMILAR) + 1e-9) + 1) for out in combinations(range(n), k)]
+    return np.unique(mix(np.array([(r * weights[: len(r)]).sum(dtype=np.uint64) + np.uint64(len(r)) for r in rests])))
+
+
 def aligned(x: np.ndarray, y: np.ndarray, similar: float = SIMILAR, plain: tuple[np.ndarray, np.ndarray] | None = None) -> float:
     """Share of the shingles of both texts that a banded alignment keeps; 0 if they can't reach `similar`.
 
@@ -137,12 +149,14 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 sizes, names, marks = [], [], []
                 for a, b in groups(texts):
                     words, first = hasher.words(texts[a:b])
-                    values, starts = shingles(words, first)
+                    plain, starts = plain_shingles(words, first)
+                    values = marked(plain, starts)
                     keys = text_keys(words, first).view(np.int64).tolist()
                     counts = np.diff(first).tolist()
                     sizes += counts
                     names += [{"a": k[0], "b": k[1]} if n else None for n, k in zip(counts, keys)]
-                    marks += [sketches(values[starts[k] : starts[k + 1]]).view(np.int64) for k in range(b - a)]
+                    parts = [slice(starts[k], starts[k + 1]) for k in range(b - a)]
+                    marks += [np.concatenate((sketches(values[p]), short_keys(plain[p]) if counts[k] else plain[p])).view(np.int64) for k, p in enumerate(parts)]
                 columns = [batch.column(c) for c in ("n_id", "n_raw", "n_raw_check")]
                 key = pa.array(names, pa.struct([("a", pa.int64()), ("b", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), key, pa.array(marks, pa.list_(pa.int64()))], names=["n_id", "n_raw", "n_raw_check", "n_words", "n_key", "n_sketches"])
@@ -201,6 +215,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     rows = stored(keyed(docs, doc_id, text), "sketches")
     nodes = rows.where("n_words > 0").groupBy("n_key").agg(F.min(F.struct("n_raw", "n_raw_check")).alias("n_raws"), F.first("n_sketches").alias("n_sketches"))
     places = nodes.select("n_key", F.posexplode("n_sketches").alias("n_band", "n_sketch"))
+    places = places.withColumn("n_band", F.least("n_band", F.lit(BANDS)))  # the keys of short texts are one band
     shared = places.groupBy("n_band", "n_sketch").count().where("count > 1").drop("count")
     places = stored(places.join(shared, ["n_band", "n_sketch"]), "buckets")
     labels = stored(places.select("n_key").distinct().withColumn("n_class", F.col("n_key")), "labels")

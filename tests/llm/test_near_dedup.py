@@ -54,3 +54,28 @@ def test_self_repeating_copies_are_one_class(spark):
     docs = [(2 * k + side, text) for k in range(20) for side, text in enumerate(repeating(k))]
     got = near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.n_id: r.n_first.id for r in got} == {i: i - i % 2 for i, _ in docs}
+
+
+def test_short_texts_with_a_word_more_always_meet(spark):
+    docs = []
+    for k in range(120):
+        n = 8 + k % 6
+        words = [f"s{k}x{j}" for j in range(n)]
+        longer = [*words, "end"] if k % 2 else ["start", *words]
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(longer))]
+    got = near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.n_id: r.n_first.id for r in got} == {i: i - i % 2 for i, _ in docs}
+
+
+def test_similar_short_texts_share_a_key():
+    rng = random.Random(7)
+    for _ in range(3000):
+        a = [rng.randrange(30) for _ in range(rng.randint(1, 10))]
+        b = list(a)
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = [rng.randrange(30)] * rng.randint(0, 1)
+        kept = common_in_order(a, b)
+        if b and len(b) <= 10 and kept / (len(a) + len(b) - kept) >= 0.8:
+            with np.errstate(over="ignore"):
+                assert np.intersect1d(near_dedup.short_keys(np.array(a, np.uint64)), near_dedup.short_keys(np.array(b, np.uint64))).size
