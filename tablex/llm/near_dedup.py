@@ -4,7 +4,8 @@ Shingles are runs of five words, marked by their occurrence. Each of `BANDS` ske
 shingles smallest under its own hash and joins them in text order, so texts share a sketch about as likely
 as they are close in edits. Equal texts (word for word) are one node from the start. In every bucket of
 equal sketches, each text is compared to one leader first; where a bucket still has several classes, its texts meet
-a few other leaders in each later round, until a round finds no link. No pairs within a bucket are formed.
+a few leaders that have not led yet in each later round. Texts of buckets still open after a few rounds are joined by
+their rarest shingles, so every pair of a bucket is in one class, verified, or certain to be below the threshold.
 
 Two texts are linked if a banded alignment of their shingles keeps at least 0.8 of them: aligned in order and
 divided by all shingles of both. An alignment of that quality can't leave the band of (n1 + n2) / 9 places, so
@@ -22,7 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablex.llm.batches import in_arrow
@@ -37,6 +38,8 @@ SIMILAR = 0.8
 SHORT = 10
 #: Leaders of a bucket in each round after the first, which has one: by then few buckets are open.
 LEADERS = 4
+#: Rounds with leaders; what is open after them is joined by rare shingles.
+ROUNDS = 5
 #: Texts of so many bytes are sketched at once.
 TOGETHER = 2_000_000
 
@@ -188,6 +191,39 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     return in_arrow(both, compare, f"n_a {key}, n_b {key}")
 
 
+def rare_pairs(open_texts: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """(n_a, n_b) of texts of different classes that share one of their rarest shingles; all other pairs are below `similar`.
+
+    Of n shingles, a similar text shares at least similar * n, so one of any n - similar * n + 1. The rarest are taken
+    here, and a pair is kept where the shingles from the shared one on suffice.
+    """
+
+    def mark(batches):
+        hasher = WordHasher()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                texts, marks = batch.column("n_text").to_pylist(), []
+                for a, b in groups(texts):
+                    plain, starts = plain_shingles(*hasher.words(texts[a:b]))
+                    values = marked(plain, starts).view(np.int64)
+                    marks += [values[starts[k] : starts[k + 1]] for k in range(b - a)]
+                yield pa.RecordBatch.from_arrays([batch.column("n_key"), batch.column("n_class"), pa.array(marks, pa.list_(pa.int64()))], names=["n_key", "n_class", "n_marks"])
+
+    key = "struct<a: long, b: long>"
+    found = in_arrow(open_texts.join(texts, "n_key").select("n_key", "n_class", "n_text"), mark, f"n_key {key}, n_class {key}, n_marks array<long>")
+    found = stored(found, "marks").select("n_key", "n_class", F.size("n_marks").alias("n_size"), F.explode("n_marks").alias("n_mark"))
+    often = found.groupBy("n_mark").agg(F.count("*").alias("n_often")).where("n_often > 1")
+    rank = F.row_number().over(Window.partitionBy("n_key").orderBy(F.coalesce("n_often", F.lit(1)), "n_mark"))
+    first = found.join(often, "n_mark", "left").withColumn("n_rank", rank)
+    first = first.where((F.col("n_rank") <= F.col("n_size") - F.ceil(F.col("n_size") * similar - 1e-9) + 1) & F.col("n_often").isNotNull())
+    first = stored(first.select("n_mark", "n_key", "n_class", "n_size", "n_rank"), "prefixes")
+    other = first.select("n_mark", *[F.col(f"n_{c}").alias(f"n_{c}_b") for c in ("key", "class", "size", "rank")])
+    both = first.join(other, "n_mark").where("n_key < n_key_b and n_class <> n_class_b")
+    both = both.where(1 + F.least(F.col("n_size") - F.col("n_rank"), F.col("n_size_b") - F.col("n_rank_b")) >= similar / (1 + similar) * (F.col("n_size") + F.col("n_size_b")) - 1e-6)
+    both = both.where(F.least("n_size", "n_size_b") >= similar * F.greatest("n_size", "n_size_b") - 1e-6)
+    return both.select(F.col("n_key").alias("n_a"), F.col("n_key_b").alias("n_b")).distinct()
+
+
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(n_key, n_class) after the links join classes: smallest labels spread over links, then over labels, until none changes."""
     edges = links.select(F.col("n_a").alias("n_x"), F.col("n_b").alias("n_y"))
@@ -223,27 +259,35 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     raw = docs.select(F.struct(F.xxhash64(text).alias("n_raw"), F.hash(text).alias("n_raw_check")).alias("n_raws"), F.col(text).cast("binary").alias("n_text"))
     texts = raw.join(needed, "n_raws").groupBy("n_key").agg(F.first("n_text").alias("n_text"))
     texts = stored(texts, "texts")
-    tested, turn = None, 0
-    while True:
+    tested, places = None, places.withColumn("n_led", F.lit(False))
+    # Classes only grow: a bucket of one class stays so and is left behind, and so is one in which all have led.
+    opened = ((F.min("n_class") != F.max("n_class")) & (F.sum(F.when(F.col("n_led"), 0).otherwise(1)) > 1)).alias("n_open")
+    for turn in range(ROUNDS):
         here = places.join(labels, "n_key")
         several = range(1 if turn == 0 else LEADERS)
-        leaders = here.groupBy("n_band", "n_sketch").agg(
-            F.array(*[F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(k), "n_key"), "n_key", "n_class")) for k in several]).alias("n_leads"),
-            (F.min("n_class") != F.max("n_class")).alias("n_open"),
-        )
-        # Classes only grow: a bucket of one class stays so and is left behind.
+        leader = lambda k: F.min(F.when(~F.col("n_led"), F.struct(F.xxhash64(F.lit(turn), F.lit(k), "n_key"), "n_key", "n_class")))  # noqa: B023, E731
+        leaders = here.groupBy("n_band", "n_sketch").agg(F.array(*[leader(k) for k in several]).alias("n_leads"), opened)
         here = stored(here.join(leaders.where("n_open").drop("n_open"), ["n_band", "n_sketch"]), "open")
-        places = here.select("n_key", "n_band", "n_sketch")
+        places = here.select("n_key", "n_band", "n_sketch", (F.col("n_led") | F.exists("n_leads", lambda x: x["n_key"] == F.col("n_key"))).alias("n_led"))
         pairs = here.select("n_key", "n_class", F.explode("n_leads").alias("n_lead")).where("n_class <> n_lead.n_class")
         pairs = pairs.select(F.least("n_key", "n_lead.n_key").alias("n_a"), F.greatest("n_key", "n_lead.n_key").alias("n_b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["n_a", "n_b"], "left_anti")
         pairs = stored(pairs, "pairs")
         links = stored(verified(pairs, texts, similar), "links")
+        tested = pairs if tested is None else tested.union(pairs)
         if not links.head(1):
             break
         labels = stored(components(labels, links), "labels")
-        tested, turn = pairs if tested is None else tested.union(pairs), turn + 1
+    # A pair of a bucket is now in one class, tested, or of two texts here that have not led.
+    here = places.join(labels, "n_key")
+    here = here.join(here.groupBy("n_band", "n_sketch").agg(opened).where("n_open"), ["n_band", "n_sketch"]).where(~F.col("n_led"))
+    here = stored(here.select("n_key", "n_class").distinct(), "rest")
+    if here.head(1):
+        pairs = stored(rare_pairs(here, texts, similar).join(tested, ["n_a", "n_b"], "left_anti"), "pairs")
+        links = stored(verified(pairs, texts, similar), "links")
+        if links.head(1):
+            labels = stored(components(labels, links), "labels")
     alone = F.struct(F.col("n_raw").alias("a"), F.col("n_raw_check").cast("long").alias("b"))
     out = rows.drop("n_sketches").join(labels, "n_key", "left").withColumn("n_class", F.coalesce("n_class", "n_key"))
     worded = out.where("n_words > 0")

@@ -79,3 +79,25 @@ def test_similar_short_texts_share_a_key():
         if b and len(b) <= 10 and kept / (len(a) + len(b) - kept) >= 0.8:
             with np.errstate(over="ignore"):
                 assert np.intersect1d(near_dedup.short_keys(np.array(a, np.uint64)), near_dedup.short_keys(np.array(b, np.uint64))).size
+
+
+def test_pairs_within_a_family_of_unlike_texts(spark):
+    rng = random.Random(11)
+    base, new, docs = [f"t{k}" for k in range(204)], iter(range(10**6)), []
+
+    def replaced(words, places):
+        out = list(words)
+        for at in places:
+            out[at] = f"n{next(new)}"
+        return out
+
+    for k in range(400):
+        words = replaced(base, [i * 25 + rng.randrange(5, 20) for i in range(8)])
+        docs.append((2 * k, " ".join(words)))
+        if k < 100:  # about 0.86 to its original
+            docs.append((2 * k + 1, " ".join(replaced(words, rng.sample(range(5, 200), 3)))))
+    got = near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    marks = {i: hashed(t)[0] for i, t in docs}
+    of = lambda a, b: near_dedup.aligned(marks[a][1], marks[b][1], plain=(marks[a][0], marks[b][0]))
+    assert all(of(2 * k, 2 * k + 1) >= 0.8 for k in range(100)) and all(of(2 * k, 2 * k + 2) < 0.8 for k in range(399))
+    assert {r.n_id: r.n_first.id for r in got} == {i: i - i % 2 for i, _ in docs}
