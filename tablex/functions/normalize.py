@@ -14,6 +14,8 @@ from tablex.functions.temporal import infinite_date, infinite_timestamp
 
 # Fixed value: plain or scientific notation of a number.
 NUMBER_TEXT = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+#: Exponents beyond this, far outside any database's numeric, fail.
+MOST_POWER = 200_000
 
 # Native input types a declared kind accepts besides text.
 NATIVE = {
@@ -102,11 +104,27 @@ def plain_numeric(c: str, dtype: T.DataType) -> str:
         return f"CAST({c} AS DOUBLE)"  # the text of floats is the sink's
     if not is_text(dtype):
         return without_trailing_zeros(f"CAST({c} AS STRING)")
-    wide = without_trailing_zeros(f"CAST(CAST({c} AS DECIMAL(38,18)) AS STRING)")
     return (
         f"CASE WHEN {c} IN ('NaN', 'Infinity', '-Infinity') THEN {c}"
         f" WHEN NOT {c} RLIKE '{NUMBER_TEXT}' THEN {malformed('number', c)}"
-        f" WHEN contains(lower({c}), 'e') THEN {wide} ELSE {without_trailing_zeros(c)} END"
+        f" WHEN contains(lower({c}), 'e') THEN {shifted(c)} ELSE {without_trailing_zeros(c)} END"
+    )
+
+
+def shifted(c: str) -> str:
+    """A number text in scientific notation as plain digits, none lost: the point is moved by the exponent."""
+    mantissa, power = f"ltrim('+-', substring_index(lower({c}), 'e', 1))", f"CAST(substring_index(lower({c}), 'e', -1) AS INT)"
+    digits, place = f"replace({mantissa}, '.', '')", f"(length(substring_index({mantissa}, '.', 1)) + {power})"
+    moved = (
+        f"CASE WHEN {place} <= 0 THEN concat('.', repeat('0', -{place}), {digits})"
+        f" WHEN {place} >= length({digits}) THEN concat({digits}, repeat('0', {place} - length({digits})))"
+        f" ELSE concat(substr({digits}, 1, {place}), '.', substr({digits}, {place} + 1)) END"
+    )
+    bare = f"ltrim('0', {without_trailing_zeros(f'({moved})')})"
+    sign = f"CASE WHEN startswith({c}, '-') THEN '-' ELSE '' END"
+    return (
+        f"CASE WHEN abs({power}) > {MOST_POWER} THEN {malformed('number', c)} WHEN {digits} RLIKE '^0*$' THEN '0'"
+        f" ELSE concat({sign}, CASE WHEN startswith({bare}, '.') THEN '0' ELSE '' END, {bare}) END"
     )
 
 
