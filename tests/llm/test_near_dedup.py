@@ -1,5 +1,6 @@
 """Near duplicates: pairs that earlier versions of the operator lost."""
 
+import collections
 import random
 
 import numpy as np
@@ -101,3 +102,27 @@ def test_pairs_within_a_family_of_unlike_texts(spark):
     of = lambda a, b: near_dedup.aligned(marks[a][1], marks[b][1], plain=(marks[a][0], marks[b][0]))
     assert all(of(2 * k, 2 * k + 1) >= 0.8 for k in range(100)) and all(of(2 * k, 2 * k + 2) < 0.8 for k in range(399))
     assert {r.n_id: r.n_first.id for r in got} == {i: i - i % 2 for i, _ in docs}
+
+
+def test_a_lone_pair_within_large_buckets(spark):
+    """One pair that meets only in buckets of many unlike texts: a first round mostly finds no link there."""
+    rng = random.Random(7)
+    base, new = [f"t{k}" for k in range(204)], iter(range(10**6))
+
+    def replaced(words, places):
+        out = list(words)
+        for at in places:
+            out[at] = f"n{next(new)}"
+        return out
+
+    family = [replaced(base, [i * 25 + rng.randrange(5, 20) for i in range(8)]) for _ in range(400)]
+    copies = [replaced(words, [60, 110, 160]) for words in family]
+    with np.errstate(over="ignore"):
+        marks = [near_dedup.sketches(values).tolist() for _, values in hashed(*[" ".join(w) for w in family + copies])]
+    sizes = collections.Counter((band, v) for m in marks[:400] for band, v in enumerate(m))
+    meets = {k: [sizes[band, v] for band, v in enumerate(marks[k]) if marks[400 + k][band] == v] for k in range(400)}
+    chosen = max((k for k in range(400) if meets[k]), key=lambda k: (min(meets[k]), -len(meets[k])))
+    assert min(meets[chosen]) >= 10
+    docs = [(k, " ".join(w)) for k, w in enumerate(family)] + [(400, " ".join(copies[chosen]))]
+    got = near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.n_id: r.n_first.id for r in got} == {i: chosen if i == 400 else i for i in range(401)}
