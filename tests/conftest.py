@@ -4,10 +4,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
+HERE = Path(__file__).resolve().parent
+sys.path[:0] = [str(HERE), str(HERE.parent)]
 
-SMALL = "/root/testdata/sf0.001"
+from checking import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -2,8 +2,7 @@ import ast
 from pathlib import Path
 
 import pytest
-from checking import compare, connect
-from conftest import ROOT, SMALL
+from checking import ROOT, SMALL, compare, connect
 
 import __spark_entry__ as contract
 from tablex.plans.registry import QUERIES
