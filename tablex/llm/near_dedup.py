@@ -40,6 +40,8 @@ SHORT = 10
 LEADERS = 4
 #: Rounds with leaders; what is open after them is joined by rare shingles.
 ROUNDS = 5
+#: Slots of the counts by which shingles are ordered from rare to frequent; their array is broadcast.
+SLOTS = 1 << 20
 #: Texts of so many bytes are sketched at once.
 TOGETHER = 2_000_000
 
@@ -211,12 +213,25 @@ def rare_pairs(open_texts: DataFrame, texts: DataFrame, similar: float) -> DataF
 
     key = "struct<a: long, b: long>"
     found = in_arrow(open_texts.join(texts, "n_key").select("n_key", "n_class", "n_text"), mark, f"n_key {key}, n_class {key}, n_marks array<long>")
-    found = stored(found, "marks").select("n_key", "n_class", F.size("n_marks").alias("n_size"), F.explode("n_marks").alias("n_mark"))
-    often = found.groupBy("n_mark").agg(F.count("*").alias("n_often")).where("n_often > 1")
-    rank = F.row_number().over(Window.partitionBy("n_key").orderBy(F.coalesce("n_often", F.lit(1)), "n_mark"))
-    first = found.join(often, "n_mark", "left").withColumn("n_rank", rank)
-    first = first.where((F.col("n_rank") <= F.col("n_size") - F.ceil(F.col("n_size") * similar - 1e-9) + 1) & F.col("n_often").isNotNull())
-    first = stored(first.select("n_mark", "n_key", "n_class", "n_size", "n_rank"), "prefixes")
+    found = stored(found, "marks")
+    # Any order of all shingles will do, as long as it is one; counts by slot make it one of rarity, in an array of fixed size.
+    slots = found.select(F.explode("n_marks").alias("n_mark")).groupBy(F.pmod("n_mark", F.lit(SLOTS)).alias("n_slot")).count().where("count > 1").toArrow()
+    often = np.ones(SLOTS, np.int32)
+    often[slots.column("n_slot").to_numpy()] = np.minimum(slots.column("count").to_numpy(), 2**31 - 1)
+    counts = open_texts.sparkSession.sparkContext.broadcast(often)
+
+    def rarest(batches):
+        for batch in batches:
+            sizes, kept = [], []
+            for marks in batch.column("n_marks"):
+                v = marks.values.to_numpy()
+                order = np.lexsort((v, counts.value[v % SLOTS]))
+                sizes.append(len(v))
+                kept.append(v[order[: len(v) - int(np.ceil(len(v) * similar - 1e-9)) + 1]])
+            yield pa.RecordBatch.from_arrays([batch.column("n_key"), batch.column("n_class"), pa.array(sizes, pa.int64()), pa.array(kept, pa.list_(pa.int64()))], names=["n_key", "n_class", "n_size", "n_first"])
+
+    first = in_arrow(found, rarest, f"n_key {key}, n_class {key}, n_size long, n_first array<long>").select("n_key", "n_class", "n_size", F.posexplode("n_first").alias("n_rank", "n_mark"))
+    first = stored(first.select("n_mark", "n_key", "n_class", "n_size", (F.col("n_rank") + 1).alias("n_rank")), "prefixes")
     other = first.select("n_mark", *[F.col(f"n_{c}").alias(f"n_{c}_b") for c in ("key", "class", "size", "rank")])
     both = first.join(other, "n_mark").where("n_key < n_key_b and n_class <> n_class_b")
     both = both.where(1 + F.least(F.col("n_size") - F.col("n_rank"), F.col("n_size_b") - F.col("n_rank_b")) >= similar / (1 + similar) * (F.col("n_size") + F.col("n_size_b")) - 1e-6)
@@ -252,8 +267,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     nodes = rows.where("n_words > 0").groupBy("n_key").agg(F.min(F.struct("n_raw", "n_raw_check")).alias("n_raws"), F.first("n_sketches").alias("n_sketches"))
     places = nodes.select("n_key", F.posexplode("n_sketches").alias("n_band", "n_sketch"))
     places = places.withColumn("n_band", F.least("n_band", F.lit(BANDS)))  # the keys of short texts are one band
-    shared = places.groupBy("n_band", "n_sketch").count().where("count > 1").drop("count")
+    shared = places.groupBy("n_band", "n_sketch").agg(F.count("*").alias("n_others")).where("n_others > 1")
     places = stored(places.join(shared, ["n_band", "n_sketch"]), "buckets")
+    mates = places.groupBy("n_key").agg(F.sum("n_others").alias("n_mates"))
+    places = places.drop("n_others").join(mates, "n_key")
     labels = stored(places.select("n_key").distinct().withColumn("n_class", F.col("n_key")), "labels")
     needed = nodes.select("n_key", "n_raws").join(labels.select("n_key"), "n_key")
     raw = docs.select(F.struct(F.xxhash64(text).alias("n_raw"), F.hash(text).alias("n_raw_check")).alias("n_raws"), F.col(text).cast("binary").alias("n_text"))
@@ -265,10 +282,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     for turn in range(ROUNDS):
         here = places.join(labels, "n_key")
         several = range(1 if turn == 0 else LEADERS)
-        leader = lambda k: F.min(F.when(~F.col("n_led"), F.struct(F.xxhash64(F.lit(turn), F.lit(k), "n_key"), "n_key", "n_class")))  # noqa: B023, E731
-        leaders = here.groupBy("n_band", "n_sketch").agg(F.array(*[leader(k) for k in several]).alias("n_leads"), opened)
+        leader = lambda k: F.min(F.when(~F.col("n_led"), F.struct(*([-F.col("n_mates")] if k == 0 else []), F.xxhash64(F.lit(turn), F.lit(k), "n_key"), "n_key", "n_class")))  # noqa: B023, E731
+        leaders = here.groupBy("n_band", "n_sketch").agg(F.array(*[F.struct(leader(k)["n_key"].alias("n_key"), leader(k)["n_class"].alias("n_class")) for k in several]).alias("n_leads"), opened)
         here = stored(here.join(leaders.where("n_open").drop("n_open"), ["n_band", "n_sketch"]), "open")
-        places = here.select("n_key", "n_band", "n_sketch", (F.col("n_led") | F.exists("n_leads", lambda x: x["n_key"] == F.col("n_key"))).alias("n_led"))
+        places = here.select("n_key", "n_band", "n_sketch", "n_mates", (F.col("n_led") | F.exists("n_leads", lambda x: x["n_key"] == F.col("n_key"))).alias("n_led"))
         pairs = here.select("n_key", "n_class", F.explode("n_leads").alias("n_lead")).where("n_class <> n_lead.n_class")
         pairs = pairs.select(F.least("n_key", "n_lead.n_key").alias("n_a"), F.greatest("n_key", "n_lead.n_key").alias("n_b")).distinct()
         if tested is not None:
