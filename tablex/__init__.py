@@ -7,6 +7,7 @@ from tablex.functions.names import quoted, unique_columns, unique_names
 from tablex.functions.normalize import normalize
 from tablex.functions.temporal import encode_temporal
 from tablex.operators.extract import extract, limit, ordered, project, where
+from tablex.operators.position import diff_rows, numbered
 from tablex.operators.profile import (
     catalog_dictionary,
     dictionary,
@@ -30,6 +31,7 @@ from tablex.plans.export import dry_run, export
 from tablex.session import configure
 from tablex.sinks.copytext import write_copy
 from tablex.sinks.files import write, write_csv, write_parquet
+from tablex.sinks.versions import read_version, vacuum, versions, write_version
 from tablex.sources.copytext import read_copy, read_copy_stream, read_types
 from tablex.sources.jdbc import query_jdbc, scan_jdbc
 from tablex.sources.tables import query, read_export, register, scan
@@ -45,6 +47,7 @@ __all__ = [
     "diff_cells",
     "diff_counts",
     "diff_report",
+    "diff_rows",
     "diff_schema",
     "dry_run",
     "encode_temporal",
@@ -57,6 +60,7 @@ __all__ = [
     "info_json",
     "limit",
     "normalize",
+    "numbered",
     "ordered",
     "preview",
     "profile",
@@ -68,6 +72,7 @@ __all__ = [
     "read_copy_stream",
     "read_export",
     "read_types",
+    "read_version",
     "reconcile",
     "register",
     "same",
@@ -77,11 +82,14 @@ __all__ = [
     "search_columns",
     "unique_columns",
     "unique_names",
+    "vacuum",
     "verdict",
+    "versions",
     "where",
     "with_numeric_type",
     "write",
     "write_copy",
     "write_csv",
     "write_parquet",
+    "write_version",
 ]

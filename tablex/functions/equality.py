@@ -32,10 +32,32 @@ def comparable(c: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.IntegralType):
         return f"CAST({c} AS BIGINT)"
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return f"to_json({c})"
+        return f"to_json({in_key_order(c, dtype)})"
     return as_integer(c, dtype)
 
 
+def holds_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return holds_map(dtype.elementType)
+    return isinstance(dtype, T.StructType) and any(holds_map(f.dataType) for f in dtype)
+
+
+def in_key_order(c: str, dtype: T.DataType, depth: int = 0) -> str:
+    """A nested value with every map in it, at any depth, as its entries in order of their keys: maps have no order."""
+    if not holds_map(dtype):
+        return c
+    x = f"x{depth}"
+    if isinstance(dtype, T.ArrayType):
+        return f"transform({c}, {x} -> {in_key_order(x, dtype.elementType, depth + 1)})"
+    if isinstance(dtype, T.StructType):
+        fields = [f"'{f.name.replace(chr(39), chr(92) + chr(39))}', {in_key_order(f'{c}.{quoted(f.name)}', f.dataType, depth)}" for f in dtype]
+        return f"CASE WHEN {c} IS NOT NULL THEN named_struct({', '.join(fields)}) END"
+    key, value = in_key_order(f"{x}.key", dtype.keyType, depth + 1), in_key_order(f"{x}.value", dtype.valueType, depth + 1)
+    return f"array_sort(transform(map_entries({c}), {x} -> struct({key} AS key, {value} AS value)))"
+
+
 def comparable_text(c: str, dtype: T.DataType) -> str:
     return f"CAST({comparable(c, dtype)} AS STRING)"
 

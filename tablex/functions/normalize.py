@@ -1,6 +1,7 @@
 """Source values to portable Spark types: one projection, built from the declared types.
 
-Casts are ANSI casts: a value its column's type cannot hold fails the job.
+Casts are ANSI casts: a value its column's type cannot hold fails the job, and so does a text without the shape
+the source database prints for its type. `refused` finds those texts by the same shapes and casts.
 """
 
 from __future__ import annotations
@@ -36,44 +37,81 @@ def malformed(what: str, c: str) -> str:
     return f"raise_error(concat('not a {what}: ', {c}))"
 
 
-def number_of(c: str, to: str) -> str:
-    """Text to a floating point number, without the `1.5d` suffixes the JVM also parses."""
-    return (
-        f"CASE WHEN substr({c}, -1) IN ('d', 'D', 'f', 'F') THEN {malformed('number', c)}"
-        f" ELSE CAST({c} AS {to}) END"
-    )
+def strict(c: str, ok: str, value: str, to: str, what: str) -> str:
+    """`value` for texts of the right shape; any other fails the job, and NULL stays."""
+    return f"CASE WHEN {ok} THEN {value} WHEN {c} IS NOT NULL THEN CAST({malformed(what, c)} AS {to}) END"
 
 
-def date_of(c: str) -> str:
-    """Text to a date; a text that also carries a time of day is not a date.
+def digits_of(c: str) -> str:
+    """SQL condition: only digits, if any."""
+    return f"translate({c}, '0123456789', '') = ''"
 
-    The cast judges the digits; place of the dashes and length rule out what else it would take.
-    Years beyond 9999 have more digits.
-    """
-    iso = (
-        f"length({c}) BETWEEN 10 AND 13 AND substr({c}, -3, 1) = '-' AND substr({c}, -6, 1) = '-'"
-        f" AND substr({c}, -1) BETWEEN '0' AND '9'"
-    )
+
+def number_shape(c: str) -> str:
+    """The characters of a plain or scientific number, or a word: without blanks, hexadecimals and the suffixes the JVM parses."""
+    return f"(translate({c}, '0123456789+-.eE', '') = '' OR lower({c}) IN ('nan', 'infinity', '-infinity'))"
+
+
+def year_of_era(c: str) -> str:
+    """`0044-03-15 BC` with the year as the number that the cast takes, -0043; other texts as they are."""
+    before = f"CAST(CAST(substr({c}, 1, 4) AS INT) - 1 AS STRING)"
+    moved = f"concat(CASE {before} WHEN '0' THEN '' ELSE '-' END, lpad({before}, 4, '0'), substr({c}, 5, length({c}) - 7))"
+    return f"CASE WHEN endswith({c}, ' BC') AND {digits_of(f'substr({c}, 1, 4)')} THEN {moved} ELSE {c} END"
+
+
+def date_shape(c: str) -> str:
+    """Place of the dashes and length; the cast judges the digits. Years beyond 9999 have more of them."""
+    starts = f"substr({c}, 1, 1) BETWEEN '0' AND '9'"
+    iso = f"length({c}) BETWEEN 10 AND 13 AND substr({c}, -3, 1) = '-' AND substr({c}, -6, 1) = '-' AND substr({c}, -1) BETWEEN '0' AND '9'"
+    era = f"endswith({c}, ' BC') AND length({c}) = 13 AND substr({c}, 5, 1) = '-' AND substr({c}, 8, 1) = '-'"
+    return f"({starts} AND ({iso} OR {era}))"
+
+
+def date_of(c: str) -> str:
+    """Text to a date; a text that also carries a time of day is not a date."""
+    words = f"WHEN {c} = 'infinity' THEN {infinite_date(1)} WHEN {c} = '-infinity' THEN {infinite_date(-1)}"
     return (
-        f"CASE WHEN {iso} THEN CAST({c} AS DATE)"
-        f" WHEN {c} = 'infinity' THEN {infinite_date(1)}"
-        f" WHEN {c} = '-infinity' THEN {infinite_date(-1)}"
+        f"CASE WHEN {date_shape(c)} THEN CAST({year_of_era(c)} AS DATE) {words}"
         f" WHEN {c} IS NOT NULL THEN CAST({malformed('date', c)} AS DATE) END"
     )
 
 
+# Fixed value: date and clock of a moment whose year has more than four digits.
+LONG_MOMENT = "^[0-9]{5,6}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}"
+
+
+def moment_shape(c: str, zoned: bool) -> str:
+    """Date, separator and clock in their places, and an offset behind them if, and only if, the type has a time zone."""
+    text = f"CASE WHEN endswith({c}, ' BC') THEN substr({c}, 1, length({c}) - 3) ELSE {c} END"
+    marks = [(5, "('-')"), (8, "('-')"), (11, "(' ', 'T')"), (14, "(':')"), (17, "(':')")]
+    places = " AND ".join(f"substr({c}, {at}, 1) IN {mark}" for at, mark in marks)
+    rest = f"substr({text}, 20)"
+    if zoned:
+        tail = f"{rest} <> '' AND translate({rest}, '0123456789.:+-Zz', '') = '' AND (contains({rest}, '+') OR contains({rest}, '-') OR substr({rest}, -1) IN ('Z', 'z'))"
+        long_tail = "([.][0-9]{1,6})?([+-][0-9:]+|[zZ])$"
+    else:
+        tail = f"({rest} = '' OR startswith({rest}, '.') AND length({rest}) BETWEEN 2 AND 7 AND {digits_of(f'substr({rest}, 2)')})"
+        long_tail = "([.][0-9]{1,6})?$"
+    starts = f"length({text}) >= 19 AND substr({c}, 1, 1) BETWEEN '0' AND '9'"
+    return f"({starts} AND {places} AND {tail} OR {c} RLIKE '{LONG_MOMENT}{long_tail}')"
+
+
 def timestamp_of(c: str, to: str) -> str:
-    """Text to a moment; an offset belongs to a timestamp with time zone only, and is refused elsewhere."""
-    cast = f"CAST({c} AS {to})"
-    if to == "timestamp_ntz":
-        offset = f"length({c}) > 10 AND (instr({c}, '+') > 0 OR instr(substr({c}, 11), '-') > 0 OR lower(substr({c}, -1)) = 'z')"
-        cast = f"CASE WHEN {offset} THEN CAST({malformed('timestamp without time zone', c)} AS {to}) ELSE {cast} END"
+    """Text to a moment: a bare date or clock, or a zone where there should be none, is refused, and so is a missing one."""
+    zoned = to == "timestamp"
+    what = "timestamp with time zone" if zoned else "timestamp without time zone"
+    value = strict(c, moment_shape(c, zoned), f"CAST({year_of_era(c)} AS {to})", to, what)
     return (
         f"CASE {c} WHEN 'infinity' THEN {infinite_timestamp(1, to)}"
-        f" WHEN '-infinity' THEN {infinite_timestamp(-1, to)} ELSE {cast} END"
+        f" WHEN '-infinity' THEN {infinite_timestamp(-1, to)} ELSE {value} END"
     )
 
 
+def time_shape(c: str) -> str:
+    """Hours, minutes and seconds; 24:00:00, the end of a day, is no time of a day."""
+    return f"(length({c}) BETWEEN 8 AND 15 AND substr({c}, 3, 1) = ':' AND substr({c}, 6, 1) = ':' AND substr({c}, 1, 1) BETWEEN '0' AND '2' AND substr({c}, -1) BETWEEN '0' AND '9' AND {c} < '24')"
+
+
 def cut_decimal(c: str, scale: int, to: str) -> str:
     """Digits beyond the declared scale are dropped, toward zero."""
     return f"CAST(CASE WHEN {c} >= 0 THEN floor({c}, {scale}) ELSE ceil({c}, {scale}) END AS {to})"
@@ -144,11 +182,13 @@ def portable(c: str, dtype: T.DataType, kind: Declared, decimal: bool = False, p
     target = kind.spark_type()
     to = target.simpleString()
     if text and kind.kind in ("float32", "float64", "numeric"):
-        return number_of(c, to)
+        return strict(c, number_shape(c), f"CAST({c} AS {to})", to, "number")
     if text and kind.kind == "date":
         return date_of(c)
     if text and kind.kind in ("timestamp", "timestamptz"):
         return timestamp_of(c, to)
+    if text and kind.kind == "time":
+        return strict(c, time_shape(c), f"CAST({c} AS {to})", to, "time of day")
     return c if dtype == target else f"CAST({c} AS {to})"
 
 
@@ -169,33 +209,45 @@ def normalize(df: DataFrame, types: Types = None, decimal: bool = False, plain:
     return with_types(df.selectExpr(*columns), [kind.name for kind in kinds])
 
 
-def refusal(c: str, kind: Declared) -> str:
-    """SQL condition, never NULL: would `normalize` refuse this text for its declared type?"""
+def refusal(c: str, kind: Declared, decimal: bool = False, plain: bool = False) -> str:
+    """SQL condition, never NULL: would `normalize` refuse this text for its declared type?
+
+    The shapes are those `normalize` asks for, and the casts its own, tried.
+    """
+    to = kind.spark_type(decimal=decimal).simpleString()
+    tried, words = f"try_cast({c} AS {to}) IS NOT NULL", f"{c} IN ('infinity', '-infinity')"
     if kind.kind in ("char", "text"):
         return "false"
-    if kind.kind in ("float32", "float64", "numeric"):
-        words = "'nan', 'infinity', '-infinity'" if kind.kind != "numeric" else "'NaN', 'Infinity', '-Infinity'"
-        word = f"lower({c})" if kind.kind != "numeric" else c
-        ok = f"{word} IN ({words}) OR {c} RLIKE '{NUMBER_TEXT}'"
+    if kind.kind == "numeric" and (plain or decimal and kind.exact):
+        ok = f"{c} RLIKE '{NUMBER_TEXT}'"
+        if plain:
+            power = f"try_cast(substring_index(lower({c}), 'e', -1) AS INT)"
+            ok = f"{ok} AND (NOT contains(lower({c}), 'e') OR coalesce(abs({power}) <= {MOST_POWER}, false))"
+        else:
+            ok = f"CASE WHEN {ok} THEN ({exact_numeric(c, T.StringType(), kind).replace('CAST(', 'try_cast(')}) IS NOT NULL END"
+        ok = f"{c} IN ('NaN', 'Infinity', '-Infinity') OR {ok}"
+    elif kind.kind in ("float32", "float64", "numeric"):
+        ok = f"{number_shape(c)} AND {tried}"
     elif kind.kind == "date":
-        ok = f"{c} IN ('infinity', '-infinity') OR {c} RLIKE '^[0-9]{{4,7}}-[0-9]{{2}}-[0-9]{{2}}$' AND try_cast({c} AS DATE) IS NOT NULL"
+        ok = f"{words} OR {date_shape(c)} AND try_cast({year_of_era(c)} AS {to}) IS NOT NULL"
     elif kind.kind in ("timestamp", "timestamptz"):
-        zoned = f"NOT {c} RLIKE '^.{{10}}.*([+-][0-9:]+|[zZ])$' AND" if kind.kind == "timestamp" else ""
-        ok = f"{c} IN ('infinity', '-infinity') OR {zoned} try_cast({c} AS {kind.spark_type().simpleString()}) IS NOT NULL"
+        ok = f"{words} OR {moment_shape(c, kind.kind == 'timestamptz')} AND try_cast({year_of_era(c)} AS {to}) IS NOT NULL"
+    elif kind.kind == "time":
+        ok = f"{time_shape(c)} AND {tried}"
     else:
-        ok = f"try_cast({c} AS {kind.spark_type().simpleString()}) IS NOT NULL"
-    return f"coalesce(NOT ({ok}), false)"
+        ok = tried
+    return f"({c} IS NOT NULL AND NOT coalesce({ok}, false))"
 
 
-def refused(df: DataFrame, types: Types) -> DataFrame:
-    """The rows of text columns that `normalize` would fail on, with the names of the columns in `refused`.
+def refused(df: DataFrame, types: Types, decimal: bool = False, plain: bool = False) -> DataFrame:
+    """The rows of text columns that `normalize` with these options would fail on, with the names of the columns in `refused`.
 
     For a look at a dump that does not load; an integer is also tried against the range of its type.
     """
     df = unique_columns(df)
     kinds = declared_columns(df, types)
     names = [
-        f"CASE WHEN {refusal(quoted(f.name), kind)} THEN '{f.name}' END".replace("\\", "\\\\")
+        f"CASE WHEN {refusal(quoted(f.name), kind, decimal, plain)} THEN '{f.name}' END".replace("\\", "\\\\")
         for f, kind in zip(df.schema, kinds)
         if is_text(f.dataType)
     ]

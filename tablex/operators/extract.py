@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablex.functions.equality import row_hash
 from tablex.functions.names import quoted
+from tablex.operators.cut import FEW, ORDERED, first_rows, top_rows
 from tablex.sources.tables import query, scan
 
+
 def project(df: DataFrame, columns: str = "*") -> DataFrame:
     """The columns of a comma-separated list of names; '' or '*' is all of them."""
     if columns in ("", "*"):
@@ -22,14 +24,15 @@ def where(df: DataFrame, predicate: str = "") -> DataFrame:
     return df.where(predicate) if predicate else df
 
 
+def named_keys(keys: Iterable[str | tuple[str, str]]) -> list[tuple[str, bool]]:
+    """(name, descending) of each key."""
+    pairs = [(key, "asc") if isinstance(key, str) else key for key in keys]
+    return [(name, direction.lower() == "desc") for name, direction in pairs]
+
+
 def sort_keys(keys: Iterable[str | tuple[str, str]]) -> list[Column]:
-    columns = []
-    for key in keys:
-        name, direction = (key, "asc") if isinstance(key, str) else key
-        column = F.col(quoted(name))
-        descending = direction.lower() == "desc"
-        columns.append(column.desc_nulls_first() if descending else column.asc_nulls_last())
-    return columns
+    columns = [(F.col(quoted(name)), descending) for name, descending in named_keys(keys)]
+    return [c.desc_nulls_first() if descending else c.asc_nulls_last() for c, descending in columns]
 
 
 def ordered(
@@ -48,13 +51,16 @@ def ordered(
     return df.orderBy(*columns, place if steady_scan else F.expr(row_hash(df.schema, 1)))
 
 
-def limit(df: DataFrame, n: int = 0) -> DataFrame:
-    """Any n rows, or all of them for n <= 0; the same plan for every n, and no job until it is used.
+def limit(df: DataFrame, n: int = 0, scanned: bool = False) -> DataFrame:
+    """Any n rows, or all of them for n <= 0.
+
+    Up to 10,000 rows pass through one task, and no job runs until they are used. More are cut by counts: the
+    result is a filter over the files, read by as many tasks as they fill.
 
-    Every partition stops at n rows; those pass through one task, one at a time, until n are there. A
-    limit that is a good part of a large table is better said as a predicate.
+    scanned     the rows come from Parquet files through filters and projections alone, the same
+                each time; those of any other relation are stored first
     """
-    return df.limit(n) if n > 0 else df
+    return first_rows(df, n, scanned) if n > 0 else df
 
 
 def extract(
@@ -67,11 +73,12 @@ def extract(
     keys: Iterable[str | tuple[str, str]] = (),
     sql: str = "",
 ) -> DataFrame:
-    """One extract. A raw SQL text overrides every other option. Building it runs no job.
+    """One extract. A raw SQL text overrides every other option.
 
     The predicate and the keys may use columns the extract does not keep. An order with a limit is a
-    top-n: Spark keeps n rows per partition and merges them, without sorting or storing the table;
-    beyond `spark.sql.execution.topKSortFallbackThreshold` rows it sorts by ranges on disk instead.
+    top-n. Up to 10,000 rows are one lazy plan: Spark keeps n rows per partition and merges them. A
+    larger limit is cut by counts when the extract is built (see `cut`), so that neither the rows kept
+    nor their order need one task.
     """
     if sql:
         return query(spark, sql)
@@ -79,8 +86,11 @@ def extract(
         raise ValueError("an extract needs a SQL text, or both a schema and a table")
     keys = list(keys)
     source = where(scan(spark, schema, table), predicate)
+    files = "/" in schema  # a table of the catalogue may be a view
     if not keys:
-        return limit(project(source, columns), rows)
+        return project(limit(source, rows, scanned=files), columns)
     if rows <= 0:
         return project(ordered(source, keys, steady_scan=True), columns)
+    if rows > FEW and all(isinstance(source.schema[k].dataType, ORDERED) for k, _ in named_keys(keys)):
+        return project(ordered(top_rows(source, named_keys(keys), rows, scanned=files), keys, steady_scan=True), columns)
     return project(source.orderBy(*sort_keys(keys)).limit(rows), columns)

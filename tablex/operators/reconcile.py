@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from tablex.functions.declared import actual_kinds, reader_label
 from tablex.functions.equality import MOMENT, comparable, comparable_text, near, row_hash, row_text
 from tablex.functions.names import quoted, unique_columns
+from tablex.operators.sketch import surplus_by_sketch
 from tablex.session import configure, stored
 
 
@@ -116,7 +117,7 @@ def key_rows(df: DataFrame, far: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def diff_cells(
-    a: DataFrame, b: DataFrame, keys: Sequence[str], tolerance_us: int = 0
+    a: DataFrame, b: DataFrame, keys: Sequence[str], tolerance_us: int = 0, sketch: bool = False
 ) -> DataFrame:
     """Differences of b (got) from a (want): key columns, status, column, want, got, copies.
 
@@ -130,6 +131,9 @@ def diff_cells(
     each table is read twice and only hashes of it are shuffled as a rule.
 
     tolerance_us    timestamps this close are the same; keys must then identify rows
+    sketch          find the unequal hashes from sketches as large as the difference (see `sketch`): for large
+                    tables that hardly differ. Each table is read once more, and no hash of it is shuffled;
+                    where the difference turns out too large, hashes are shuffled after all
     """
     a, b = unique_columns(a), unique_columns(b)
     if a.columns != b.columns:
@@ -139,7 +143,8 @@ def diff_cells(
         far = stored(far_keys(a, b, keys, tolerance_us), "keys")
         want, got = key_rows(a, far, keys), key_rows(b, far, keys)
     else:
-        hashes = stored(unmatched_hashes(a, b), "hashes")
+        found = surplus_by_sketch(a, b) if sketch else None
+        hashes = stored(unmatched_hashes(a, b) if found is None else found, "hashes")
         want = surplus_rows(a, hashes.where("surplus > 0"), keys)
         got = surplus_rows(b, hashes.where("surplus < 0").withColumn("surplus", -F.col("surplus")), keys)
     want, got = want.withColumn("side", F.lit("want")), got.withColumn("side", F.lit("got"))

@@ -75,6 +75,27 @@ def limit_rows(spark: SparkSession, sf: str) -> DataFrame:
     return kept.selectExpr("count(*) AS rows", "count_if(l_orderkey = o_orderkey) AS joined")
 
 
+def extract_top_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """The nth row lies among thousands of equal leading keys, NULLs first: the next keys cut them."""
+    return extract(
+        spark,
+        sf,
+        "lineitem",
+        columns="l_returnflag, l_shipdate, l_orderkey, l_linenumber",
+        predicate="l_quantity > 3",
+        rows=21_000,
+        keys=[("l_returnflag", "desc"), "l_shipdate", ("l_orderkey", "desc"), "l_linenumber"],
+    )
+
+
+def limit_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Which rows a limit keeps is open; they meet the predicate, and none is kept more often than the table has it."""
+    kept = extract(spark, sf, "lineitem", predicate="l_quantity > 5", rows=45_000)
+    beyond = kept.exceptAll(extract(spark, sf, "lineitem")).selectExpr("0L AS kept", "1L AS beyond", "true AS meets")
+    counted = kept.selectExpr("1L AS kept", "0L AS beyond", "l_quantity > 5 AS meets").unionAll(beyond)
+    return counted.selectExpr("sum(kept) AS rows", "sum(beyond) AS beyond", "every(meets) AS meets")
+
+
 RAW = """
 SELECT o_orderpriority, count(*) AS orders, max(o_totalprice) AS top_price
 FROM orders
@@ -109,7 +130,9 @@ QUERIES = {
     "filter_between": filter_between,
     "extract_top": extract_top,
     "extract_top_large": extract_top_large,
+    "extract_top_ties": extract_top_ties,
     "limit_rows": limit_rows,
+    "limit_scan": limit_scan,
     "raw_sql": raw_sql,
     "self_join_names": self_join_names,
 }
@@ -134,6 +157,14 @@ ORACLES = {
         SELECT l_orderkey, l_extendedprice FROM lineitem
         ORDER BY l_shipdate DESC, l_orderkey, l_extendedprice LIMIT 25000
     """,
+    "extract_top_ties": """
+        SELECT l_returnflag, l_shipdate, l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 3
+        ORDER BY l_returnflag DESC NULLS FIRST, l_shipdate, l_orderkey DESC, l_linenumber LIMIT 21000
+    """,
+    "limit_scan": """
+        SELECT least(count(*), 45000) AS "rows", CAST(0 AS BIGINT) AS beyond, TRUE AS meets
+        FROM lineitem WHERE l_quantity > 5
+    """,
     "limit_rows": """
         SELECT least(count(*), 50000) AS "rows", least(count(*), 50000) AS joined
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey

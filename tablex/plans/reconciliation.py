@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablex.operators.extract import ordered
+from tablex.operators.position import diff_rows
 from tablex.operators.reconcile import (
     diff_cells,
     diff_counts,
@@ -12,7 +14,9 @@ from tablex.operators.reconcile import (
     reconcile,
     verdict,
 )
-from tablex.sources.tables import query, register, scan
+from tablex.session import work_folder
+from tablex.sinks.files import write
+from tablex.sources.tables import query, read_export, register, scan
 
 # One order in a thousand changed, another dropped, another copied under a negative key.
 CHANGED_ORDERS = """
@@ -39,6 +43,11 @@ def cell_diff(spark: SparkSession, sf: str) -> DataFrame:
     return diff_cells(*changed_orders(spark, sf), ["o_orderkey"])
 
 
+def cell_diff_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """The same differences, found from sketches."""
+    return diff_cells(*changed_orders(spark, sf), ["o_orderkey"], sketch=True)
+
+
 def cell_diff_copies(spark: SparkSession, sf: str) -> DataFrame:
     """Keyed by supplier and line number, which name no single row: rows are matched as copies."""
     register(spark, sf, ["lineitem"])
@@ -82,6 +91,23 @@ def timestamp_tolerance(spark: SparkSession, sf: str) -> DataFrame:
     return diff_cells(source, shifted, ["event_id"], tolerance_us=1000)
 
 
+PUT_IN = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 500 = 4 THEN lower(o_orderstatus) ELSE o_orderstatus END AS o_orderstatus
+FROM orders
+UNION ALL SELECT (SELECT max(o_orderkey) FROM orders) * 3 div 4, -1, 'new'
+"""
+
+
+def row_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Two ordered exports compared row by row; one row put in moves all that follow it."""
+    register(spark, sf, ["orders"])
+    folder, keys = work_folder(spark, "rows"), ["o_orderkey", "o_custkey"]
+    source = scan(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for name, df in (("want", source), ("got", query(spark, PUT_IN))):
+        write(ordered(df, keys), f"{folder}/{name}.parquet")
+    return diff_rows(*[read_export(spark, f"{folder}/{name}.parquet") for name in ("want", "got")], scanned=True)
+
+
 def count_diff(spark: SparkSession, sf: str) -> DataFrame:
     return diff_counts(*changed_orders(spark, sf))
 
@@ -126,9 +152,11 @@ def lineitem_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "cell_diff": cell_diff,
+    "cell_diff_sketch": cell_diff_sketch,
     "cell_diff_copies": cell_diff_copies,
     "diff_report": diff_samples,
     "timestamp_tolerance": timestamp_tolerance,
+    "row_diff": row_diff,
     "count_diff": count_diff,
     "reconcile": reconcile_orders,
     "reconcile_verdict": reconcile_verdict,
@@ -159,6 +187,26 @@ FROM orders WHERE o_orderkey % 1000 = 2
 
 ORACLES = {
     "cell_diff": DUCK_CELLS,
+    "cell_diff_sketch": DUCK_CELLS,
+    "row_diff": f"""
+        WITH want AS (
+            SELECT row_number() OVER (ORDER BY o_orderkey, o_custkey) - 1 AS "row", o_orderkey, o_custkey, o_orderstatus FROM orders
+        ), got AS (
+            SELECT row_number() OVER (ORDER BY o_orderkey, o_custkey) - 1 AS "row", o_orderkey AS k, o_custkey AS c, o_orderstatus AS s
+            FROM ({PUT_IN.replace(" div ", " // ")}) AS other
+        ), pairs AS (
+            SELECT * FROM want JOIN got USING ("row")
+        )
+        SELECT "row", 'changed' AS status, 'o_orderkey' AS "column", CAST(o_orderkey AS VARCHAR) AS want, CAST(k AS VARCHAR) AS got
+        FROM pairs WHERE o_orderkey <> k
+        UNION ALL
+        SELECT "row", 'changed', 'o_custkey', CAST(o_custkey AS VARCHAR), CAST(c AS VARCHAR) FROM pairs WHERE o_custkey <> c
+        UNION ALL
+        SELECT "row", 'changed', 'o_orderstatus', o_orderstatus, s FROM pairs WHERE o_orderstatus <> s
+        UNION ALL
+        SELECT "row", 'extra', NULL, NULL, '["' || k || '","' || c || '","' || s || '"]'
+        FROM got WHERE "row" >= (SELECT count(*) FROM orders)
+    """,
     "cell_diff_copies": """
         WITH want AS (
             SELECT l_suppkey, l_linenumber, l_returnflag, l_linestatus, count(*) AS n

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tablex.functions.celltext import csv_text
@@ -11,6 +13,7 @@ from tablex.plans.export import export
 from tablex.session import work_folder
 from tablex.sinks.copytext import dump_types, write_copy
 from tablex.sinks.files import write
+from tablex.sinks.versions import read_version, write_version
 from tablex.sources.copytext import read_copy_stream
 from tablex.sources.tables import read_export, register, scan
 from tablex.streaming.export import export_stream
@@ -69,6 +72,16 @@ def empty_result(spark: SparkSession, sf: str) -> DataFrame:
     return read_export(spark, path)
 
 
+def versioned_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Three versions of an export of orders: written, replaced, added to; all are read back, the newest twice."""
+    path = f"{work_folder(spark, 'versions')}/orders"
+    for mode, year in (("errorifexists", 1995), ("overwrite", 1996), ("append", 1997)):
+        write_version(extract(spark, sf, "orders", predicate=f"year(o_orderdate) = {year}"), path, mode)
+    parts = [(number, read_version(spark, path, number)) for number in (1, 2, 3, None)]
+    every = [df.selectExpr(f"{number or 0} AS version", "o_orderkey", "o_orderdate", "o_totalprice") for number, df in parts]
+    return reduce(DataFrame.unionAll, every)
+
+
 def stream_export(spark: SparkSession, sf: str) -> DataFrame:
     """A dump normalised and exported as a stream of its files."""
     source = scan(spark, sf, "lineitem")
@@ -87,6 +100,7 @@ QUERIES = {
     "write_read_parquet": write_read_parquet,
     "write_read_csv": write_read_csv,
     "empty_result": empty_result,
+    "versioned_export": versioned_export,
     "stream_export": stream_export,
 }
 
@@ -123,5 +137,10 @@ ORACLES = {
         FROM documents
     """,
     "empty_result": "SELECT * FROM lineitem WHERE l_quantity < 0",
+    "versioned_export": """
+        SELECT CAST(version AS INTEGER) AS version, o_orderkey, o_orderdate, o_totalprice
+        FROM orders JOIN (VALUES (1, 1995), (2, 1996), (3, 1996), (3, 1997), (0, 1996), (0, 1997)) v(version, y)
+          ON year(o_orderdate) = y
+    """,
     "stream_export": "SELECT * FROM lineitem",
 }

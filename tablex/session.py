@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -87,6 +88,64 @@ def move_path(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"can't move {path} to {to}")
 
 
+def file_names(spark: SparkSession, path: str, times: bool = False) -> list:
+    """Names in a folder; with `times`, (name, milliseconds of its last change)."""
+    fs, target = file_system(spark, path)
+    found = [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(target)]
+    return found if times else [name for name, _ in found]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_stream(stream, text: str) -> None:
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file that must not exist yet; False if it does. Of several writers exactly one succeeds.
+
+    HDFS gives a finished draft its name once, by a rename that never overwrites, and a local disk by a hard
+    link. Other stores create without overwriting; readers may see the file before its end there.
+    """
+    fs, target = file_system(spark, path)
+    jvm = spark._jvm
+    fs.mkdirs(target.getParent())
+    exists = ("FileAlreadyExistsException", "already exists")
+    try:
+        if fs.getScheme() == "file":
+            final = jvm.java.io.File(target.toUri().getPath()).toPath()
+            draft = final.resolveSibling(f".{uuid.uuid4().hex}.draft")
+            try:
+                jvm.java.nio.file.Files.write(draft, bytearray(text, "utf-8"), jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.Class.forName("java.nio.file.OpenOption"), 0))
+                jvm.java.nio.file.Files.createLink(final, draft)
+            finally:
+                jvm.java.nio.file.Files.deleteIfExists(draft)
+        elif fs.getScheme() in ("hdfs", "viewfs", "webhdfs"):
+            draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}.draft")
+            write_stream(fs.create(draft, False), text)
+            try:
+                return not fs.exists(target) and fs.rename(draft, target)
+            finally:
+                fs.delete(draft, False)
+        else:
+            write_stream(fs.create(target, False), text)
+    except Py4JJavaError as failed:
+        if any(word in str(failed.java_exception) for word in exists):
+            return False
+        raise
+    return True
+
+
 def release(df: DataFrame) -> None:
     """Remove what `stored` wrote for a relation that is no longer needed."""
     for folder in {file.rsplit("/", 2)[0] for file in df.inputFiles() if "/tablex/" in file}:
