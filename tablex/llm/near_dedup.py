@@ -286,9 +286,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
         leaders = here.groupBy("n_band", "n_sketch").agg(F.array(*[F.struct(leader(k)["n_key"].alias("n_key"), leader(k)["n_class"].alias("n_class")) for k in several]).alias("n_leads"), opened)
         here = stored(here.join(leaders.where("n_open").drop("n_open"), ["n_band", "n_sketch"]), "open")
         places = here.select("n_key", "n_band", "n_sketch", "n_mates", (F.col("n_led") | F.exists("n_leads", lambda x: x["n_key"] == F.col("n_key"))).alias("n_led"))
-        # Leaders of the text's own class are left out before rows are made of the rest.
+        # Leaders of the text's own class are left out, and those that lead several of its buckets count once, before rows are made of the rest.
         others = F.filter("n_leads", lambda x: x["n_class"] != F.col("n_class"))
-        pairs = here.select("n_key", F.explode(others).alias("n_lead"))
+        pairs = here.select("n_key", others.alias("n_others")).where(F.size("n_others") > 0).groupBy("n_key").agg(F.array_distinct(F.flatten(F.collect_list("n_others"))).alias("n_others"))
+        pairs = pairs.select("n_key", F.explode("n_others").alias("n_lead"))
         pairs = pairs.select(F.least("n_key", "n_lead.n_key").alias("n_a"), F.greatest("n_key", "n_lead.n_key").alias("n_b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["n_a", "n_b"], "left_anti")
