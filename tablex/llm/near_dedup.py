@@ -4,7 +4,7 @@ Shingles are runs of five words, marked by their occurrence. Each of `BANDS` ske
 shingles smallest under its own hash and joins them in text order, so texts share a sketch about as likely
 as they are close in edits. Equal texts (word for word) are one node from the start. In every bucket of
 equal sketches, each text is compared to one leader first; where a bucket still has several classes, its texts meet
-a few leaders that have not led yet in each later round. Texts of buckets still open after a few rounds are joined by
+a few leaders that have not led yet in each later round, as long as rounds link a tenth of their pairs. Texts of buckets still open then are joined by
 their rarest shingles, so every pair of a bucket is in one class, verified, or certain to be below the threshold.
 
 Two texts are linked if a banded alignment of their shingles keeps at least 0.8 of them: aligned in order and
@@ -38,8 +38,8 @@ SIMILAR = 0.8
 SHORT = 10
 #: Leaders of a bucket in each round after the first, which has one: by then few buckets are open.
 LEADERS = 4
-#: Rounds with leaders; what is open after them is joined by rare shingles.
-ROUNDS = 5
+#: Most rounds with leaders, and the share of pairs a round must link to be followed by another; what is open then is joined by rare shingles.
+ROUNDS, FRUITFUL = 5, 0.1
 #: Slots of the counts by which shingles are ordered from rare to frequent; their array is broadcast.
 SLOTS = 1 << 20
 #: Texts of so many bytes are sketched at once.
@@ -296,9 +296,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
         pairs = stored(pairs, "pairs")
         links = stored(verified(pairs, texts, similar), "links")
         tested = pairs if tested is None else tested.union(pairs)
-        if not links.head(1):
+        found = links.count()
+        if found:
+            labels = stored(components(labels, links), "labels")
+        if found < FRUITFUL * pairs.count():
             break
-        labels = stored(components(labels, links), "labels")
     # A pair of a bucket is now in one class, tested, or of two texts here that have not led.
     here = places.join(labels, "n_key")
     here = here.join(here.groupBy("n_band", "n_sketch").agg(opened).where("n_open"), ["n_band", "n_sketch"]).where(~F.col("n_led"))
