@@ -10,19 +10,20 @@ from pyspark.sql import functions as F
 from tablex.llm.batches import in_arrow
 from tablex.llm.bytecnn import Shape, some_windows
 
-#: At most so many classes are learned, the most frequent first.
-MAX_CLASSES = 200
+#: So many classes have `per_class` rows each; of more, each has a share of as many rows in all.
+FULL_CLASSES = 200
 
 
 def class_sample(rows: DataFrame, label: str, row_id: str, per_class: int) -> tuple[list, DataFrame]:
     """(classes, rows): about `per_class` rows of each label, picked by a hash of their id, so that a rerun picks the same.
 
-    At most about MAX_CLASSES * per_class rows, whatever the table's size.
+    Every label is learned. At most about FULL_CLASSES * per_class rows, or one of each label, whatever the table's size.
     """
-    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(MAX_CLASSES).collect()
+    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).collect()  # one row per label
     if not counts:
         return [], rows.where(F.lit(False))
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r[0], min(1.0, per_class / r[1]))])
+    each = max(1.0, min(per_class, FULL_CLASSES * per_class / len(counts)))
+    share = F.create_map(*[F.lit(v) for r in counts for v in (r[0], min(1.0, each / r[1]))])
     chance = F.pmod(F.xxhash64(F.lit("train"), F.col(row_id)), F.lit(1 << 30)) / F.lit(1 << 30)
     return sorted(r[0] for r in counts), rows.where(chance < share[F.col(label)])
 

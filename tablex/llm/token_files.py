@@ -40,28 +40,41 @@ MAGIC = b"TXF1"
 FRAME_IDS = rangecoder.BLOCK * rangecoder.LANES
 #: Words whose ids a Python worker remembers, and chunks that are not a word by themselves (about 200 bytes each).
 WORDS, CHUNKS = 250_000, 50_000
+#: Frames of a file: of about 4 MB each, unless a single document has more.
+FRAMES = 16
 
 
 class Encoder:
-    """Ids of whole texts by chunks between ASCII white space, which no token of the vocabulary crosses.
+    """Ids of whole texts by chunks between ASCII white space, where the vocabulary lets no token cross it.
 
     The ids of a chunk are those the tokenizer gives for it alone. A chunk of letters followed by ASCII marks (no
-    apostrophe) is put together from its word and its marks, which the tokenizer splits there. Words new
+    apostrophe) is put together from its word and its marks, if the tokenizer splits there: only letters
+    that its own normaliser leaves letters count as such (İ becomes i and a mark of its own). Words new
     to this worker are encoded many in one text: the last token of each word is marked in the vocabulary.
+    A vocabulary that joins tokens over white space, or words and marks, is given whole texts or whole chunks.
     """
 
-    #: ASCII and precomposed Latin letters, which normalisation leaves as they are but for their case.
-    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+    LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x250))]
+    MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.words: dict[str, bytes] = {"": b""}
-        self.chunks: dict[str, bytes] = {}
+        self.chunks: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
+        if max(vocabulary.values()) > 0xFFFF:
+            raise ValueError("token files hold ids below 65,536")
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+        normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
+        simple = [c for c in self.LETTERS if c.isalpha() and normal(c).isalpha()]
+        self.lowers = all(normal(c) == normal(c.lower()) for c in simple if c.isascii())
+        joined = lambda *parts: self.direct(["".join(parts)])[0] == b"".join(self.direct([*parts]))
+        self.by_chunk = all(joined(a, f"{blank}{b}") and self.direct([f"{blank}{b}"]) == self.direct([b]) for blank in " \t\n\v\f\r" for a, b in (("word", "next"), ("a,", "1"), ("é", "b")))
+        split = self.by_chunk and all(joined("word", mark) and joined("é", mark * 2) for mark in self.MARKS)
+        self.simple = re.compile(f"([{''.join(simple)}]+)([{re.escape(self.MARKS)}]*)") if split else re.compile("(?!)")
 
     def direct(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -79,34 +92,34 @@ class Encoder:
                 yield data[start:end]
                 start = end
 
-    def texts(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian u16."""
+    def texts(self, texts: list[bytes | None]) -> list[bytes]:
+        """Ids of each text (UTF-8) as little-endian u16."""
+        if not self.by_chunk:
+            return self.direct([(t or b"").decode("utf-8", "replace") for t in texts])
         words, known = self.words, self.chunks
         if len(words) > WORDS:
             words.clear()
             words[""] = b""
         if len(known) > CHUNKS:
             known.clear()
-        split = [t.translate(BLANK).split(" ") if t else [] for t in texts]
+        split = [t.split() if t else [] for t in texts]  # at the six white characters of ASCII
         new = {c for chunks in split for c in chunks}.difference(known)
-        parts, odd = {}, []
-        for c in new:
-            if m := self.SIMPLE.fullmatch(c):
+        parts, odd = {}, {}
+        for raw in new:
+            c = raw.decode("utf-8", "replace")
+            if m := self.simple.fullmatch(c):
                 word = m[1]
-                parts[c] = (word.lower() if word.isascii() else word, m[2])
+                parts[raw] = (word.lower() if self.lowers and word.isascii() else word, m[2])
             else:
-                odd.append(c)
+                odd[raw] = c
         missing = [*{w for pair in parts.values() for w in pair}.difference(words)]
         words.update(zip(missing, self.several(missing)))
-        known.update(zip(odd, self.direct(odd)))
-        for c, (word, marks) in parts.items():
-            known[c] = words[word] + words[marks]
+        known.update(zip(odd, self.direct([*odd.values()])))
+        for raw, (word, marks) in parts.items():
+            known[raw] = words[word] + words[marks]
         return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
 
-BLANK = {c: " " for c in (9, 10, 11, 12, 13)}
-
-
 def encoder_of(definition: str) -> Encoder:
     """The encoder of this Python worker, kept between tasks."""
     kept = sys.__dict__.setdefault("_token_encoders", {})
@@ -166,7 +179,7 @@ def write_tokens(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
     """Writes the documents' token files; the vocabulary file is read once and sent to the executors."""
     with open(vocabulary or public_tokenizers.path(VOCABULARY), encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
-    rows = docs.select(F.col(doc_id).cast("long").alias("t_id"), F.col(text).alias("t_text"), F.xxhash64(text).alias("t_hash"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("t_id"), F.col(text).cast("binary").alias("t_text"), F.xxhash64(text).alias("t_hash"))
     rows = rows.repartitionByRange("t_id", "t_hash").sortWithinPartitions("t_id", "t_hash").drop("t_hash")
 
     def write(batches):
@@ -187,7 +200,7 @@ def write_tokens(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([pa.array([frame(held)], pa.binary())], names=["frame"])
 
     # The writer takes text; the cast leaves the bytes as they are.
-    in_arrow(rows, write, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(folder)
+    in_arrow(rows, write, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", FRAMES).text(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:

@@ -168,7 +168,7 @@ def test_chunks_are_encoded_like_whole_texts():
     with open(path, encoding="utf-8") as f:
         encoder = token_files.Encoder(f.read())
     odd = ["It's DON'T we'll o'clock's 'S", "a.b,c!!", "<|endoftext|> x<|startoftext|>", "é é İSTANBUL ǅ ß", " x y\u0085z\x1cq", "12ab3 ½ ٣", "  \t\n\r\v\f ", "", "日本語 テキスト", "x́ ́y", "A#$%.'b", "ﬁ ＡＢＣ"]
-    assert [np.frombuffer(b, "<u2").tolist() for b in encoder.texts(odd)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
+    assert [np.frombuffer(b, "<u2").tolist() for b in encoder.texts([t.encode() for t in odd])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
 
 def test_quality_of_documents_held_out(spark):
