@@ -31,6 +31,8 @@ from tablex.plans.export import dry_run, export
 from tablex.session import configure
 from tablex.sinks.copytext import write_copy
 from tablex.sinks.files import write, write_csv, write_parquet
+from tablex.sinks.layout import clustered
+from tablex.sinks.ranges import diff_exports, read_ranges, write_ranges
 from tablex.sinks.versions import read_version, vacuum, versions, write_version
 from tablex.sources.copytext import read_copy, read_copy_stream, read_types
 from tablex.sources.jdbc import query_jdbc, scan_jdbc
@@ -40,12 +42,14 @@ from tablex.streaming.export import export_stream
 __all__ = [
     "actual_kinds",
     "catalog_dictionary",
+    "clustered",
     "configure",
     "csv_text",
     "declared",
     "dictionary",
     "diff_cells",
     "diff_counts",
+    "diff_exports",
     "diff_report",
     "diff_rows",
     "diff_schema",
@@ -71,6 +75,7 @@ __all__ = [
     "read_copy",
     "read_copy_stream",
     "read_export",
+    "read_ranges",
     "read_types",
     "read_version",
     "reconcile",
@@ -91,5 +96,6 @@ __all__ = [
     "write_copy",
     "write_csv",
     "write_parquet",
+    "write_ranges",
     "write_version",
 ]

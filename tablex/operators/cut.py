@@ -71,13 +71,18 @@ def key_text(name: str, dtype: T.DataType) -> str:
     return f"CAST({as_integer(name, dtype) if isinstance(dtype, T.DatetimeType) else name} AS STRING)"
 
 
-def key_literal(text: str, dtype: T.DataType) -> Column:
-    """A constant that is folded before the plan is made, so that comparisons with it reach the scan."""
+def key_constant(text: str, dtype: T.DataType) -> str:
+    """The key as a SQL constant, folded before the plan is made, so that comparisons with it reach the scan."""
     if isinstance(dtype, T.DateType):
-        return F.expr(f"date_from_unix_date({text})")
+        return f"date_from_unix_date({text})"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.expr(f"timestamp_micros({text}L)").cast(dtype)
-    return F.lit(text) if isinstance(dtype, T.StringType) else F.lit(text).cast(dtype)
+        return f"CAST(timestamp_micros({text}L) AS {dtype.simpleString()})"
+    quoted_text = "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return quoted_text if isinstance(dtype, T.StringType) else f"CAST({quoted_text} AS {dtype.simpleString()})"
+
+
+def key_literal(text: str, dtype: T.DataType) -> Column:
+    return F.expr(key_constant(text, dtype))
 
 
 def top_rows(df: DataFrame, keys: Sequence[tuple[str, bool]], n: int, scanned: bool = False, few: int = FEW) -> DataFrame:

@@ -243,23 +243,30 @@ def diff_report(diffs: DataFrame, keys: Sequence[str], per_column: int = 3) -> D
 PIECE = 0xFFFFF
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """One row: rows, columns and a digest that depends on content, not on row or column order.
+def digest_sums(df: DataFrame, part: str = "") -> DataFrame:
+    """Rows and the sums of 120 bits of each row's SHA-256, of all rows or for each value of a column that is left out.
 
-    120 bits of each row's SHA-256 are added up, so nothing is sorted and a task passes on one
-    row of sums.
+    Sums depend on content, not on the order of rows or columns; nothing is sorted.
     """
-    df = unique_columns(df)
-    digests = df.selectExpr(f"sha2({row_text(df.schema)}, 256) AS d")
+    beside = [quoted(part)] if part else []
+    digests = df.selectExpr(f"sha2({row_text([f for f in df.schema if f.name != part])}, 256) AS d", *beside)
     words = digests.selectExpr(
-        *[f"CAST(conv(substr(d, {1 + 15 * i}, 15), 16, 10) AS BIGINT) AS w{i}" for i in range(2)]
+        *[f"CAST(conv(substr(d, {1 + 15 * i}, 15), 16, 10) AS BIGINT) AS w{i}" for i in range(2)], *beside
     )
     pieces = [f"shiftright(w{i}, {bits}) & {PIECE}" for i in range(2) for bits in (40, 20, 0)]
-    total = words.selectExpr(
-        "count(1) AS rows", *[f"coalesce(sum({p}), 0) AS s{i}" for i, p in enumerate(pieces)]
-    )
+    sums = [F.expr(e) for e in ("count(1) AS rows", *[f"coalesce(sum({p}), 0) AS s{i}" for i, p in enumerate(pieces)])]
+    return words.groupBy(*beside).agg(*sums)
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """One row: rows, columns and a digest that depends on content, not on row or column order.
+
+    A task passes on one row of sums.
+    """
+    df = unique_columns(df)
+    total = digest_sums(df)
     names = F.lit(",".join(sorted(df.columns)))
-    sums = [F.col(f"s{i}").cast("string") for i in range(len(pieces))]
+    sums = [F.col(f"s{i}").cast("string") for i in range(6)]
     text = F.concat_ws("|", names, F.col("rows").cast("string"), *sums)
     return total.select("rows", names.alias("columns"), F.sha2(text, 256).alias("fingerprint"))
 

@@ -16,6 +16,7 @@ from tablex.operators.reconcile import (
 )
 from tablex.session import work_folder
 from tablex.sinks.files import write
+from tablex.sinks.ranges import diff_exports, write_ranges
 from tablex.sources.tables import query, read_export, register, scan
 
 # One order in a thousand changed, another dropped, another copied under a negative key.
@@ -48,6 +49,15 @@ def cell_diff_sketch(spark: SparkSession, sf: str) -> DataFrame:
     return diff_cells(*changed_orders(spark, sf), ["o_orderkey"], sketch=True)
 
 
+def cell_diff_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """The same differences from two exports that keep fingerprints of key ranges; only ranges that differ are read."""
+    source, changed = changed_orders(spark, sf)
+    folder = work_folder(spark, "ranges")
+    write_ranges(source, f"{folder}/want", "o_orderkey")
+    write_ranges(changed, f"{folder}/got", "o_orderkey", like=f"{folder}/want")
+    return diff_exports(spark, f"{folder}/want", f"{folder}/got", ["o_orderkey"])
+
+
 def cell_diff_copies(spark: SparkSession, sf: str) -> DataFrame:
     """Keyed by supplier and line number, which name no single row: rows are matched as copies."""
     register(spark, sf, ["lineitem"])
@@ -153,6 +163,7 @@ def lineitem_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "cell_diff": cell_diff,
     "cell_diff_sketch": cell_diff_sketch,
+    "cell_diff_ranges": cell_diff_ranges,
     "cell_diff_copies": cell_diff_copies,
     "diff_report": diff_samples,
     "timestamp_tolerance": timestamp_tolerance,
@@ -188,6 +199,7 @@ FROM orders WHERE o_orderkey % 1000 = 2
 ORACLES = {
     "cell_diff": DUCK_CELLS,
     "cell_diff_sketch": DUCK_CELLS,
+    "cell_diff_ranges": DUCK_CELLS,
     "row_diff": f"""
         WITH want AS (
             SELECT row_number() OVER (ORDER BY o_orderkey, o_custkey) - 1 AS "row", o_orderkey, o_custkey, o_orderstatus FROM orders

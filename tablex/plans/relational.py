@@ -62,6 +62,20 @@ def generated_rows(spark: SparkSession, sf: str) -> DataFrame:
     return normalize(rows, {"weight": "numeric(8,2)"})
 
 
+GENERATED = """
+SELECT r.{id} AS i, 's' || r.{id} AS s, CAST(r.{id} * 0.5 AS DOUBLE) AS x, date '2000-01-01' + CAST(r.{id} % 5000 AS INT) AS d,
+       count(o_orderkey) AS orders, max(o_orderkey) AS last_order
+FROM {rows} LEFT JOIN orders ON o_orderkey % 30005 + 1 = r.{id}
+GROUP BY r.{id}
+"""
+
+
+def generated_range(spark: SparkSession, sf: str) -> DataFrame:
+    """A relation of generated rows, and what orders fall on each."""
+    register(spark, sf, ["orders"])
+    return query(spark, GENERATED.format(id="id", rows="range(1, 30006) AS r"))
+
+
 WIDTH = 1000
 
 
@@ -155,6 +169,7 @@ QUERIES = {
     "agg_filter": agg_filter,
     "string_agg_ordered": string_agg_ordered,
     "generated_rows": generated_rows,
+    "generated_range": generated_range,
     "wide_1000": wide_1000,
     "left_join_keys": left_join_keys,
     "left_join_labels": left_join_labels,
@@ -164,6 +179,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "generated_range": GENERATED.format(id="g", rows="range(1, 30006) AS r(g)"),
     "agg_filter": """
         SELECT count(DISTINCT o_custkey) AS buyers,
                CAST(sum(o_custkey % 7) AS BIGINT) AS weekdays,

@@ -5,17 +5,19 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import count
 
 from tablex.functions.celltext import csv_text
 from tablex.functions.normalize import normalize
 from tablex.operators.extract import extract
 from tablex.plans.export import export
-from tablex.session import work_folder
+from tablex.session import stored, work_folder
 from tablex.sinks.copytext import dump_types, write_copy
-from tablex.sinks.files import write
+from tablex.sinks.files import write, write_parquet
+from tablex.sinks.layout import clustered
 from tablex.sinks.versions import read_version, write_version
 from tablex.sources.copytext import read_copy_stream
-from tablex.sources.tables import read_export, register, scan
+from tablex.sources.tables import query, read_export, register, scan
 from tablex.streaming.export import export_stream
 
 
@@ -72,6 +74,60 @@ def empty_result(spark: SparkSession, sf: str) -> DataFrame:
     return read_export(spark, path)
 
 
+def where_false(spark: SparkSession, sf: str) -> DataFrame:
+    """A literal WHERE false: the export has every column and no row."""
+    register(spark, sf, ["orders"])
+    path = f"{work_folder(spark, 'none')}/none.parquet"
+    write(query(spark, "SELECT * FROM orders WHERE false"), path)
+    return read_export(spark, path)
+
+
+LONG_CELLS = """
+SELECT l_orderkey, l_linenumber, l_partkey,
+       CASE WHEN l_partkey % 1000 = 0 THEN repeat(l_returnflag || l_orderkey || '-é', {times}) ELSE l_linestatus END AS label
+FROM lineitem
+"""
+#: Repetitions that make a cell of more than 100 KB, and the rows of a row group.
+REPEATED, GROUP_ROWS = 25_000, 10_000
+
+
+def long_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of 100 KB on every thousandth part, over many row groups; read back, each tells its length and digest."""
+    register(spark, sf, ["lineitem"])
+    path = f"{work_folder(spark, 'long')}/long.parquet"
+    write_parquet(query(spark, LONG_CELLS.format(times=REPEATED)), path, row_group_rows=GROUP_ROWS)
+    return read_export(spark, path).selectExpr("l_orderkey", "l_linenumber", "l_partkey", "length(label) AS letters", "md5(label) AS digest")
+
+
+def row_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Row groups of an export: read in splits smaller than any, a split with rows is a row group."""
+    path = f"{work_folder(spark, 'groups')}/lineitem.parquet"
+    write_parquet(extract(spark, sf, "lineitem"), path, row_group_rows=GROUP_ROWS)
+    old = {key: spark.conf.get(key, None) for key in SMALL_SPLITS}
+    for key, value in SMALL_SPLITS.items():
+        spark.conf.set(key, value)
+    try:
+        split = ["_metadata.file_path", "_metadata.file_block_start"]
+        groups = stored(read_export(spark, path).groupBy(*split).agg(count("*").alias("rows")), "groups")
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return groups.selectExpr("sum(rows) AS rows", "max(rows) AS largest", f"count(*) >= ceil(sum(rows) / {GROUP_ROWS}) AS enough")
+
+
+SMALL_SPLITS = {"spark.sql.files.maxPartitionBytes": "32768", "spark.sql.files.openCostInBytes": "32768"}
+
+
+def clustered_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items laid out by part, supplier and price; what predicates on each of them find is the same."""
+    path = f"{work_folder(spark, 'clustered')}/lineitem.parquet"
+    write_parquet(clustered(extract(spark, sf, "lineitem"), ["l_partkey", "l_suppkey", "l_extendedprice"]), path)
+    back = read_export(spark, path)
+    predicates = ["l_partkey BETWEEN 90 AND 99", "l_suppkey IN (3, 7)", "l_extendedprice < 1500"]
+    parts = [back.where(p).selectExpr(f"{k} AS predicate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice") for k, p in enumerate(predicates)]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def versioned_export(spark: SparkSession, sf: str) -> DataFrame:
     """Three versions of an export of orders: written, replaced, added to; all are read back, the newest twice."""
     path = f"{work_folder(spark, 'versions')}/orders"
@@ -100,6 +156,10 @@ QUERIES = {
     "write_read_parquet": write_read_parquet,
     "write_read_csv": write_read_csv,
     "empty_result": empty_result,
+    "where_false": where_false,
+    "long_cells": long_cells,
+    "row_groups": row_groups,
+    "clustered_export": clustered_export,
     "versioned_export": versioned_export,
     "stream_export": stream_export,
 }
@@ -137,6 +197,19 @@ ORACLES = {
         FROM documents
     """,
     "empty_result": "SELECT * FROM lineitem WHERE l_quantity < 0",
+    "where_false": "SELECT * FROM orders WHERE false",
+    "long_cells": f"""
+        SELECT l_orderkey, l_linenumber, l_partkey, CAST(length(label) AS INTEGER) AS letters, md5(label) AS digest
+        FROM ({LONG_CELLS.format(times=REPEATED)})
+    """,
+    "row_groups": f"""
+        SELECT count(*) AS "rows", least(count(*), {GROUP_ROWS}) AS largest, TRUE AS enough FROM lineitem
+    """,
+    "clustered_export": """
+        SELECT 0 AS predicate, l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem WHERE l_partkey BETWEEN 90 AND 99
+        UNION ALL SELECT 1, l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem WHERE l_suppkey IN (3, 7)
+        UNION ALL SELECT 2, l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem WHERE l_extendedprice < 1500
+    """,
     "versioned_export": """
         SELECT CAST(version AS INTEGER) AS version, o_orderkey, o_orderdate, o_totalprice
         FROM orders JOIN (VALUES (1, 1995), (2, 1996), (3, 1996), (3, 1997), (0, 1996), (0, 1997)) v(version, y)

@@ -75,6 +75,11 @@ def write_parquet(
     return rows.get["rows"]
 
 
+def write_parquet_folder(df: DataFrame, path: str, by: list[str]) -> None:
+    """ZSTD Parquet in a folder for each value of the columns `by`, moved into place when complete."""
+    commit(df.write.format("parquet").option("compression", "zstd").partitionBy(*by), df, path, "errorifexists")
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", fraction: bool = False) -> int:
     """CSV with a header in every part; returns the rows written."""
     configure(df.sparkSession)

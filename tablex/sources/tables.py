@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablex.functions.names import quoted
 from tablex.session import configure, path_exists
+from tablex.sinks.versions import MANIFESTS, read_version
+from tablex.sources.csvtext import read_csv, whole_files
 
 
 def scan(spark: SparkSession, schema: str, table: str) -> DataFrame:
@@ -34,21 +36,16 @@ def read_export(
 ) -> DataFrame:
     """Read an export back; one that did not complete is refused.
 
-    A job leaves `_SUCCESS` when it commits, a stream keeps a log of its committed files.
+    A job leaves `_SUCCESS` when it commits, a stream keeps a log of its committed files; of an export in versions
+    the newest is read.
 
-    multiline   CSV cells may hold line ends, at the price of one task per CSV part
+    multiline   CSV cells may hold line ends, at the price of one more pass over the lines
     """
     configure(spark)
+    if path_exists(spark, f"{path}/{MANIFESTS}"):
+        return read_version(spark, path)
     if not any(path_exists(spark, f"{path}/{mark}") for mark in ("_SUCCESS", "_spark_metadata")):
         raise FileNotFoundError(f"{path} is not a completed export")
     if (fmt.lower() or ("csv" if path.lower().endswith(".csv") else "parquet")) == "csv":
-        return spark.read.csv(
-            path,
-            header=True,
-            escape='"',
-            multiLine=multiline,
-            enforceSchema=False,
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        )
+        return read_csv(spark, path) if multiline else whole_files(spark, path, multiline=False)
     return spark.read.parquet(path)
