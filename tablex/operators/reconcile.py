@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from tablex.functions.declared import actual_kinds, reader_label
 from tablex.functions.equality import MOMENT, comparable, comparable_text, near, row_hash, row_text
 from tablex.functions.names import quoted, unique_columns
+from tablex.operators.bands import without_partner
 from tablex.operators.sketch import surplus_by_sketch
 from tablex.session import configure, stored
 
@@ -64,7 +65,7 @@ def unmatched_hashes(a: DataFrame, b: DataFrame) -> DataFrame:
 SALTS = 8
 
 
-def text_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def text_rows(df: DataFrame, keys: Sequence[str], more: Sequence[str] = ()) -> DataFrame:
     """Row hash, key hash, keys and cells as text."""
     cells = [comparable_text(quoted(f.name), f.dataType) for f in df.schema]
     return df.selectExpr(
@@ -72,6 +73,7 @@ def text_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         *hash_pair([df.schema[k] for k in keys], "k"),
         f"struct({', '.join(map(quoted, keys))}) AS key",
         f"array({', '.join(cells)}) AS cells",
+        *more,
     )
 
 
@@ -110,10 +112,30 @@ def far_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], tolerance_us: int)
     return both.where(f"NOT coalesce({alike}, false)").select("k1", "k2")
 
 
-def key_rows(df: DataFrame, far: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The distinct rows of some keys, with their number of copies."""
-    found = text_rows(df, keys).join(far, ["k1", "k2"], "left_semi")
-    return found.groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("k1", "k2", "key", "cells")], F.count(F.lit(1)).alias("copies"))
+def key_rows(df: DataFrame, far: DataFrame, keys: Sequence[str], beside: Callable[[DataFrame, Sequence[str]], list[str]] | None = None) -> DataFrame:
+    """The distinct rows of some keys, with their number of copies and, if given, what `beside` adds to each."""
+    more = beside(df, keys) if beside else []
+    found = text_rows(df, keys, more).join(far, ["k1", "k2"], "left_semi")
+    kept = ("k1", "k2", "key", "cells", *(("g1", "g2", "t") if more else ()))
+    return found.groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in kept], F.count(F.lit(1)).alias("copies"))
+
+
+def within_tolerance(rows: DataFrame, tolerance_us: int) -> DataFrame:
+    """Rows of `key_rows` less those that have a partner within the tolerance, one to one."""
+    return without_partner(rows.withColumn("side", F.when(F.col("side") == "want", 1).otherwise(-1)), tolerance_us).withColumn(
+        "side", F.when(F.col("side") == 1, "want").otherwise("got")
+    )
+
+
+def free_moments(schema: T.StructType, keys: Sequence[str]) -> list[str]:
+    return [f.name for f in schema if isinstance(f.dataType, MOMENT) and f.name not in keys]
+
+
+def grouped(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """What rows within a tolerance must have in common, as g1 and g2, and their one instant t."""
+    moment = df.schema[free_moments(df.schema, keys)[0]]
+    rest = [f for f in df.schema if f.name != moment.name]
+    return [*hash_pair(rest, "g"), f"CAST({comparable(quoted(moment.name), moment.dataType)} AS BIGINT) AS t"]
 
 
 def diff_cells(
@@ -130,7 +152,8 @@ def diff_cells(
     integers. What is left is stored twice on the way, first its hashes and then its rows, so
     each table is read twice and only hashes of it are shuffled as a rule.
 
-    tolerance_us    timestamps this close are the same; keys must then identify rows
+    tolerance_us    timestamps this close are the same. Where a key has several rows and rows have one timestamp (keys
+                    apart), they are matched one to one, as many as possible; with several, keys must identify rows
     sketch          find the unequal hashes from sketches as large as the difference (see `sketch`): for large
                     tables that hardly differ. Each table is read once more, and no hash of it is shuffled;
                     where the difference turns out too large, hashes are shuffled after all
@@ -141,14 +164,16 @@ def diff_cells(
     configure(a.sparkSession)
     if tolerance_us and any(isinstance(f.dataType, MOMENT) for f in a.schema):
         far = stored(far_keys(a, b, keys, tolerance_us), "keys")
-        want, got = key_rows(a, far, keys), key_rows(b, far, keys)
+        beside = grouped if len(free_moments(a.schema, keys)) == 1 else None
+        want, got = key_rows(a, far, keys, beside), key_rows(b, far, keys, beside)
     else:
         found = surplus_by_sketch(a, b) if sketch else None
         hashes = stored(unmatched_hashes(a, b) if found is None else found, "hashes")
         want = surplus_rows(a, hashes.where("surplus > 0"), keys)
         got = surplus_rows(b, hashes.where("surplus < 0").withColumn("surplus", -F.col("surplus")), keys)
     want, got = want.withColumn("side", F.lit("want")), got.withColumn("side", F.lit("got"))
-    rest = stored(want.unionByName(got), "rest")
+    rows = want.unionByName(got)
+    rest = stored(within_tolerance(rows, tolerance_us) if "t" in rows.columns else rows, "rest")
 
     def side(name: str, value: Column) -> Column:
         return F.when(F.col("side") == name, value)

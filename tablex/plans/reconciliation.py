@@ -160,6 +160,18 @@ def lineitem_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint(scan(spark, sf, "lineitem"))
 
 
+def tolerance_of_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by priority, status and moment only: of one day's orders those moved by six hours match, one to one; one in twenty moves by 13."""
+    register(spark, sf, ["orders"])
+    source = query(spark, "SELECT o_orderpriority, o_orderstatus, CAST(o_orderdate AS TIMESTAMP) AS moment FROM orders")
+    moved = query(
+        spark,
+        "SELECT o_orderpriority, o_orderstatus, CAST(o_orderdate AS TIMESTAMP)"
+        " + CASE WHEN o_orderkey % 20 = 0 THEN INTERVAL '13' HOUR ELSE INTERVAL '6' HOUR END AS moment FROM orders",
+    )
+    return diff_cells(source, moved, ["o_orderpriority"], tolerance_us=7 * 3_600_000_000)
+
+
 QUERIES = {
     "cell_diff": cell_diff,
     "cell_diff_sketch": cell_diff_sketch,
@@ -167,6 +179,7 @@ QUERIES = {
     "cell_diff_copies": cell_diff_copies,
     "diff_report": diff_samples,
     "timestamp_tolerance": timestamp_tolerance,
+    "tolerance_of_repeated_keys": tolerance_of_repeated_keys,
     "row_diff": row_diff,
     "count_diff": count_diff,
     "reconcile": reconcile_orders,
@@ -252,6 +265,20 @@ ORACLES = {
                CAST(1 AS BIGINT) AS copies
         FROM events WHERE event_id % 4 = 3
     """,
+    "tolerance_of_repeated_keys": """
+        WITH far AS (
+            SELECT o_orderpriority, o_orderstatus, epoch_us(CAST(o_orderdate AS TIMESTAMP)) AS moment, count(*) AS copies
+            FROM orders WHERE o_orderkey % 20 = 0 GROUP BY ALL
+        ), both_sides AS (
+            SELECT *, 'missing' AS status FROM far
+            UNION ALL SELECT o_orderpriority, o_orderstatus, moment + 46800000000, copies, 'extra' FROM far
+        ), texts AS (
+            SELECT *, '["' || o_orderpriority || '","' || o_orderstatus || '","' || moment || '"]' AS cells FROM both_sides
+        )
+        SELECT o_orderpriority, status, CAST(NULL AS VARCHAR) AS "column",
+               CASE status WHEN 'missing' THEN cells END AS want, CASE status WHEN 'extra' THEN cells END AS got, copies
+        FROM texts
+    """,
     "count_diff": f"""
         SELECT want_rows, got_rows, want_rows = got_rows AS equal
         FROM (SELECT count(*) AS want_rows FROM orders),
