@@ -6,6 +6,7 @@ from tablex.functions.equality import same
 from tablex.functions.names import quoted, unique_columns, unique_names
 from tablex.functions.normalize import normalize
 from tablex.functions.temporal import encode_temporal
+from tablex.operators.estimate import estimated_rows
 from tablex.operators.extract import extract, limit, ordered, project, where
 from tablex.operators.position import diff_rows, numbered
 from tablex.operators.profile import (
@@ -28,6 +29,7 @@ from tablex.operators.reconcile import (
     verdict,
 )
 from tablex.plans.export import dry_run, export
+from tablex.operators.search import search_index, write_search_index
 from tablex.session import configure
 from tablex.sinks.copytext import write_copy
 from tablex.sinks.files import write, write_csv, write_parquet
@@ -55,6 +57,7 @@ __all__ = [
     "diff_schema",
     "dry_run",
     "encode_temporal",
+    "estimated_rows",
     "expected_kinds",
     "export",
     "export_stream",
@@ -85,6 +88,7 @@ __all__ = [
     "scan",
     "scan_jdbc",
     "search_columns",
+    "search_index",
     "unique_columns",
     "unique_names",
     "vacuum",
@@ -97,5 +101,6 @@ __all__ = [
     "write_csv",
     "write_parquet",
     "write_ranges",
+    "write_search_index",
     "write_version",
 ]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablex.operators.estimate import estimated_rows
 from tablex.operators.extract import extract
 from tablex.operators.profile import (
     catalog_dictionary,
@@ -15,6 +18,8 @@ from tablex.operators.profile import (
     sample,
     search_columns,
 )
+from tablex.operators.search import search_index, write_search_index
+from tablex.session import work_folder
 from tablex.sources.tables import query, register, scan
 
 TABLES = [
@@ -102,6 +107,19 @@ def column_search(spark: SparkSession, sf: str) -> DataFrame:
     return search_columns(described_catalog(spark, sf), "R to LINE")
 
 
+def indexed_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search by an index of trigrams over the whole catalogue."""
+    path = work_folder(spark, "search")
+    write_search_index(described_catalog(spark, sf), f"{path}/index")
+    return search_index(spark, f"{path}/index", "R to LINE")
+
+
+def row_estimates(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every table from its files' footers: exact for tables of few files."""
+    parts = [estimated_rows(df).select(F.lit(name).alias("table"), "rows") for name, df in every_table(spark, sf).items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def table_info(spark: SparkSession, sf: str) -> DataFrame:
     """The JSON report of every table, without the size in bytes."""
     tables = every_table(spark, sf)
@@ -121,6 +139,8 @@ QUERIES = {
     "table_profile": table_profile,
     "catalog_dictionary": described_catalog,
     "column_search": column_search,
+    "column_search_indexed": indexed_search,
+    "row_estimates": row_estimates,
     "info_json": table_info,
 }
 
@@ -159,10 +179,11 @@ ORACLES = {
         FROM ({COUNTS})
     """,
     "catalog_dictionary": DUCK_CATALOG,
-    "column_search": f"""
+    **dict.fromkeys(("column_search", "column_search_indexed"), f"""
         SELECT * FROM ({DUCK_CATALOG})
         WHERE contains(lower(name), 'r to line') OR contains(lower(description), 'r to line')
-    """,
+    """),
+    "row_estimates": f"""SELECT tbl AS "table", n AS "rows" FROM ({COUNTS})""",
     "info_json": f"""
         WITH entries AS (
             SELECT table_name AS tbl,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, functions as F
 from tablex.functions.celltext import csv_text
 from tablex.functions.names import quoted, unique_columns
 from tablex.session import configure, move_path, path_exists, remove_path
+from tablex.sinks.progress import Progress, watched
 
 def optional_fields(df: DataFrame) -> DataFrame:
     """Every column as an optional field, also one that can never be NULL, such as a count.
@@ -58,21 +59,29 @@ def commit(writer: DataFrameWriter, df: DataFrame, path: str, mode: str) -> None
         remove_path(spark, old)
 
 
+def committed(writer: DataFrameWriter, df: DataFrame, path: str, mode: str, rows: Observation, progress: Progress | None) -> int:
+    """`commit`, with progress if asked for; returns the rows written."""
+    with watched(df.sparkSession, progress) as finished:
+        commit(writer, df, path, mode)
+        finished(rows.get["rows"])
+    return rows.get["rows"]
+
+
 def write_parquet(
-    df: DataFrame, path: str, mode: str = "errorifexists", row_group_rows: int = 0
+    df: DataFrame, path: str, mode: str = "errorifexists", row_group_rows: int = 0, progress: Progress | None = None
 ) -> int:
     """ZSTD Parquet, microsecond timestamps, decimals as integers; returns the rows written.
 
     row_group_rows  cap of a row group in rows; 0 leaves row groups sized in bytes, which is
                     what scans of large tables want
+    progress        called while the write runs, see `watched`
     """
     configure(df.sparkSession)
     df, rows = counted(optional_fields(unique_columns(df)))
     writer = df.write.format("parquet").option("compression", "zstd")
     if row_group_rows:
         writer = writer.option("parquet.block.row.count.limit", row_group_rows)
-    commit(writer, df, path, mode)
-    return rows.get["rows"]
+    return committed(writer, df, path, mode, rows, progress)
 
 
 def write_parquet_folder(df: DataFrame, path: str, by: list[str]) -> None:
@@ -80,7 +89,7 @@ def write_parquet_folder(df: DataFrame, path: str, by: list[str]) -> None:
     commit(df.write.format("parquet").option("compression", "zstd").partitionBy(*by), df, path, "errorifexists")
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", fraction: bool = False) -> int:
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", fraction: bool = False, progress: Progress | None = None) -> int:
     """CSV with a header in every part; returns the rows written."""
     configure(df.sparkSession)
     df, rows = counted(csv_text(df, fraction))
@@ -91,8 +100,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", fraction: b
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
-    commit(writer, df, path, mode)
-    return rows.get["rows"]
+    return committed(writer, df, path, mode, rows, progress)
 
 
 def sink_format(path: str, fmt: str = "") -> str:
@@ -101,7 +109,7 @@ def sink_format(path: str, fmt: str = "") -> str:
     return "csv" if named == "csv" else "parquet"
 
 
-def write(df: DataFrame, path: str, fmt: str = "", mode: str = "errorifexists") -> int:
+def write(df: DataFrame, path: str, fmt: str = "", mode: str = "errorifexists", progress: Progress | None = None) -> int:
     """Write to the sink the format or the path names; returns the rows written."""
     sink = write_csv if sink_format(path, fmt) == "csv" else write_parquet
-    return sink(df, path, mode)
+    return sink(df, path, mode, progress=progress)
