@@ -2,9 +2,9 @@
 
 Spark reads such a file in one task, for only from its start is it known whether a line end stands in quotes. Here files are
 read as lines, in splits. A line with an odd number of quotes opens or closes a quoted cell that goes on over a line
-end; how many such lines stand before a split, a sum over a few numbers per split, tells how it begins. So every split
-names the lines that are parts of longer records by itself. Lines that are a record each, most as a rule, are parsed
-where they are read; the parts of the others meet by their record, in order.
+end; how many such lines stand before a split, a sum over a few numbers per split, tells how it begins. Lines of a split
+without any are parsed where they are read. Those of the others are shuffled once, each to the split in which its
+record opens, where they are put together in order; all that is broadcast is a few numbers per split.
 """
 
 from __future__ import annotations
@@ -35,36 +35,61 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def parts_of_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
-    """(id, file, record) of the lines that are not a record by themselves."""
-    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)  # splits of a file
-    placed = splits.withColumn("before", F.coalesce(F.sum("odds").over(earlier), F.lit(0)))
-    within = Window.partitionBy("file", "start").orderBy("id")
-    odd = lines.where("odd").select("file", "start", "id").withColumns({"nth": F.row_number().over(within), "next": F.lead("id").over(within)})
-    odd = odd.join(placed.select("file", "start", "before", "last"), ["file", "start"]).withColumn("count", F.col("before") + F.col("nth"))
-    # The lines counted 1, 3, 5 … open a record that the next one closes, perhaps in a later split.
-    opened = odd.where("count % 2 = 1").select("file", F.col("id").alias("from"), F.coalesce("next", "last").alias("to"), F.floor(F.col("count") / 2).alias("record"))
-    first = odd.where("nth = 1").select("file", "start", F.col("id").alias("closing"))
-    begun = placed.where("before % 2 = 1").join(first, ["file", "start"], "left")
-    begun = begun.select("file", F.col("first").alias("from"), F.coalesce("closing", "last").alias("to"), F.floor(F.col("before") / 2).alias("record"))
-    return opened.unionAll(begun).select(F.explode(F.sequence("from", "to")).alias("id"), "file", "record")
+def placed(splits: DataFrame) -> DataFrame:
+    """Splits with what their lines need to find their record: one row per split.
+
+    head        whether the split begins its file
+    plain       whether no line opens, closes or belongs to a longer record
+    closing     id of the last line that belongs to a record opened in an earlier split, -1 if none does
+    opener      first id of the split that opened it
+    """
+    of_file = Window.partitionBy("file").orderBy("start")  # splits of a file
+    earlier = of_file.rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2 == 1
+    opener = F.last(F.when(F.col("odds") > 0, F.col("first")), ignorenulls=True).over(earlier)
+    return splits.select(
+        "file",
+        "start",
+        "first",
+        (F.row_number().over(of_file) == 1).alias("head"),
+        (~within & (F.col("odds") == 0)).alias("plain"),
+        F.when(within, F.coalesce("first_odd", "last")).otherwise(-1).alias("closing"),
+        opener.alias("opener"),
+    )
+
+
+def whole_records(lines: DataFrame) -> DataFrame:
+    """(line) of every record, from the lines (line, id, start, odd, home) of splits that are not plain.
+
+    Of the lines with an odd number of quotes, counted from a record's beginning, the first, third … open a record that the next closes.
+    """
+    upto = Window.partitionBy("home").orderBy("start", "id").rowsBetween(Window.unboundedPreceding, 0)
+    counted = lines.withColumn("count", F.count_if("odd").over(upto))
+    longer = F.col("odd") | (F.col("count") % 2 == 1)
+    record = F.when(longer, -F.ceil(F.col("count") / 2)).otherwise(F.col("id"))
+    pieces = F.array_sort(F.collect_list(F.struct("start", "id", "line")))
+    joined = F.concat_ws("\n", F.transform(pieces, lambda x: x["line"]))
+    return counted.withColumn("record", record).groupBy("home", "record").agg(joined.alias("line")).select("line")
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with a header in every file, cells as text; a cell may go on over any number of lines and splits."""
     lines = numbered_lines(spark, path)
-    splits = stored(lines.groupBy("file", "start").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count_if("odd").alias("odds"), F.min_by("odd", "id").alias("broken")), "splits")
+    ends = [F.min("id").alias("first"), F.max("id").alias("last"), F.min(F.when(F.col("odd"), F.col("id"))).alias("first_odd")]
+    splits = stored(lines.groupBy("file", "start").agg(*ends, F.count_if("odd").alias("odds"), F.min_by("odd", "id").alias("broken")), "splits")
     if not splits.where("odds > 0").head(1):
         return whole_files(spark, path, multiline=False)
-    heads = splits.groupBy("file").agg(F.min_by("first", "start").alias("id"), F.min_by("broken", "start").alias("broken"))
+    heads = splits.groupBy("file").agg(F.min_by("broken", "start").alias("broken"))
     if heads.where("broken").head(1):  # a column's name holds a line end
         return whole_files(spark, path, multiline=True)
     schema = whole_files(spark, path, multiline=False).schema
-    parts = stored(parts_of_records(lines, splits), "parts")
-    alone = lines.join(parts.select("id").unionAll(heads.select("id")), "id", "left_anti").select("line")
-    pieces = lines.join(parts.select("id", "record"), "id").groupBy("file", "record")
-    joined = pieces.agg(F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("start", "id", "line"))), lambda x: x["line"])).alias("line")).select("line")
-    records = alone.where(F.trim("line") != "").unionAll(joined)
+    places = stored(placed(splits), "places")
+    known = lines.join(F.broadcast(places), ["file", "start"]).where("NOT (head AND id = first)")
+    home = F.when(F.col("id") <= F.col("closing"), F.col("opener")).otherwise(F.col("first"))
+    records = whole_records(known.where("NOT plain").select("line", "id", "start", "odd", home.alias("home")))
+    if places.where("plain").head(1):
+        records = records.unionAll(known.where("plain").select("line"))
+    records = records.where(F.trim("line") != "")
     return records.select(F.from_csv("line", ddl(schema), {**DIALECT, "multiLine": "true"}).alias("row")).select("row.*")
 
 

@@ -62,3 +62,15 @@ def test_a_row_that_looks_like_the_header(spark, tmp_path):
     path = str(tmp_path / "t.csv")
     write_csv(spark.createDataFrame([("a", "b"), ("two\nlines", "b")], "a string, b string").coalesce(1), path)
     assert sorted(map(tuple, read_csv(spark, path).collect())) == [("a", "b"), ("two\nlines", "b")]
+
+
+def test_what_is_broadcast_does_not_grow_with_the_records(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    write_csv(spark.range(1_000_000).selectExpr("id", "concat('a', chr(10), 'b \"', id, '\"', chr(10), 'c') AS s").coalesce(2), path)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "66MB")
+    try:
+        got = read_csv(spark, path)
+        assert got.selectExpr("sum(CAST(id AS BIGINT)) AS s").first().s == 1_000_000 * 999_999 // 2
+        assert got.where("s = concat('a', chr(10), 'b \"', id, '\"', chr(10), 'c')").count() == 1_000_000
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
