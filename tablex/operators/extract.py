@@ -11,6 +11,9 @@ from tablex.functions.names import quoted
 from tablex.operators.cut import FEW, ORDERED, first_rows, top_rows
 from tablex.sources.tables import query, scan
 
+#: Cells that one task computes where rows are spread.
+CELLS = 2_500_000
+
 
 def project(df: DataFrame, columns: str = "*") -> DataFrame:
     """The columns of a comma-separated list of names; '' or '*' is all of them."""
@@ -51,6 +54,16 @@ def ordered(
     return df.orderBy(*columns, place if steady_scan else F.expr(row_hash(df.schema, 1)))
 
 
+def spread(df: DataFrame, width: int) -> DataFrame:
+    """The rows dealt over so many tasks that none makes more than about 2,500,000 cells of `width` columns.
+
+    A scan has tasks by bytes: a small file, or a single row group, is one task, whatever is computed from a row. For few and
+    narrow rows that become wide ones; they are counted and shuffled once, before they are widened.
+    """
+    tasks = -(-df.count() * width // CELLS)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def limit(df: DataFrame, n: int = 0, scanned: bool = False) -> DataFrame:
     """Any n rows, or all of them for n <= 0.
 

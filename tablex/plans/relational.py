@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tablex.functions.normalize import normalize
+from tablex.operators.extract import spread
 from tablex.operators.profile import extract_count
 from tablex.sources.tables import query, register, scan
 
@@ -93,7 +94,7 @@ def wide_column(j: int) -> tuple[str, str]:
 def wide_1000(spark: SparkSession, sf: str) -> DataFrame:
     """A thousand columns per customer, normalised from text, added up row by row."""
     columns = {f"c{j}": wide_column(j) for j in range(WIDTH)}
-    texts = scan(spark, sf, "customer").selectExpr("c_custkey", *[f"{text} AS {c}" for c, (text, _) in columns.items()])
+    texts = spread(scan(spark, sf, "customer"), WIDTH).selectExpr("c_custkey", *[f"{text} AS {c}" for c, (text, _) in columns.items()])
     wide = normalize(texts, {c: type_name for c, (_, type_name) in columns.items()})
     values = ["CAST({c} AS BIGINT)", "CAST(length({c}) AS BIGINT)", "CAST(floor({c} * 100 + 0.5D) AS BIGINT)", "CAST({c} AS BIGINT)"]
     names, chunk = ["keys", "characters", "cents", "nations"], 25

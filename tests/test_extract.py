@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablex import extract, limit, ordered, project, scan, where
+from tablex.operators.extract import spread
+from tablex.plans.relational import wide_1000
 
 
 def test_names_are_columns_not_expressions(spark):
@@ -129,3 +131,14 @@ def test_filter_and_columns_reach_the_scan(spark, small):
 def test_double_quoted_identifiers(spark):
     spark.range(2).withColumnRenamed("id", "Odd Name").createOrReplaceTempView("odd")
     assert extract(spark, sql='SELECT "Odd Name" FROM odd').columns == ["Odd Name"]
+
+
+def test_rows_that_become_wide_are_spread(spark, tmp_path):
+    names = ", ".join(["'Customer' || id AS c_name", "'BUILDING' AS c_mktsegment", "id * 0.5D AS c_acctbal", "CAST(id % 25 AS INT) AS c_nationkey"]).split(", ")
+    spark.range(1, 6001).coalesce(1).selectExpr("id AS c_custkey", *names).write.parquet(str(tmp_path / "customer.parquet"))
+    customers = spark.read.parquet(str(tmp_path / "customer.parquet"))
+    assert customers.rdd.getNumPartitions() == 1
+    assert spread(customers, 1000).rdd.getNumPartitions() == 3
+    assert spread(customers, 1000).exceptAll(customers).count() == 0 and spread(customers, 1000).count() == 6000
+    assert spread(customers, 5).rdd.getNumPartitions() == 1
+    assert wide_1000(spark, str(tmp_path)).rdd.getNumPartitions() == 3
