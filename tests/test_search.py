@@ -43,3 +43,13 @@ def test_index_must_be_new_and_whole(spark, indexed, tmp_path):
         search_index(spark, str(tmp_path), "abc")
     write_search_index(columns.where("false"), str(tmp_path / "none"))
     assert search_index(spark, str(tmp_path / "none"), "abc").count() == 0
+
+
+def test_a_posting_holds_the_rows_of_a_block(spark, tmp_path):
+    path = str(tmp_path / "blocks")
+    columns = spark.range(640).coalesce(1).selectExpr("'t' AS table", "CAST(id AS INT) AS ordinal", "'col_' || id AS name", "'Ships to Line' AS description")
+    write_search_index(columns, path)
+    assert spark.read.parquet(f"{path}/postings").where("gram = 'ine'").count() == 10
+    assert dict(rarest(spark, path, "line"))["ine"] == 640
+    assert search_index(spark, path, "to line").count() == 640
+    assert sorted(r.ordinal for r in search_index(spark, path, "ol_63").collect()) == [63, *range(630, 640)]
