@@ -42,7 +42,8 @@ def worded_lines(text: Column) -> Column:
 def line_rows(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     """(key, x_id, x_at, x_line, x_line_check, x_lines): each worded line, and how many lines its window has (NULL: the text ends before)."""
     rows = docs.select(*document_key(F.col(doc_id), F.col(text)), F.col(doc_id).alias("x_id"), worded_lines(F.col(text))["line"].alias("x_texts"))
-    rows = rows.withColumn("x_words", F.transform("x_texts", lambda line: count_blank_words(F.split(line, BLANKS))))
+    # Two steps, so that a line is split once and not wherever its parts are used.
+    rows = rows.withColumn("x_words", F.transform(F.transform("x_texts", lambda line: F.split(line, BLANKS)), count_blank_words))
 
     def reach(_, i):
         step = lambda acc, n: F.when(acc["words"] >= min_words, acc).otherwise(F.struct((acc["lines"] + 1).alias("lines"), (acc["words"] + n).alias("words")))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablex.llm import decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, token_files, warc
+from tablex.llm.common import BLANKS
 
 LONG = "alpha beta gamma delta epsilon zeta eta theta iota kappa\n" * 20_000
 PROSE = "the quick brown fox jumps over the lazy dog and then it runs away from here to there while we look on\n" * 4
@@ -202,3 +203,10 @@ def test_warc(spark, tmp_path):
     empty = str(tmp_path / "e")
     warc.write_warc(df.where("false"), empty)
     assert warc.captures(warc.read_records(spark, empty)).count() == 0
+
+
+def test_a_line_is_split_at_white_space_once(spark):
+    rows = line_dedup.line_rows(spark.createDataFrame([(1, "a b\nc")], "doc_id long, text string"), "doc_id", "text", 2)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(BLANKS) == 1
+    assert [(r.x_at, r.x_lines) for r in rows.orderBy("x_at").collect()] == [(0, 1), (1, None)]
