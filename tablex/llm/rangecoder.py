@@ -1,219 +1,217 @@
-"""Adaptive context-mixing range coder for id sequences, in numpy: all blocks of a batch are coded side by side.
+"""Context-mixing range coder for id sequences, in numpy: all blocks of a batch are coded side by side.
 
-Every block starts anew. For each id, order-2 and order-1 tables predict one id each, with a confidence; adaptive
-weights, one set for each pair of confidences, mix them with order 0 into one distribution. An id that
-neither table predicts is coded by order 0: an adaptive choice of its size class, then its place within.
-The coder keeps 48 bits and gives 16 at a time; carries are added to the last word given and settled at the end.
+Order-2 and order-1 tables predict one id each, with a confidence; order 0 is a distribution of all ids that the blocks
+of a batch share (`Order0`, stored beside them). Adaptive weights, one set for each pair of confidences, mix the
+three into one distribution of 2^28 parts, so that an id is one step of the coder. Tables and weights
+start anew with each block. The coder keeps 48 bits and gives 16 at a time; carries stay above the
+48 bits, go into the word that is given next, and are settled at the end.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 
 BLOCK = 1024
 LANES = 2048
 SLOTS = 1024
-CLASSES = 9  # size classes of 16-bit ids: below 256, 512, 1024, ... 65536
-TOP, LOW_BITS = np.uint64(1 << 32), np.uint64((1 << 48) - 1)
-WORD, SHIFT = np.uint64(16), np.uint64(32)
-STEP, MOST = 24, 3800
-#: Weights are shares of 4096, from LEAST to 4096 - 2 * LEAST; a 32nd of the way is made with each id.
-LEAST, PACE = 48, 5
-U = np.uint64
-
-_BASES = np.array([0] + [1 << (7 + k) for k in range(1, CLASSES)], np.int32)
-_BITS = np.array([8] + [7 + k for k in range(1, CLASSES)], np.int32)
-_CLASS = np.array([v.bit_length() for v in range(256)], np.int8)
+#: Shares of an id in order 0, and of order 0 to order 2 in the mix.
+PARTS, MIX = 16, 12
+ALL = PARTS + MIX
+HALF, LOW, MASK = 1 << 32, (1 << 32) - 1, (1 << 48) - 1
+#: An entry that predicts nothing: an id that none is, of confidence 0.
+NOTHING = 1 << 18
+#: What a hit adds to its weight, and each id to both, after a 32nd is taken off; both stay below 4031 of 4096 together.
+HIT, MISS = 120, 2
+_HIGH, _PACE, _MISSES = 0xFFFF0000, 0x07FF07FF, MISS << 16 | MISS
+
+
+class Order0:
+    """Shares of 65,536 for each id that occurs: one, and more by how often it does."""
+
+    def __init__(self, ids: np.ndarray, shares: np.ndarray):
+        if shares.sum() != 1 << PARTS or (np.diff(ids) <= 0).any():
+            raise ValueError("not a distribution of ids")
+        self.ids, self.shares = ids.astype(np.int64), shares.astype(np.int64)
+        self.begins = np.cumsum(self.shares) - self.shares
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Order0:
+        counts = np.bincount(np.asarray(ids).reshape(-1))
+        seen = np.flatnonzero(counts)
+        if not len(seen):
+            return cls(np.zeros(1, np.int64), np.full(1, 1 << PARTS))
+        counts = counts[seen]
+        shares = 1 + counts * ((1 << PARTS) - len(seen)) // counts.sum()
+        shares[counts.argmax()] += (1 << PARTS) - shares.sum()
+        return cls(seen, shares)
+
+    def dump(self) -> bytes:
+        """Gaps between ids and shares less one, low bytes apart from high ones."""
+        gaps = np.diff(self.ids, prepend=0)
+        return zlib.compress(np.concatenate([gaps, self.shares - 1]).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes())
+
+    @classmethod
+    def load(cls, data: bytes) -> Order0:
+        try:
+            both = np.frombuffer(zlib.decompress(data), np.uint8).reshape(2, -1).astype(np.int64)
+        except zlib.error as e:
+            raise ValueError("a distribution of ids is damaged") from e
+        gaps, shares = (both[0] | both[1] << 8).reshape(2, -1)
+        return cls(np.cumsum(gaps), shares + 1)
+
+    def by_id(self) -> np.ndarray:
+        """Begin and share of each id, packed."""
+        packed = np.zeros(1 << 16, np.int64)
+        packed[self.ids] = self.begins << 20 | self.shares
+        return packed
+
+    def by_place(self) -> np.ndarray:
+        """Id, begin and share at each of the 65,536 places, packed."""
+        return np.repeat(self.ids << 40 | self.begins << 20 | self.shares, self.shares)
 
 
 class Model:
     """Predictions and weights of `lanes` blocks.
 
-    A table entry holds an id and its confidence (0 to 3), a mixing entry the weights of order 2 and of order 1,
-    16 bits each: one look-up and one update serve both.
+    A table entry holds an id and its confidence (0: none, 1, 2, 3), a mixing entry the weights of order 2 and of order 1,
+    16 bits each: one look-up and one update serve both. Row 0 is order 2, row 1 order 1.
     """
 
     def __init__(self, lanes: int):
-        lane = np.arange(lanes, dtype=np.int32)
-        self.base, self.mix_base = lane * SLOTS, lane * 16
-        self.table1, self.table2 = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
-        self.weights = np.full(lanes * 16, 1024 << 16 | 1024, np.int32)
-        self.sizes = np.ones((lanes, CLASSES), np.int32)
+        self.base, self.mix_base = np.arange(2 * lanes).reshape(2, lanes) * SLOTS, np.arange(lanes) * 16
+        self.table = np.full(2 * lanes * SLOTS, NOTHING, np.int32)
+        self.weights = np.full(lanes * 16, 1024 << 16 | 1024, np.int64)
         self.last, self.before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        self.at, self.entry, self.packed = np.empty((2, lanes), np.int64), np.empty((2, lanes), np.int32), np.empty(lanes, np.int64)
 
     def predict(self):
-        """Both predictions, and the weights of order 2 and of order 1; the rest is order 0's."""
-        spread = self.last * np.int32(40503)
-        self.at1 = self.base + (spread >> 4 & (SLOTS - 1))
-        self.at2 = self.base + (spread + self.before * np.int32(10007) >> 3 & (SLOTS - 1))
-        self.entry1, self.entry2 = self.table1.take(self.at1), self.table2.take(self.at2)
-        self.guess1, self.guess2, self.c1, self.c2 = self.entry1 >> 2, self.entry2 >> 2, self.entry1 & 3, self.entry2 & 3
-        self.mix = self.mix_base + (self.c2 << 2 | self.c1)
-        packed = self.weights.take(self.mix)
-        self.share2, self.share1 = packed >> 16, packed & 0xFFFF
-        return self.share2, self.share1
-
-    def learn(self, ids: np.ndarray, by2: np.ndarray, by1: np.ndarray):
-        goal = np.int32(4096 - 3 * LEAST)
-        share2 = self.share2 + (by2 * goal + (LEAST - self.share2) >> PACE)
-        share1 = self.share1 + (by1 * goal + (LEAST - self.share1) >> PACE)
-        self.weights[self.mix] = share2 << 16 | share1
-        for at, entry, guess, sure, table in ((self.at1, self.entry1, self.guess1, self.c1, self.table1), (self.at2, self.entry2, self.guess2, self.c2, self.table2)):
-            table[at] = np.where(guess == ids, entry + (sure < 3), np.where(sure <= 1, ids << 2 | 1, entry - 1))
+        """Ends of order 2's and of order 1's share of 2^28, and order 0's share of 4096."""
+        np.add(self.last, self.before * np.int32(10007), out=self.at[0])
+        self.at[1] = self.last
+        self.at &= SLOTS - 1
+        self.at += self.base
+        self.table.take(self.at, out=self.entry, mode="clip")
+        self.sure = self.entry & 3
+        self.mix = self.sure[0] << 2
+        self.mix |= self.sure[1]
+        self.mix = self.mix_base + self.mix
+        self.weights.take(self.mix, out=self.packed, mode="clip")
+        end2 = self.packed & _HIGH
+        end1 = (self.packed & 0xFFFF) << PARTS
+        end1 += end2
+        return end2, end1, (1 << MIX) - (end1 >> PARTS)
+
+    def learn(self, ids: np.ndarray, hit: np.ndarray, by2: np.ndarray, by1: np.ndarray):
+        """`hit`: the entries that hold the lane's id. A hit makes an entry sure, a miss takes 1 off or puts the id in."""
+        step = self.packed >> 5
+        step &= _PACE
+        self.packed += _MISSES
+        self.packed -= step
+        self.packed += by2 * (HIT << 16)
+        self.packed += by1 * HIT
+        self.weights[self.mix] = self.packed
+        kept = self.sure > 1
+        kept |= hit
+        self.entry -= 1
+        self.entry |= hit.view(np.int8) * np.int32(3)
+        self.table[self.at] = np.where(kept, self.entry, ids << 2 | 1)
         self.before, self.last = self.last, ids
 
-    def learn_size(self, lanes: np.ndarray, size: np.ndarray, total: np.ndarray):
-        self.sizes[lanes, size] += STEP
-        full = lanes[total > MOST]
-        if len(full):
-            self.sizes[full] = (self.sizes[full] + 1) >> 1
-
-
-def ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a // b for quotients below 2^16 of numbers below 2^48: a double may round up to the next whole number, never down past one."""
-    q = (a / b).astype(U)
-    return q - (q * b > a)
 
-
-def size_class(ids: np.ndarray) -> np.ndarray:
-    return _CLASS[ids >> 8]
-
-
-class Encoder:
-    def __init__(self, lanes: int, steps: int):
-        self.low, self.range = np.zeros(lanes, U), np.full(lanes, LOW_BITS, U)
-        self.words, self.count = np.zeros((lanes, 3 * steps + 4), np.int32), np.zeros(lanes, np.int64)
-
-    def put(self, lanes: np.ndarray | None, low: np.ndarray, size: np.ndarray):
-        """Takes over the interval [low, low + size) in the lanes given (None: in all)."""
-        carry = np.flatnonzero(low > LOW_BITS)
-        if len(carry):
-            over = carry if lanes is None else lanes[carry]
-            self.words[over, self.count[over] - 1] += 1
-            low &= LOW_BITS
-        small = np.flatnonzero(size < TOP)
-        while len(small):
-            out = small if lanes is None else lanes[small]
-            some = low[small]
-            self.words[out, self.count[out]] = some >> SHIFT
-            self.count[out] += 1
-            low[small] = (some << WORD) & LOW_BITS
-            rest = size[small] << WORD
-            size[small] = rest
-            small = small[rest < TOP]
-        if lanes is None:
-            self.low, self.range = low, size
-        else:
-            self.low[lanes], self.range[lanes] = low, size
-
-    def finish(self) -> list[bytes]:
-        for k in range(3):
-            self.words[np.arange(len(self.count)), self.count + k] = (self.low >> U(32 - 16 * k)) & U(0xFFFF)
-        words = self.count + 3
-        out = np.ascontiguousarray(self.words[:, : int(words.max())].T)
-        for at in range(len(out) - 1, 0, -1):  # carries run to the left
-            over = out[at] >> 16
-            if over.any():
-                out[at - 1] += over
-                out[at] &= 0xFFFF
-        packed = np.ascontiguousarray(out.T.astype("<u2"))
-        return [packed[k, :n].tobytes() for k, n in enumerate(words.tolist())]
-
-
-class Decoder:
-    def __init__(self, blocks: list[bytes]):
-        sizes = [len(b) // 2 for b in blocks]
-        self.words = np.zeros((len(blocks), max(sizes) + 2), np.uint16)
-        for k, b in enumerate(blocks):
-            self.words[k, : sizes[k]] = np.frombuffer(b, "<u2")
-        first = self.words[:, :3].astype(U)
-        self.code = (first[:, 0] << U(32)) | (first[:, 1] << U(16)) | first[:, 2]
-        self.count, self.range = np.full(len(blocks), 3), np.full(len(blocks), LOW_BITS, U)
-        self.last = self.words.shape[1] - 1
-
-    def take(self, lanes: np.ndarray | None, code: np.ndarray, size: np.ndarray):
-        """Takes over the place within an interval of `size` in the lanes given (None: in all)."""
-        small = np.flatnonzero(size < TOP)
-        while len(small):
-            out = small if lanes is None else lanes[small]
-            code[small] = (code[small] << WORD) | self.words[out, np.minimum(self.count[out], self.last)]
-            self.count[out] += 1
-            rest = size[small] << WORD
-            size[small] = rest
-            small = small[rest < TOP]
-        if lanes is None:
-            self.code, self.range = code, size
-        else:
-            self.code[lanes], self.range[lanes] = code, size
-
-
-def encode(blocks: np.ndarray) -> list[bytes]:
-    """One byte string for each row of ids (below 65536)."""
+def encode(blocks: np.ndarray, order0: Order0 | None = None) -> list[bytes]:
+    """One byte string for each row of ids (below 65536); `order0` has all of them (None: the ids of the blocks, which start with it)."""
+    if order0 is None:
+        order0 = Order0.of(blocks)
+        head = order0.dump()
+        head = len(head).to_bytes(4, "little") + head
+        return [head * (k == 0) + data for k, data in enumerate(encode(blocks, order0))]
     lanes, steps = blocks.shape
-    model, coder = Model(lanes), Encoder(lanes, steps)
-    rows = np.arange(lanes)
+    model, shares = Model(lanes), order0.by_id()
+    width = -(-ALL * steps // 16) + 5
+    words, at = np.zeros(lanes * width, np.int32), np.arange(lanes) * width
+    low, size = np.zeros(lanes, np.int64), np.full(lanes, MASK)
     for ids in np.ascontiguousarray(blocks.T.astype(np.int32)):
-        share2, share1 = model.predict()
-        by2 = (ids == model.guess2) & (model.c2 > 0)
-        by1 = (ids == model.guess1) & (model.c1 > 0) & ~by2
-        part = coder.range >> U(12)
-        both = share2 + share1
-        start = np.where(by2, 0, np.where(by1, share2, both)).astype(U)
-        share = np.where(by2, share2, np.where(by1, share1, 4096 - both)).astype(U)
-        coder.put(None, coder.low + start * part, share * part)
-        rest = np.flatnonzero(~(by2 | by1))
-        if len(rest):
-            some = ids[rest]
-            size = size_class(some)
-            ends = np.cumsum(model.sizes[rest], axis=1)
-            row = rows[: len(rest)]
-            end, total, share = ends[row, size], ends[:, -1], model.sizes[rest, size]
-            part = ratio_of_range(coder.range[rest], total)
-            place = share.astype(U) * part >> _BITS[size].astype(U)
-            low = coder.low[rest] + (end - share).astype(U) * part + (some - _BASES[size]).astype(U) * place
-            coder.put(rest, low, place)
-            model.learn_size(rest, size, total)
-        model.learn(ids, by2, by1)
-    return coder.finish()
-
-
-def ratio_of_range(size: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """About size / total, the same in both directions; the one less makes sure that all shares fit in."""
-    return (size / total).astype(U) - U(1)
-
-
-def decode(blocks: list[bytes], steps: int) -> np.ndarray:
+        end2, end1, rest = model.predict()
+        hit = model.entry >> 2 == ids
+        by2, by1 = hit[0], hit[1] > hit[0]
+        packed = shares.take(ids)
+        begin = np.where(by2, 0, np.where(by1, end2, end1 + (packed >> 20) * rest))
+        share = np.where(by2, end2, np.where(by1, end1 - end2, (packed & 0xFFFFF) * rest))
+        part = size >> ALL
+        low += begin * part
+        size = share * part
+        words[at] = low >> 32  # where none is given yet, the next step's overwrites it
+        small = size < HALF
+        at += small
+        low = np.where(small, (low & LOW) << 16, low)
+        size <<= small * 16
+        some = np.flatnonzero(size < HALF)
+        if len(some):  # a second word; there is never a third
+            words[at[some]] = low[some] >> 32
+            at[some] += 1
+            low[some] = (low[some] & LOW) << 16
+            size[some] <<= 16
+        model.learn(ids, hit, by2, by1)
+    count = at - np.arange(lanes) * width
+    for shift in (32, 16, 0):
+        words[at] = low >> shift if shift == 32 else low >> shift & 0xFFFF
+        at += 1
+    out = np.ascontiguousarray(words.reshape(lanes, width)[:, : int(count.max()) + 3].T)
+    for k in range(len(out) - 1, 0, -1):  # carries run to the left
+        over = out[k] >> 16
+        if over.any():
+            out[k - 1] += np.where(k < count + 3, over, 0)
+            out[k] &= 0xFFFF
+    packed = np.ascontiguousarray(out.T.astype("<u2"))
+    return [packed[k, :n].tobytes() for k, n in enumerate((count + 3).tolist())]
+
+
+def decode(blocks: list[bytes], steps: int, order0: Order0 | None = None) -> np.ndarray:
     """The rows of ids."""
+    if order0 is None:
+        size = 4 + int.from_bytes(blocks[0][:4], "little")
+        return decode([blocks[0][size:], *blocks[1:]], steps, Order0.load(blocks[0][4:size]))
     lanes = len(blocks)
-    model, coder = Model(lanes), Decoder(blocks)
-    out, rows = np.empty((steps, lanes), np.int32), np.arange(lanes)
+    sizes = [len(b) // 2 for b in blocks]
+    width = max(sizes) + 2
+    rows = np.zeros((lanes, width), np.uint16)
+    for k, b in enumerate(blocks):
+        rows[k, : sizes[k]] = np.frombuffer(b, "<u2", sizes[k])
+    first, words = rows[:, :3].astype(np.int64), rows.reshape(-1)
+    at = np.arange(lanes) * width + 3
+    code, size = first[:, 0] << 32 | first[:, 1] << 16 | first[:, 2], np.full(lanes, MASK)
+    model, places = Model(lanes), order0.by_place()
+    out = np.empty((steps, lanes), np.int32)
     for k in range(steps):
-        share2, share1 = model.predict()
-        part = coder.range >> U(12)
-        at = np.minimum(ratio(coder.code, part), U(4095)).astype(np.int32)
-        both = share2 + share1
-        by2, rest = at < share2, at >= both
-        by1 = ~(by2 | rest)
-        start = np.where(by2, 0, np.where(by1, share2, both)).astype(U)
-        share = np.where(by2, share2, np.where(by1, share1, 4096 - both)).astype(U)
-        coder.take(None, coder.code - start * part, share * part)
-        ids = np.where(by2, model.guess2, model.guess1)
-        rest = np.flatnonzero(rest)
-        if len(rest):
-            ends = np.cumsum(model.sizes[rest], axis=1)
-            row, total = rows[: len(rest)], ends[:, -1]
-            part = ratio_of_range(coder.range[rest], total)
-            code = coder.code[rest]
-            at = np.minimum(ratio(code, part).astype(np.int32), total - 1)
-            size = (ends <= at[:, None]).sum(axis=1)
-            share = model.sizes[rest, size]
-            code -= (ends[row, size] - share).astype(U) * part
-            bits = _BITS[size]
-            one = share.astype(U) * part >> bits.astype(U)
-            place = np.minimum(code // one, (U(1) << bits.astype(U)) - U(1))
-            coder.take(rest, code - place * one, one)
-            ids[rest] = place.astype(np.int32) + _BASES[size]
-            model.learn_size(rest, size, total)
-        model.learn(ids, by2, by1)
+        end2, end1, rest = model.predict()
+        part = size >> ALL
+        place = quotient(code, part)
+        by2 = place < end2
+        by1 = (place < end1) > by2
+        packed = places.take(((place - end1) / rest).astype(np.int64), mode="clip")
+        begin = np.where(by2, 0, np.where(by1, end2, end1 + (packed >> 20 & 0xFFFFF) * rest))
+        share = np.where(by2, end2, np.where(by1, end1 - end2, (packed & 0xFFFFF) * rest))
+        guesses = model.entry >> 2
+        ids = np.where(by2, guesses[0], np.where(by1, guesses[1], (packed >> 40).astype(np.int32)))
+        code -= begin * part
+        size = share * part
+        small = size < HALF
+        code = np.where(small, code << 16 | words.take(at, mode="clip"), code)
+        at += small
+        size <<= small * 16
+        some = np.flatnonzero(size < HALF)
+        if len(some):
+            code[some] = code[some] << 16 | words.take(at[some], mode="clip")
+            at[some] += 1
+            size[some] <<= 16
+        model.learn(ids, guesses == ids, by2, by1)
         out[k] = ids
     return out.T
+
+
+def quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a // b of numbers below 2^48: a double may round up to the next whole number, never down past one."""
+    q = (a / b).astype(np.int64)
+    return q - (q * b > a)

@@ -2,9 +2,10 @@
 
 Layout of a file: frames one after another, a line end behind each. A frame is
 
-    "TXF1" | bytes that follow (u32) | documents (u32) | blocks (u32)
+    "TXF2" | bytes that follow (u32) | documents (u32) | blocks (u32) | bytes of order 0 (u32)
     | for each document: has an id (u8), id (i64), tokens (u64)
     | for each block: tokens (u32), crc32 of its ids as little-endian u32 (u32), coded bytes (u32)
+    | order 0: how often each id occurs in the frame (`rangecoder.Order0`)
     | the coded blocks
 
 and holds whole documents; a block holds `BLOCK` ids (the last of a frame fewer) and starts the coder anew. All
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,10 +38,11 @@ from tablex.session import stored, work_folder
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-MAGIC = b"TXF1"
-FRAME_IDS = rangecoder.BLOCK * rangecoder.LANES
-#: Words whose ids a Python worker remembers, and chunks that are not a word by themselves (about 200 bytes each).
-WORDS, CHUNKS = 250_000, 50_000
+MAGIC = b"TXF2"
+BLOCK = rangecoder.BLOCK
+FRAME_IDS = BLOCK * rangecoder.LANES
+#: Words whose ids a Python worker remembers, and chunks that are not a word and marks (about 200 bytes each).
+WORDS, CHUNKS = 500_000, 50_000
 #: Frames of a file: of about 4 MB each, unless a single document has more.
 FRAMES = 16
 
@@ -51,6 +54,8 @@ class Encoder:
     apostrophe) is put together from its word and its marks, if the tokenizer splits there: only letters
     that its own normaliser leaves letters count as such (İ becomes i and a mark of its own). Words new
     to this worker are encoded many in one text: the last token of each word is marked in the vocabulary.
+    Words that normalising and splitting leave as they are go to the tokenizer's model with no more
+    than a split at blanks before it, if that gives the same ids for words of all such letters.
     A vocabulary that joins tokens over white space, or words and marks, is given whole texts or whole chunks.
     """
 
@@ -58,10 +63,11 @@ class Encoder:
     MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, definition: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.words: dict[str, bytes] = {"": b""}
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         if max(vocabulary.values()) > 0xFFFF:
@@ -70,54 +76,96 @@ class Encoder:
         self.last[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
         normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
         simple = [c for c in self.LETTERS if c.isalpha() and normal(c).isalpha()]
-        self.lowers = all(normal(c) == normal(c.lower()) for c in simple if c.isascii())
+        self.lowers = all(normal(c) == normal(c.lower()) for c in simple if c.isascii()) and normal("".join(simple)) == "".join(map(normal, simple))
         joined = lambda *parts: self.direct(["".join(parts)])[0] == b"".join(self.direct([*parts]))
         self.by_chunk = all(joined(a, f"{blank}{b}") and self.direct([f"{blank}{b}"]) == self.direct([b]) for blank in " \t\n\v\f\r" for a, b in (("word", "next"), ("a,", "1"), ("é", "b")))
         split = self.by_chunk and all(joined("word", mark) and joined("é", mark * 2) for mark in self.MARKS)
-        self.simple = re.compile(f"([{''.join(simple)}]+)([{re.escape(self.MARKS)}]*)") if split else re.compile("(?!)")
-
-    def direct(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def several(self, words: list[str], together: int = 500) -> Iterator[bytes]:
+        self.simple = f"^[{''.join(simple)}]+$" if split and simple else None
+        plain = [c for c in simple if split and normal(c) == c]
+        self.plain, self.bare = re.compile(f"[{''.join(plain)}]+" if plain else "(?!)"), Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        tried = [*plain, *map("".join, zip(plain, plain[1:] + plain[:1])), *map("".join, zip(plain, plain[::-1], plain)), "".join(plain), "".join(plain[::-1])]
+        if plain and self.direct(tried) != self.direct(tried, self.bare):
+            self.plain = re.compile("(?!)")
+
+    def direct(self, texts: list[str], tokenizer=None) -> list[bytes]:
+        return [np.array(e.ids, "<u2").tobytes() for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+
+    def several(self, words: list[bytes], tokenizer, together: int = 100) -> Iterator[bytes]:
         """Ids of words, each of which the tokenizer takes for one."""
         for at in range(0, len(words), together):
-            ids = np.frombuffer(self.direct([" ".join(words[at : at + together])])[0], "<u2")
+            some = words[at : at + together]
+            ids = np.frombuffer(self.direct([b" ".join(some).decode()], tokenizer)[0], "<u2")
             ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(words[at : at + together]):
-                yield from self.direct(words[at : at + together])
+            if len(ends) != len(some):
+                yield from self.direct([w.decode() for w in some], tokenizer)
                 continue
-            data, start = ids.tobytes(), 0
-            for end in (2 * ends).tolist():
-                yield data[start:end]
-                start = end
+            data, bounds = ids.tobytes(), [0, *(2 * ends).tolist()]
+            yield from [data[start:end] for start, end in zip(bounds, bounds[1:])]
 
-    def texts(self, texts: list[bytes | None]) -> list[bytes]:
-        """Ids of each text (UTF-8) as little-endian u16."""
+    def texts(self, texts: pa.Array | list[bytes | None]) -> list[bytes]:
+        """Ids of each text (UTF-8) as little-endian u16; every different chunk of the texts is looked up once."""
+        texts = pa.array(texts, pa.binary())
         if not self.by_chunk:
-            return self.direct([(t or b"").decode("utf-8", "replace") for t in texts])
-        words, known = self.words, self.chunks
-        if len(words) > WORDS:
-            words.clear()
-            words[""] = b""
-        if len(known) > CHUNKS:
-            known.clear()
-        split = [t.split() if t else [] for t in texts]  # at the six white characters of ASCII
-        new = {c for chunks in split for c in chunks}.difference(known)
-        parts, odd = {}, {}
-        for raw in new:
-            c = raw.decode("utf-8", "replace")
-            if m := self.simple.fullmatch(c):
-                word = m[1]
-                parts[raw] = (word.lower() if self.lowers and word.isascii() else word, m[2])
+            return self.direct([(t or b"").decode("utf-8", "replace") for t in texts.to_pylist()])
+        if len(self.chunks) > CHUNKS:
+            self.chunks.clear()
+        split = pc.ascii_split_whitespace(texts.view(pa.string()))  # at the six white characters of ASCII
+        places = split.flatten().dictionary_encode()
+        different, places = self.different(places.dictionary), places.indices.to_numpy()
+        sizes = np.fromiter(map(len, different), np.int64, len(different)) // 2
+        starts, data = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(different), "<u2")
+        ends = np.append(0, np.cumsum(sizes[places]))  # of the chunks' ids, all texts behind one another
+        ids = np.empty(ends[-1], "<u2")
+        for k in range(0, len(places), 100_000):
+            some, until = places[k : k + 100_000], ends[k : k + 100_001]
+            ids[until[0] : until[-1]] = data[np.repeat(starts[some] - until[:-1], sizes[some]) + np.arange(until[0], until[-1])]
+        chunks = np.cumsum(pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False))
+        bounds = ends[np.append(0, chunks)].tolist()
+        return [ids[start:end].tobytes() for start, end in zip(bounds, bounds[1:])]
+
+    def different(self, chunks: pa.Array) -> list[bytes]:
+        """Ids of each of the chunks, which all differ."""
+        words = pc.ascii_rtrim(chunks, characters=self.MARKS)
+        odd = np.ones(len(chunks), bool) if self.simple is None else ~pc.match_substring_regex(words, self.simple).to_numpy(zero_copy_only=False)
+        places = (pc.ascii_lower(words) if self.lowers else words).filter(pa.array(~odd)).dictionary_encode()
+        ids = self.known(objects(places.dictionary))
+        out = np.empty(len(chunks), object)
+        out[~odd] = np.array([*ids, None], object)[:-1][places.indices.to_numpy()]
+        ends = np.flatnonzero((pc.binary_length(chunks).to_numpy() > pc.binary_length(words).to_numpy()) & ~odd)
+        if len(ends):
+            starts = pc.binary_length(words).to_numpy()[ends].tolist()
+            marks = [c[n:] for c, n in zip(objects(chunks.take(pa.array(ends))), starts)]
+            different = [*dict.fromkeys(marks)]
+            after = dict(zip(different, self.known(different)))
+            out[ends] = [a + after[m] for a, m in zip(out[ends].tolist(), marks)]
+        raw = objects(chunks.filter(pa.array(odd)))
+        new = [c for c in raw if c not in self.chunks]
+        self.chunks.update(zip(new, self.direct([c.decode("utf-8", "replace") for c in new])))
+        for k, c in zip(np.flatnonzero(odd).tolist(), raw):
+            out[k] = self.chunks[c]
+        return out.tolist()
+
+    def known(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words and marks; those not met lately are encoded."""
+        if len(self.words) > WORDS // 2:
+            self.words, self.older = {}, self.words
+        found, older, plain, others = [*map(self.words.get, words)], self.older, [], []
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            word = words[k]
+            ids = older.get(word)
+            if ids is None:
+                (plain if self.plain.fullmatch(word.decode()) else others).append(k)
             else:
-                odd[raw] = c
-        missing = [*{w for pair in parts.values() for w in pair}.difference(words)]
-        words.update(zip(missing, self.several(missing)))
-        known.update(zip(odd, self.direct([*odd.values()])))
-        for raw, (word, marks) in parts.items():
-            known[raw] = words[word] + words[marks]
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+                found[k] = self.words[word] = ids
+        for places, tokenizer in ((plain, self.bare), (others, self.tokenizer)):
+            for k, ids in zip(places, self.several([words[k] for k in places], tokenizer)):
+                found[k] = self.words[words[k]] = ids
+        return found
+
+
+def objects(texts: pa.Array) -> list[bytes]:
+    return texts.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
 
 
 def encoder_of(definition: str) -> Encoder:
@@ -133,40 +181,49 @@ def encoder_of(definition: str) -> Encoder:
 def frame(docs: list[tuple[int | None, bytes]]) -> bytes:
     """A frame of (id, ids as u16) documents."""
     ids = np.frombuffer(b"".join(body for _, body in docs), "<u2")
-    size, coded, heads = rangecoder.BLOCK, [], []
-    for at in range(0, len(ids), FRAME_IDS):
-        part = ids[at : at + FRAME_IDS]
-        rows = np.zeros((-(-len(part) // size), size), np.uint16)
-        rows.reshape(-1)[: len(part)] = part
-        for k, data in enumerate(rangecoder.encode(rows)):
-            plain = part[k * size : (k + 1) * size]
+    coded, heads = [], []
+    order0 = rangecoder.Order0.of(ids)
+    for first, end in together(-(-len(ids) // BLOCK)):
+        part = ids[first * BLOCK : end * BLOCK]
+        steps = min(BLOCK, len(part))
+        rows = np.append(part, np.repeat(part[-1:], -len(part) % steps)).reshape(-1, steps)
+        for k, data in enumerate(rangecoder.encode(rows, order0)):
+            plain = part[k * BLOCK : (k + 1) * BLOCK]
             coded.append(data)
             heads.append(struct.pack("<III", len(plain), zlib.crc32(plain.astype("<u4").tobytes()), len(data)))
     entries = [struct.pack("<BqQ", doc is not None, doc or 0, len(body) // 2) for doc, body in docs]
-    rest = b"".join([struct.pack("<II", len(docs), len(heads)), *entries, *heads, *coded])
+    shares = order0.dump()
+    rest = b"".join([struct.pack("<III", len(docs), len(heads), len(shares)), *entries, *heads, shares, *coded])
     return MAGIC + struct.pack("<I", len(rest)) + rest
 
 
+def together(blocks: int) -> Iterator[tuple[int, int]]:
+    """First and end of the blocks that are coded side by side: about `LANES`, so that no few are left."""
+    size = -(-blocks // max(1, round(blocks / rangecoder.LANES)))
+    yield from ((k, min(k + size, blocks)) for k in range(0, blocks, max(size, 1)))
+
+
 def frames(content: bytes) -> Iterator[tuple[list[tuple[int | None, int]], np.ndarray]]:
     """(documents with their number of ids, all ids) of each frame; every block is held against its checksum."""
     at = 0
     while at < len(content):
         if content[at : at + 4] != MAGIC:
             raise ValueError("not a token file")
-        (size,) = struct.unpack_from("<I", content, at + 4)
-        n_docs, n_blocks = struct.unpack_from("<II", content, at + 8)
-        place = at + 16
+        size, n_docs, n_blocks, n_shares = struct.unpack_from("<IIII", content, at + 4)
+        place = at + 20
         docs = [(doc if there else None, n) for there, doc, n in struct.iter_unpack("<BqQ", content[place : place + 17 * n_docs])]
         place += 17 * n_docs
         heads = [*struct.iter_unpack("<III", content[place : place + 12 * n_blocks])]
         place += 12 * n_blocks
+        order0 = rangecoder.Order0.load(content[place : place + n_shares])
+        place += n_shares
         parts = []
-        for first in range(0, n_blocks, rangecoder.LANES):
-            some, coded = heads[first : first + rangecoder.LANES], []
+        for first, end in together(n_blocks):
+            some, coded = heads[first:end], []
             for _, _, length in some:
                 coded.append(content[place : place + length])
                 place += length
-            for (n, check, _), row in zip(some, rangecoder.decode(coded, rangecoder.BLOCK)):
+            for (n, check, _), row in zip(some, rangecoder.decode(coded, some[0][0], order0)):
                 ids = row[:n].astype("<u4")
                 if zlib.crc32(ids.tobytes()) != check:
                     raise ValueError("a block of a token file is damaged")
@@ -187,15 +244,12 @@ def write_tokens(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
         held: list[tuple[int | None, bytes]] = []
         size = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                bodies = encoder.texts(part.column("t_text").to_pylist())
-                for doc, body in zip(part.column("t_id").to_pylist(), bodies):
-                    held.append((doc, body + end))
-                    size += len(body) // 2 + 1
-                    if size >= FRAME_IDS:
-                        yield pa.RecordBatch.from_arrays([pa.array([frame(held)], pa.binary())], names=["frame"])
-                        held, size = [], 0
+            for doc, body in zip(batch.column("t_id").to_pylist(), encoder.texts(batch.column("t_text"))):
+                held.append((doc, body + end))
+                size += len(body) // 2 + 1
+                if size >= FRAME_IDS:
+                    yield pa.RecordBatch.from_arrays([pa.array([frame(held)], pa.binary())], names=["frame"])
+                    held, size = [], 0
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([frame(held)], pa.binary())], names=["frame"])
 
